@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe
 from .common import frame
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .near_dedup import near_dedup
 from .topk import topk
 from .warc import read_warc, write_warc
 
@@ -21,6 +24,14 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(index, keep_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe(frame(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(frame(spark, sf_dir, "documents"), percent=85, width=5)
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk(frame(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -29,7 +40,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(frame(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.try_element_at("positions", F.lit(1)).alias("first_position"))
 
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op4_warc": op4_warc, "op8_topk": op8_topk, "op9_mixing": op9_mixing}
+QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op4_warc": op4_warc, "op5_bpe": op5_bpe, "op7_near_dedup": op7_near_dedup, "op8_topk": op8_topk, "op9_mixing": op9_mixing}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
