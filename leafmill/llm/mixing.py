@@ -12,7 +12,7 @@ CELL_ROWS rows and then over the cells' sums, so no task gets a whole source.
 Curriculum: source i is sampled at the rate 1 + g_i * (2u - 1) over training progress u in
 [0, 1]. Its integral is u + g_i * (u^2 - u); a document whose demand begins at the share y of its
 source's target gets the position where that integral reaches y. Documents are range-sorted
-by position.
+by position; those not taken follow, spread by their place in their source.
 
 Edge cases: null text or a text without words has size 0 and is never taken; a null source
 is a source of its own; a null id is ordered by md5 of "seed:"; rows that share an id are
@@ -77,4 +77,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         return F.lit(2.0) * y / ((F.lit(1.0) - g) + F.sqrt((F.lit(1.0) - g) * (F.lit(1.0) - g) + F.lit(4.0) * g * y)) * F.col("all_words")
 
     out = placed.withColumn("positions", F.transform(demand, position))
-    return out.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", (F.col("size") * F.size("positions")).alias("taken"), "positions").orderBy(F.element_at(F.when(F.size("positions") > 0, F.col("positions")), 1).asc_nulls_last())
+    return out.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", (F.col("size") * F.size("positions")).alias("taken"), "positions", F.coalesce(F.try_element_at("positions", F.lit(1)), F.col("all_words") + begin).alias("sort_by")).orderBy("sort_by").drop("sort_by")
