@@ -9,12 +9,28 @@ from pyspark.sql import functions as F
 from .bpe import bpe
 from .common import frame
 from .exact_dedup import exact_dedup
+from .langid import language_id
+from .line_dedup import line_dedup
 from .mixing import mix
 from .near_dedup import near_dedup
+from .pii import pseudonymise
+from .token_files import count_tokens, write_token_files
 from .topk import topk
 from .warc import read_warc, write_warc
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_token_files(frame(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    counted = count_tokens(files.select("path", "bytes"))
+    order = files.select(F.col("path").alias("m_path"), F.posexplode("doc_ids").alias("m_ordinal", "doc_id"))
+    met = counted.join(order, (F.col("path") == F.col("m_path")) & (F.col("ordinal") == F.col("m_ordinal")))
+    return met.select("doc_id", "n_tokens")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(frame(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(frame(spark, sf_dir, "documents"))
 
@@ -28,6 +44,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(frame(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonymise(frame(spark, sf_dir, "documents"), key="leafmill")
+    return found.select("doc_id", "text", F.col("__found").alias("n_found"), F.col("__replaced").alias("n_replaced"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(frame(spark, sf_dir, "documents"), percent=85, width=5)
 
@@ -40,7 +61,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(frame(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.try_element_at("positions", F.lit(1)).alias("first_position"))
 
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op4_warc": op4_warc, "op5_bpe": op5_bpe, "op7_near_dedup": op7_near_dedup, "op8_topk": op8_topk, "op9_mixing": op9_mixing}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(frame(spark, sf_dir, "documents")).select("doc_id", "text", F.col("__removed").alias("lines_removed"))
+
+
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_language_id": op2_language_id, "op3_exact_dedup": op3_exact_dedup, "op4_warc": op4_warc, "op5_bpe": op5_bpe, "op6_pii": op6_pii, "op7_near_dedup": op7_near_dedup, "op8_topk": op8_topk, "op9_mixing": op9_mixing, "op10_line_dedup": op10_line_dedup}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
