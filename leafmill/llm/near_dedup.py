@@ -6,20 +6,22 @@
    map-side combine.
 2. Buckets: classes that share a band key. Only buckets of two or more go on.
 3. Candidates come from buckets in rounds. In a star round each member meets only its bucket's
-   leader (the least by a hash that changes with the round), and only if the two aren't in
-   one component yet. So a bucket of n near copies costs n pairs, not n squared. Once the pairs
-   left over, counted exactly, are few, all of them that still lie in different components are
-   taken, so no candidate is dropped. A candidate pair first passes the sketch: the XOR
-   population count must allow a similarity of `threshold - margin`; then its full sets are compared.
-4. Links merge components by alternating large-star and small-star steps.
+   leader, and only if the two aren't in one component yet: first the text with most company in
+   all its buckets, later another one each round, for as long as a twentieth of the pairs are
+   links. So a bucket of n near copies costs n pairs, not n squared. At last, all pairs of a
+   bucket that still lie in different components are taken if exact bounds allow a link: sizes,
+   shingles that no other candidate has, and distances from the first leader. No candidate is
+   dropped otherwise, but by the sketch: the XOR population count must allow a similarity of
+   `threshold - margin`. Then the full sets are compared.
+4. Links merge components by sending each node and its neighbours to the least of them.
 
 With 32 bands of 6 rows, a pair at the similarity 0.85 misses every band with probability
 3e-7, and the sketch's margin of 0.15 is 5.8 standard deviations of the MinHash estimate.
 
 Edge cases: null text, or text without words, has an empty set and links with nothing; fewer
 words than a shingle make one shingle of them all. Rows with a null id take no part in links
-(component null, kept). Rows that share an id are one document if their texts' sets agree, and linked by
-that id otherwise. An empty table gives an empty result. Only the two named columns are read.
+(component null, kept). Rows that share an id are one document, which takes the links of one of
+its texts. An empty table gives an empty result. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -34,8 +36,6 @@ from pyspark.sql import functions as F
 from .common import cut, fmix, slices, small, span_hashes, utf8
 
 BANDS, ROWS, SKETCH_BITS = 32, 6, 512
-#: A round takes all pairs left once they are at most this many times the bucket rows.
-ALL_PAIRS = 4
 STAR_ROUNDS = 12
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -123,48 +123,55 @@ def _signatures(width: int, bands: int, rows: int, bits: int):
     return run
 
 
-def _confirm(width: int, percent: int):
-    """Pairs (a, b, their texts) with 100 * intersection >= percent * union of their sets."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _rare(width: int):
+    """(shingle, id) of every shingle of the texts."""
+    schema = pa.schema([("shingle", pa.int64()), ("id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            keep, sets = np.zeros(len(a), bool), {}
-            for start in range(0, len(a), 256):  # a set of sets at a time
-                part = slice(start, start + 256)
+            ids = batch.column(0).to_numpy()
+            sets = list(shingle_sets(*utf8(batch.column(1)), width))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets or [np.zeros(0, np.uint64)]).view(np.int64)), pa.array(np.repeat(ids, [len(x) for x in sets]))], schema=schema)
+
+    return run
+
+
+def _meet(width: int):
+    """Pairs (a, b, their texts) with the size of their sets' intersection."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("both", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            both, sets = np.zeros(len(a), np.int64), {}
+            for start in range(0, len(a), 256):  # the sets of some pairs at a time
+                rows = range(start, min(start + 256, len(a)))
                 for ids, column in ((a, 2), (b, 3)):
-                    new = [i for i in dict(zip(ids[part].tolist(), range(start, len(a)), strict=False)).items() if i[0] not in sets]
-                    texts = batch.column(column).take(pa.array([x[1] for x in new], pa.int64()))
-                    sets.update(zip([x[0] for x in new], shingle_sets(*utf8(texts), width), strict=True))
-                for i in range(start, min(start + 256, len(a))):
-                    x, y = sets[a[i]], sets[b[i]]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-                sets = {k: sets[k] for k in set(a[part].tolist())} if len(sets) > 2048 else sets
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], schema=schema)
+                    new = {ids[i]: i for i in rows if ids[i] not in sets}
+                    texts = batch.column(column).take(pa.array(list(new.values()), pa.int64()))
+                    sets.update(zip(new, shingle_sets(*utf8(texts), width), strict=True))
+                for i in rows:
+                    both[i] = len(np.intersect1d(sets[a[i]], sets[b[i]], assume_unique=True))
+                if len(sets) > 1024:
+                    sets = {}
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both)], schema=schema)
 
     return run
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of the links (a, b); root: the least node that it reaches.
-    Alternating large-star and small-star steps, each written to the shared folder."""
-    edges = cut(links.select("a", "b").filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "star")
+    """(node, root) for every node of the links (a, b) that isn't a root; root: the least node
+    that it reaches. Each step sends all neighbours of a node, and the node, to the least of them;
+    it is written to the shared folder. Ends when the edges are stars."""
+    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "star")
     while True:
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # large star: larger neighbours go to the least one
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m")), "star")
-        large = both.filter("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # small star: smaller neighbours, and the node itself, go to the least one
-        large = cut(large, "star")
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k"), "star")
-        joined = large.join(least, F.col("u") == F.col("k"))
-        after = cut(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionAll(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct(), "star")
-        same = after.count() == edges.count() and not after.join(edges, ["u", "v"], "left_anti").take(1)
-        edges = after
-        if same:
+        several = edges.groupBy("u").count().filter("count > 1").select("u")
+        if not several.unionAll(edges.join(edges.select(F.col("v").alias("w")).distinct(), F.col("u") == F.col("w"), "left_semi").select("u")).take(1):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).select("k", F.least("k", "m").alias("m"))
+        sent = both.join(least, F.col("u") == F.col("k")).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        edges = cut(sent.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "star")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5, bands: int = BANDS, rows: int = ROWS, bits: int = SKETCH_BITS, margin: float = 0.15) -> DataFrame:
@@ -174,59 +181,75 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     usable = signed.filter("n > 0 AND id IS NOT NULL")
     classes = cut(usable.groupBy("set_a", "set_b").agg(F.min(F.struct("id", "n", "keys", "sketch")).alias("x")).select("set_a", "set_b", "x.*"), "near-classes")
     posts = classes.select("id", F.explode("keys").alias("bucket"))
-    shared = cut(posts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select(F.col("bucket").alias("shared")), "near-buckets")
-    members = cut(posts.join(shared, F.col("bucket") == F.col("shared")).select("bucket", "id", F.col("id").alias("root")), "near-members")
-    meta = classes.select(F.col("id").alias("key"), "n", "sketch")
+    shared = cut(posts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select(F.col("bucket").alias("shared"), "size"), "near-buckets")
+    found = cut(posts.join(shared, F.col("bucket") == F.col("shared")).select("bucket", "id", "size"), "near-posts")
+    # a text that shares large buckets with many is the best leader of its group
+    central = cut(found.groupBy("id").agg(F.sum("size").alias("weight")), "near-central")
+    members = cut(found.select("bucket", "id").join(central.withColumnRenamed("id", "c_id"), F.col("id") == F.col("c_id")).select("bucket", "id", F.col("id").alias("root"), "weight"), "near-members")
+    texts = cut(narrow.join(small(central.select(F.col("id").alias("need"))), F.col("id") == F.col("need")).groupBy("id").agg(F.min("body").alias("body")), "near-texts")
+    single = texts.mapInArrow(_rare(width), "shingle long, id long").groupBy("shingle").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c")).filter("c = 1")
+    alone = single.groupBy(F.col("id").alias("s_id")).agg(F.count(F.lit(1)).alias("alone"))
+    meta = cut(central.select("id").join(classes.select(F.col("id").alias("k_id"), "n", "sketch"), F.col("id") == F.col("k_id")).join(alone, F.col("id") == F.col("s_id"), "left").select(F.col("id").alias("key"), "n", "sketch", F.coalesce("alone", F.lit(0)).alias("alone")), "near-meta")
     allowed = most_different(percent / 100 - margin, bands * rows, bits)
+    differ: Column = sum((F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(bits // 64)), F.lit(0))
+    side = lambda c: meta.select(*[F.col(x).alias(f"{c}_{x}") for x in meta.columns])
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that the sketch allows and the full sets confirm."""
-        side = lambda c: meta.select(F.col("key").alias(f"{c}_key"), F.col("n").alias(f"{c}_n"), F.col("sketch").alias(f"{c}_sketch"))
-        met = pairs.join(side("b"), F.col("b") == F.col("b_key")).join(side("a"), F.col("a") == F.col("a_key"))
-        differ: Column = sum((F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(bits // 64)), F.lit(0))
-        possible = (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (differ <= allowed)
-        good = cut(met.filter(possible).select("a", "b"), "near-candidates")
-        need = cut(good.select(F.explode(F.array("a", "b")).alias("need")).distinct(), "near-needed")
-        texts = cut(narrow.join(small(need), F.col("id") == F.col("need")).groupBy("id").agg(F.min("body").alias("body")), "near-texts")
+    def meet(pairs: DataFrame) -> DataFrame:
+        """(a, b, both, a_n, b_n) of the pairs, counted on their full sets."""
         first = texts.select(F.col("id").alias("b_id"), F.col("body").alias("b_body"))
         second = texts.select(F.col("id").alias("a_id"), F.col("body").alias("a_body"))
-        full = good.join(first, F.col("b") == F.col("b_id")).join(second, F.col("a") == F.col("a_id")).select("a", "b", "a_body", "b_body")
-        return cut(full.mapInArrow(_confirm(width, percent), "a long, b long"), "near-links")
+        full = pairs.join(first, F.col("b") == F.col("b_id")).join(second, F.col("a") == F.col("a_id")).select("a", "b", "a_body", "b_body")
+        got = cut(full.mapInArrow(_meet(width), "a long, b long, both long"), "near-met")
+        return got.join(side("a"), F.col("a") == F.col("a_key")).join(side("b"), F.col("b") == F.col("b_key"))
 
-    found, stars, progress = [], 0, True
+    linked = 100 * F.col("both") >= percent * (F.col("a_n") + F.col("b_n") - F.col("both"))
+    links, stars, away = None, 0, None
     while True:
-        order = F.xxhash64(F.lit(stars), "id")
-        state = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"), F.min(F.struct(order.alias("h"), "id", "root")).alias("leader"))
-        open_ = cut(state.filter("lo <> hi").select(F.col("bucket").alias("open"), "size", F.col("leader.id").alias("leader"), F.col("leader.root").alias("leader_root")), "near-open")
-        live = members.join(open_, F.col("bucket") == F.col("open"))
-        per_root = live.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("p"))
-        left = per_root.agg(F.sum("p")).first()[0]
-        if not left:
-            break
-        last = left <= max(100_000, ALL_PAIRS * members.count()) or stars >= STAR_ROUNDS or not progress
-        if last:
-            one = live.select("bucket", F.col("id").alias("a"), F.col("root").alias("a_root"))
-            two = live.select(F.col("bucket").alias("b_bucket"), F.col("id").alias("b"), F.col("root").alias("b_root"))
-            pairs = one.join(two, (F.col("bucket") == F.col("b_bucket")) & (F.col("a") > F.col("b")) & (F.col("a_root") != F.col("b_root")))
-        else:
-            pairs = live.filter("root <> leader_root").select(F.col("id").alias("a"), F.col("leader").alias("b"))
-        links = links_of(pairs.select("a", "b").distinct())
-        progress = bool(links.take(1))
-        found.append(links)
-        if last:
+        order = F.struct((-F.col("weight")).alias("w"), "id", "root") if not stars else F.struct(F.xxhash64(F.lit(stars), "id").alias("w"), "id", "root")
+        state = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(order).alias("leader"))
+        open_ = cut(state.filter("lo <> hi").select(F.col("bucket").alias("open"), F.col("leader.id").alias("leader"), F.col("leader.root").alias("leader_root")), "near-open")
+        if not open_.take(1):
             break
-        if progress:
-            roots = components(links.join(members.select(F.col("id").alias("ia"), F.col("root").alias("ra")).distinct(), F.col("a") == F.col("ia")).join(members.select(F.col("id").alias("ib"), F.col("root").alias("rb")).distinct(), F.col("b") == F.col("ib")).select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-            members = _relabel(members, roots)
+        live = members.join(open_, F.col("bucket") == F.col("open"))
+        pairs = live.filter("root <> leader_root").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+        if stars:
+            near = pairs.join(side("b"), F.col("b") == F.col("b_key")).join(side("a"), F.col("a") == F.col("a_key"))
+            pairs = near.filter((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (differ <= allowed)).select("a", "b")
+        pairs = cut(pairs, "near-pairs")
+        met = meet(pairs)
+        if not stars:  # how far each text is from its buckets' leaders, in shingles
+            away = cut(met.select("a", "b", (F.col("a_n") + F.col("b_n") - 2 * F.col("both")).alias("away")), "near-away").unionAll(pairs.select(F.col("b").alias("a"), "b", F.lit(0).cast("long")).distinct())
+            hubs = open_.select(F.col("open").alias("h_bucket"), F.col("leader").alias("hub"))
+        new = cut(met.filter(linked).select("a", "b"), "near-links")
+        links = new if links is None else links.unionAll(new)
+        gained, tested = new.count(), pairs.count()
+        if gained:
+            by_root = members.select("id", "root").distinct()
+            ends = new.join(by_root.toDF("ia", "ra"), F.col("a") == F.col("ia")).join(by_root.toDF("ib", "rb"), F.col("b") == F.col("ib"))
+            members = _relabel(members, components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
         stars += 1
-    own = usable.select("id", "set_a", "set_b").join(classes.select(F.col("set_a").alias("ca"), F.col("set_b").alias("cb"), F.col("id").alias("class_id")), (F.col("set_a") == F.col("ca")) & (F.col("set_b") == F.col("cb")))
-    # rows that share an id but not a set are one document
-    repeated = usable.groupBy("id").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).filter("lo <> hi").select(F.col("id").alias("twice"))
-    every = cut(own.join(small(cut(repeated, "near-repeated")), F.col("id") == F.col("twice")).select(F.col("id").alias("a"), F.col("class_id").alias("b")), "near-links")
-    for x in found:
-        every = every.unionAll(x)
-    roots = components(every).toDF("node", "reached")
-    labels = cut(classes.select("set_a", "set_b", "id").join(small(roots), F.col("id") == F.col("node"), "left").select(F.col("set_a").alias("la"), F.col("set_b").alias("lb"), F.coalesce("reached", "id").alias("component")), "near-labels")
+        if gained * 20 >= tested and stars < STAR_ROUNDS:
+            continue
+        # all pairs of a bucket that still lie in different components, if their bounds allow a link:
+        # two sets differ by at least what each differs from the leader, less twice what both can
+        # share of that, and a shingle that no other text has is never shared
+        mixed = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select(F.col("bucket").alias("open"))
+        rest = members.join(mixed, F.col("bucket") == F.col("open")).join(hubs, F.col("bucket") == F.col("h_bucket")).join(away.toDF("w_id", "w_hub", "away"), (F.col("id") == F.col("w_id")) & (F.col("hub") == F.col("w_hub")), "left")
+        rest = cut(rest.join(meta, F.col("id") == F.col("key")).select("bucket", "id", "root", "n", "sketch", "alone", "away"), "near-rest")
+        one, two = (rest.select(*[F.col(x).alias(f"{c}_{x}") for x in rest.columns]) for c in "ab")
+        apart = F.col("a_away") + F.col("b_away") - 2 * F.least(F.col("a_away") - F.col("a_alone"), F.col("b_away") - F.col("b_alone"))
+        most = F.least(F.col("a_n") - F.col("a_alone"), F.col("b_n") - F.col("b_alone"))
+        may = (100 * most >= percent * (F.col("a_n") + F.col("b_n") - most)) & F.coalesce((100 + percent) * apart <= (100 - percent) * (F.col("a_n") + F.col("b_n")), F.lit(True))
+        cross = one.join(two, (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_id") > F.col("b_id")) & (F.col("a_root") != F.col("b_root")) & may & (differ <= allowed))
+        last = meet(cut(cross.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "near-pairs"))
+        links = links.unionAll(cut(last.filter(linked).select("a", "b"), "near-links"))
+        break
+    labels = classes.select("set_a", "set_b", "id")
+    if links is None:
+        labels = labels.withColumn("component", F.col("id"))
+    else:
+        labels = labels.join(small(components(links).toDF("node", "reached")), F.col("id") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("reached", "id").alias("component"))
+    labels = cut(labels.select(F.col("set_a").alias("la"), F.col("set_b").alias("lb"), "component"), "near-labels")
     out = signed.join(labels, (F.col("set_a") == F.col("la")) & (F.col("set_b") == F.col("lb")) & F.col("id").isNotNull(), "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
@@ -234,4 +257,4 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _relabel(members: DataFrame, roots: DataFrame) -> DataFrame:
     new = roots.toDF("node", "new_root")
-    return cut(members.join(small(new), F.col("root") == F.col("node"), "left").select("bucket", "id", F.coalesce("new_root", "root").alias("root")), "near-members")
+    return cut(members.join(small(new), F.col("root") == F.col("node"), "left").select("bucket", "id", F.coalesce("new_root", "root").alias("root"), "weight"), "near-members")
