@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import ByteWriter, cut, per_process, read_range, shared_dir, slices, span_hashes, utf8
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 _DOCS = "kind string, block string, doc_ids binary, bucket int, payload binary"
 _DOCS_SCHEMA = pa.schema([("kind", pa.string()), ("block", pa.string()), ("doc_ids", pa.binary()), ("bucket", pa.int32()), ("payload", pa.binary())])
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
@@ -157,6 +157,16 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _short(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint8 if not len(x) or x.max() < 256 else np.uint32)
+
+
+def _gaps(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rising numbers as low bytes and the rest of their gaps."""
+    gaps = np.diff(numbers.astype(np.int64), prepend=0)
+    return (gaps & 0xFF).astype(np.uint8), _short(gaps >> 8)
+
+
 def _explode(folder: str, buckets: int):
     def block_rows(ids: list, off: np.ndarray, data: np.ndarray) -> Iterator[dict]:
         """One block: its sequence is saved, its words are dealt out by hash."""
@@ -193,7 +203,7 @@ def _explode(folder: str, buckets: int):
         out.close()
         yield {"kind": "docs", "block": f"{out.uri} {len(saved)}", "doc_ids": pack([np.array([x or 0 for x in ids], np.int64), np.array([x is None for x in ids], np.uint8), np.frombuffer(digests, np.uint8)]), "bucket": None, "payload": len(distinct).to_bytes(8, "little")}
         owner = (distinct % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(owner, kind="stable")
+        order = np.lexsort((number, owner))  # numbers rise within a bucket, so their gaps are small
         bounds = np.searchsorted(owner[order], np.arange(buckets + 1))
         for k in range(buckets):
             own = order[bounds[k] : bounds[k + 1]]
@@ -201,7 +211,7 @@ def _explode(folder: str, buckets: int):
                 n, p = length[at[own]], place[at[own]]
                 begin = np.cumsum(n) - n
                 chars = data[np.arange(int(n.sum())) + np.repeat(p - begin, n)]
-                yield {"kind": "words", "block": f"{out.uri} {len(saved)}", "doc_ids": None, "bucket": k, "payload": pack([number[own], n.astype(np.uint32), chars])}
+                yield {"kind": "words", "block": f"{out.uri} {len(saved)}", "doc_ids": None, "bucket": k, "payload": pack([*_gaps(number[own]), _short(n), chars])}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, parts, size = [], [], 0
@@ -234,7 +244,8 @@ def _encode(path: str, pattern: str):
         encode = _encoder(path, pattern).encode_ordinary
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                number, length, chars = unpack(payload)
+                low, high, length, chars = unpack(payload)
+                length = length.astype(np.int64)
                 raw, end = chars.tobytes(), np.cumsum(length)
                 found = []
                 for a, b in zip((end - length).tolist(), end.tolist(), strict=True):
@@ -244,7 +255,7 @@ def _encode(path: str, pattern: str):
                         ids = known[word] = encode(word.decode("utf-8", "replace"))
                     found.append(ids)
                 ids = np.array([i for x in found for i in x], np.uint32)
-                answer = pack([number, np.array([len(x) for x in found], np.uint32), ids.astype(np.uint16) if not len(ids) or ids.max() < 65536 else ids])
+                answer = pack([low, high, _short(np.array([len(x) for x in found])), ids.astype(np.uint16) if not len(ids) or ids.max() < 65536 else ids])
                 yield pa.RecordBatch.from_pylist([{"block": block, "payload": answer}], schema=schema)
 
     return run
@@ -263,7 +274,8 @@ def _reassemble(path: str, keep_ids: bool):
         words = int.from_bytes(doc["payload"], "little")
         length, start, parts, at = np.zeros(words, np.int64), np.zeros(words, np.int64), [], 0
         for payload in pdf.loc[~of_docs, "payload"]:
-            number, n, ids = unpack(payload)
+            low, high, n, ids = unpack(payload)
+            number = np.cumsum(low.astype(np.int64) | (high.astype(np.int64) << 8))
             n = n.astype(np.int64)
             length[number], start[number] = n, at + np.cumsum(n) - n
             parts.append(ids.astype(np.uint32))
@@ -306,13 +318,12 @@ def bpe(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     """<id>, n_tokens, ids_sha256, decoded_sha256, and with keep_ids the ids themselves.
 
     ranks_path must be readable on the executors. buckets: parts of the vocabulary; by default
-    one for each 64 MB of text that the blocks show, 32 at least."""
+    one for each 8,000 documents, 8 at least."""
     spark = docs.sparkSession
     folder = shared_dir(spark, "bpe-sequences")
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("body"))
     if buckets is None:
-        # 20,000 documents are about 64 MB; counting reads no text
-        buckets = max(32, -(-docs.count() // 20_000))
+        buckets = max(8, -(-docs.count() // 8_000))
     sent = cut(narrow.mapInArrow(_explode(folder, buckets), _DOCS), "bpe-words")
     words = sent.filter("kind = 'words'").select("block", "payload", "bucket").repartition(buckets, "bucket").select("block", "payload")
     answers = words.mapInArrow(_encode(ranks_path, pattern), "block string, payload binary")
