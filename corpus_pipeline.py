@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import bpe
-from leafmill.llm.common import cut
+from leafmill.llm.common import cut, small
 from leafmill.llm.langid import reject
 from leafmill.llm.line_dedup import line_dedup
 from leafmill.llm.mixing import mix
@@ -41,7 +41,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, sorted by position. Rows that share an id
     each take the longest list of positions among them."""
     taken = mix(docs).filter("size(positions) > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max_by("positions", F.size("positions")).alias("__positions"))
-    met = docs.join(cut(taken, "pipeline-mix"), F.col("doc_id").eqNullSafe(F.col("__id")))
+    met = docs.join(small(cut(taken, "pipeline-mix")), F.col("doc_id").eqNullSafe(F.col("__id")))
     return met.withColumn("__at", F.explode("__positions")).orderBy("__at").select(docs.columns)
 
 
