@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a table of ids may be broadcast (about 16 MB of longs).
@@ -39,9 +39,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast only if its counted rows stay within the limit."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
+    """df, marked for broadcast only if its counted rows, or the sum of their weights, stay
+    within the limit. A weight holds what a row with an array counts for."""
+    size = df.limit(limit + 1).count() if weight is None else df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= limit else df
 
 
 def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, utf8
+from .common import cut, small, utf8
 
 WINDOW, MIN_LINES, MIN_WORDS = 3, 3, 50
 
@@ -113,6 +113,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     both = pairs.join(first, F.col("first_id") == F.col("f_id")).join(own, F.col("id") == F.col("o_id")).select("id", "first_id", "shift", "seeds", "numbers", "hashes", "words", "first_hashes")
     gone = both.mapInArrow(_extend(min_lines, min_words), "id long, gone array<int>").groupBy(F.col("id").alias("__of")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone"))
     gone = cut(gone, "line-gone")
-    out = docs.join(gone, key == F.col("__of"), "left")
+    # counted with their lines: texts are only shuffled if the list is too long to broadcast
+    out = docs.join(small(gone, weight=F.size("__gone") + 1), key == F.col("__of"), "left")
     kept = F.array_join(F.filter(F.split(body, "\n", -1), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
     return out.withColumns({text_col: F.when(F.col("__gone").isNull(), body).otherwise(kept), "__removed": F.coalesce(F.size("__gone"), F.lit(0))}).select(*[F.col(f"`{c}`") for c in docs.columns], "__removed")
