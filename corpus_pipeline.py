@@ -34,7 +34,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     gone = cut(near_dedup(docs).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "pipeline-near")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return docs.join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, per_process, slices, utf8
+from .common import cut, per_process, slices, small, utf8
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, 3
 PER_LANGUAGE, EPOCHS, RATE, TABLE_RATE, BATCH = 600, 8, 0.5, 20.0, 8
@@ -175,4 +175,4 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def reject(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """docs without the rows that the classifier rejects; null ids stay with their prediction."""
     tagged = cut(language_id(docs, id_col, text_col, lang_col).filter("rejected").select(F.col(id_col).alias("__gone")).distinct(), "langid-rejected")
-    return docs.join(tagged, F.col(f"`{id_col}`").eqNullSafe(F.col("__gone")), "left_anti")
+    return docs.join(small(tagged), F.col(f"`{id_col}`").eqNullSafe(F.col("__gone")), "left_anti")
