@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # They must equal the reference's for right results.
@@ -39,6 +39,14 @@ HINTS = (
     ("qual a diferença|por que é mais", "", "", "Compare as características principais"),
 )
 LAST_HINT = "Revise o conceito central deste tópico"
+PRESET_SCHEMA = "name string, desired_retention double, learning_steps array<string>, graduating_interval int, easy_interval int, maximum_interval int, new_cards_per_day int, maximum_reviews_per_day int, description string"
+PRESET_ROWS = [
+    ("3V-Core", 0.9, ["10m", "30m"], 1, 4, 180, 15, 100, "Anatomia básica do 3V - equilibrado"),
+    ("3V-Vascular", 0.92, ["10m", "30m", "1d"], 2, 5, 180, 10, 80, "Vascularização - retenção maior"),
+    ("3V-Surgical", 0.93, ["10m", "30m", "1d"], 2, 5, 150, 8, 60, "Abordagens cirúrgicas - alta retenção"),
+    ("3V-Clinical", 0.88, ["15m", "1h"], 1, 3, 120, 5, 50, "Casos clínicos - espaçamento maior"),
+    ("3V-Reference", 0.85, ["30m"], 3, 7, 365, 20, 150, "Abreviações e referências - manutenção leve"),
+]
 
 
 def difficulty(question: Column, tags: Column) -> Column:
@@ -81,6 +89,31 @@ def distribution(cards: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(total), F.lit(True)).select("difficulty", "n", (F.floor(F.col("n") * 1000.0 / F.col("total") + 0.5) / 10).alias("percent"))
 
 
+def shown_question() -> Column:
+    """The question as a report shows it."""
+    return F.concat(F.substring("question", 1, 60), F.lit("..."))
+
+
+def hint_categories(cards: DataFrame) -> DataFrame:
+    """category, n of the hard cards; a card counts in each category that it meets, or in Outros."""
+    asked = F.lower(shown_question())
+    kinds = {"Casos clinicos": asked.contains("caso:"), "Abordagens": F.col("tags").contains("cirurgico-abordagem"), "V/F": asked.contains("verdadeiro"), "Vascular clinico": F.col("tags").contains("vascular") & F.col("tags").contains("clinico")}
+    kinds = {name: F.coalesce(met, F.lit(False)) for name, met in kinds.items()}
+    kinds["Outros"] = ~F.greatest(*kinds.values())
+    counts = cards.filter("difficulty = 'D'").agg(*[F.count_if(met).alias(name) for name, met in kinds.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("category"), F.col(f"`{name}`").alias("n")) for name in kinds])))
+
+
+def first_hints(cards: DataFrame, order: str, n: int = 15) -> DataFrame:
+    """The first n hard cards, as a report shows them."""
+    return cards.filter("difficulty = 'D'").orderBy(order).limit(n).select(order, shown_question().alias("question"), "tags", "hint")
+
+
+def presets(spark: SparkSession) -> DataFrame:
+    """The scheduling presets."""
+    return spark.createDataFrame(PRESET_ROWS, PRESET_SCHEMA)
+
+
 def deck(cards: DataFrame, order: str) -> DataFrame:
     """total, counts by difficulty, and the most frequent preset (the first met of equals)."""
     by = cards.groupBy(preset(F.col("tags")).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))

@@ -29,6 +29,21 @@ def references(blocks: DataFrame, figures: DataFrame) -> DataFrame:
     return cited.join(figures.select("document_id", "figure_id"), ["document_id", "figure_id"]).groupBy("document_id", "figure_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("page", "block", "id"))), lambda x: x["id"]).alias("referencing_blocks"))
 
 
+def attach(chunks: DataFrame, figures: DataFrame, key: tuple[str, ...] = ("document_id", "page", "block", "part")) -> DataFrame:
+    """chunks (id, content, is_figure_caption and the key) with figure_references: structs of figure_id,
+    image_path and caption_snippet. A caption takes the figure of its block; other text takes the figures
+    that it cites as 'Fig. X.Y', in the order of their first mention. Labels without a figure are left out."""
+    image = F.coalesce(*[F.col(c) for c in ("image_path", "image_file") if c in figures.columns], F.lit(""))
+    refs = figures.select("document_id", "figure_id", "caption_block_id", F.struct("figure_id", image.alias("image_path"), T.snippet(F.col("caption")).alias("caption_snippet")).alias("ref"))
+    labels = F.transform(F.regexp_extract_all("content", F.lit(r"(?i)Fig\.\s*(\d+\.\d+)"), F.lit(1)), lambda n: F.concat(F.lit("Fig. "), n))
+    cited = chunks.filter(~F.col("is_figure_caption")).select(*key, F.posexplode(F.array_distinct(labels)).alias("pos", "figure_id"))
+    own = chunks.filter("is_figure_caption").select(*key, F.lit(0).alias("pos"), F.col("id").alias("caption_block_id"))
+    found = [side.join(refs, ["document_id", on]).select(*key, "pos", "ref") for side, on in ((cited, "figure_id"), (own, "caption_block_id"))]
+    lists = found[0].unionAll(found[1]).groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "ref"))), lambda x: x["ref"]).alias("figure_references"))
+    empty = F.array().cast("array<struct<figure_id:string,image_path:string,caption_snippet:string>>")
+    return chunks.join(lists, list(key), "left").withColumn("figure_references", F.coalesce("figure_references", empty))
+
+
 def summary(figures: DataFrame) -> DataFrame:
     mapped = F.count_if(F.col("status") == "mapped")
     return figures.agg(F.count(F.lit(1)).alias("total_figures"), mapped.alias("mapped_figures"), F.count_if(F.col("status") != "mapped").alias("unmapped_figures"), F.coalesce(F.try_divide(mapped * 100.0, F.count(F.lit(1))), F.lit(0.0)).alias("coverage_percentage"))

@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import cards as C
 from ..operators import chunks as K
 from ..operators import figures as G
+from ..operators import gates as V
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -88,10 +89,9 @@ def nfc_normalize(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", T.nfc(F.replace(F.coalesce("text", F.lit("")), F.lit("e"), F.lit("é"))).alias("value"))
 
 
-@_query(r"SELECT doc_id, regexp_replace(replace(coalesce(text, ''), 'tion', 'ti-' || chr(10) || 'on'), '([A-Za-z0-9_]+)-' || chr(10) || '([A-Za-z0-9_]+)', '\1\2', 'g') AS value FROM documents WHERE regexp_matches(coalesce(text, ''), '^[\x00-\x7F]*$') AND NOT regexp_matches(text, '[A-Za-z0-9_]{29}')")
+@_query(r"SELECT doc_id, regexp_replace(replace(coalesce(text, ''), 'tion', 'ti-' || chr(10) || 'on'), '([A-Za-z0-9_]+)-' || chr(10) || '([A-Za-z0-9_]+)', '\1\2', 'g') AS value FROM documents")
 def rejoin_hyphenated(spark, sf_dir):
-    rows = _t(spark, sf_dir, "documents").filter(~F.coalesce("text", F.lit("")).rlike(r"[^\x00-\x7F]") & ~F.col("text").rlike("[A-Za-z0-9_]{29}"))
-    return rows.select("doc_id", T.rejoin_hyphenated(F.replace(F.coalesce("text", F.lit("")), F.lit("tion"), F.lit("ti-\non"))).alias("value"))
+    return _t(spark, sf_dir, "documents").select("doc_id", T.rejoin_hyphenated(F.replace(F.coalesce("text", F.lit("")), F.lit("tion"), F.lit("ti-\non"))).alias("value"))
 
 
 @_query()
@@ -198,9 +198,9 @@ def chunk_gates(spark, sf_dir):
     return K.gates(chunks, source)
 
 
-@_query(f"WITH {_CHUNKS} SELECT chunk_id, CASE WHEN token_count BETWEEN 1 AND 600 THEN '' ELSE 'token_count' END AS broken FROM chunks WHERE content <> ''")
+@_query(f"WITH {_CHUNKS} SELECT chunk_id, concat_ws(',', CASE WHEN content = '' THEN 'content' END, CASE WHEN token_count NOT BETWEEN 1 AND 600 THEN 'token_count' END) AS broken FROM chunks")
 def contract_violations(spark, sf_dir):
-    return K.violations(conversation_chunks(spark, sf_dir)).filter("content <> ''").select("chunk_id", F.array_join("violations", ",").alias("broken"))
+    return K.violations(conversation_chunks(spark, sf_dir)).select("chunk_id", F.array_join("violations", ",").alias("broken"))
 
 
 @_query(f"WITH {_CHUNKS} SELECT chunk_id FROM chunks WHERE contains(lower(content), 'that') AND NOT is_figure_caption")
@@ -249,6 +249,55 @@ def figure_link(spark, sf_dir):
     return found.select("document_id", "figure_id", F.array_join("referencing_blocks", ",").alias("blocks"))
 
 
+def figure_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """figure_blocks as linked chunks with their figures."""
+    chunks = figure_blocks(spark, sf_dir).withColumns({"part": F.lit(0), "is_figure_caption": F.col("block_type") == "figure_caption"})
+    return G.attach(K.link(chunks), _figures(spark, sf_dir))
+
+
+_ATTACHED = f"""{_FIGURES},
+    b AS (SELECT p_partkey // 100 AS document_id, p_partkey AS block, p_partkey % 3 = 0 AS cap, 'Fig. ' || (3 * p_partkey % 9 + 1) || '.' || (3 * p_partkey % 20 + 1) AS cites,
+          row_number() OVER (PARTITION BY p_partkey // 100 ORDER BY p_partkey) - 1 AS seq FROM part),
+    attached AS (SELECT b.document_id, b.block, b.document_id || '-chunk-' || lpad(seq::VARCHAR, 4, '0') AS chunk_id, f.figure_id, f.image_file, f.caption
+                 FROM b LEFT JOIN figures f ON b.document_id = f.document_id AND CASE WHEN cap THEN f.caption_block_id = b.block::VARCHAR ELSE f.figure_id = cites END)"""
+
+
+@_query(f"WITH {_ATTACHED} SELECT chunk_id, CASE WHEN figure_id IS NULL THEN '' ELSE figure_id || '|' || coalesce(image_file, '') || '|' || caption END AS refs FROM attached")
+def figure_attach(spark, sf_dir):
+    one = lambda r: F.concat_ws("|", r["figure_id"], r["image_path"], r["caption_snippet"])
+    return figure_chunks(spark, sf_dir).select("chunk_id", F.array_join(F.transform("figure_references", one), ";").alias("refs"))
+
+
+@_query(f"WITH {_ATTACHED} SELECT document_id, figure_id AS key, string_agg(chunk_id, ',' ORDER BY block) AS ids FROM attached WHERE figure_id IS NOT NULL GROUP BY ALL")
+def chunk_index_figure(spark, sf_dir):
+    chunks = figure_chunks(spark, sf_dir).withColumn("figures", F.transform("figure_references", lambda r: r["figure_id"]))
+    return K.index_by(chunks, "figures").select("document_id", "key", F.array_join("chunk_ids", ",").alias("ids"))
+
+
+def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = figure_blocks(spark, sf_dir).select("document_id", F.col("id").alias("source_id"), T.ligatures(F.col("content")).alias("content"))
+    return V.evaluate(V.measure(blocks, _figures(spark, sf_dir)))
+
+
+_GATED = f"""{_FIGURES},
+    shares AS (SELECT document_id, count(*) FILTER (status = 'mapped') * 100.0::DOUBLE / count(*) AS share FROM figures GROUP BY 1),
+    docs AS (SELECT DISTINCT p_partkey // 100 AS document_id FROM part),
+    gated AS (SELECT document_id, 'parse_rate' AS gate, 100.0::DOUBLE AS actual, 'pass' AS status, 'Parse rate 100.0% meets threshold' AS details FROM docs
+      UNION ALL SELECT document_id, 'ligature_count', 0.0, 'pass', 'No ligature characters found' FROM docs
+      UNION ALL SELECT document_id, 'figure_coverage', floor(coalesce(share, 0) * 10 + 0.5) / 10, CASE WHEN coalesce(share, 0) > 90 THEN 'pass' ELSE 'fail' END,
+                       'Coverage ' || printf('%.1f', coalesce(share, 0)) || CASE WHEN coalesce(share, 0) > 90 THEN '% exceeds threshold' ELSE '% below 90% threshold' END FROM docs LEFT JOIN shares USING (document_id))"""
+
+
+@_query(f"WITH {_GATED} SELECT * FROM gated")
+def document_gates(spark, sf_dir):
+    return _gated(spark, sf_dir).select("document_id", "gate", "actual", "status", "details")
+
+
+@_query(f"WITH {_GATED} SELECT document_id, CASE WHEN bool_and(status = 'pass') THEN 'pass' ELSE 'fail' END AS overall_status, count(*) FILTER (status = 'fail')::INTEGER AS n_failures FROM gated GROUP BY 1")
+def document_report(spark, sf_dir):
+    return V.report(_gated(spark, sf_dir)).select("document_id", "overall_status", F.size("failures").alias("n_failures"))
+
+
 @_query("SELECT p_partkey, array_to_string(list_transform(range(1, p_partkey % 4 + 2), lambda i: 'Fig. ' || (p_partkey % 9 + 1) || '.' || i), ',') AS refs FROM part")
 def figure_range_expand(spark, sf_dir):
     k = F.col("p_partkey")
@@ -309,6 +358,14 @@ def deck_config(spark, sf_dir):
     return C.deck(_graded(spark, sf_dir), "card")
 
 
+@_query(f"""WITH {_CARDS}, h AS (SELECT *, lower(substr(question, 1, 60)) AS q, {_DIFF} AS x FROM cards),
+    k AS (SELECT contains(q, 'caso:') AS a, contains(tags, 'cirurgico-abordagem') AS b, contains(q, 'verdadeiro') AS c, contains(tags, 'vascular') AND contains(tags, 'clinico') AS d FROM h WHERE x = 'D')
+    SELECT 'Casos clinicos' AS category, count(*) FILTER (a) AS n FROM k UNION ALL SELECT 'Abordagens', count(*) FILTER (b) FROM k UNION ALL SELECT 'V/F', count(*) FILTER (c) FROM k
+    UNION ALL SELECT 'Vascular clinico', count(*) FILTER (d) FROM k UNION ALL SELECT 'Outros', count(*) FILTER (NOT (a OR b OR c OR d)) FROM k""")
+def hint_categories(spark, sf_dir):
+    return C.hint_categories(_graded(spark, sf_dir))
+
+
 @_query(f"WITH {_CARDS} SELECT card, array_to_string([question, replace(answer, '\"', '&quot;'), array_to_string(list_transform(string_split(tags, ','), lambda t: '3V::' || trim(t)), ' '), mnemonic, {_DIFF}, ''], chr(9)) AS line FROM cards")
 def import_tsv(spark, sf_dir):
     cards = _graded(spark, sf_dir).withColumn("hint", F.lit("")).filter(C.valid())

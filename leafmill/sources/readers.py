@@ -59,6 +59,23 @@ def images(spark: SparkSession, folder: str) -> DataFrame:
     return files.withColumn("position", F.row_number().over(Window.orderBy(number, "image_file")))
 
 
+FIGURE = "struct<figure_id:string,page_number:int,caption:string,caption_block_id:string,abbreviations:map<string,string>,status:string,image_file:string,image_path:string,referencing_blocks:array<string>>"
+
+
+def figure_map(spark: SparkSession, path: str) -> DataFrame:
+    """document_id (null in the flat form) and the figures of saved maps, {document_id, figures, summary} or
+    flat; of equal caption blocks in a file the last one stays. A file that is neither form raises."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    nested = F.from_json("value", f"struct<document_id:string,figures:map<string,{FIGURE}>,summary:struct<total_figures:int>>")
+    is_nested = F.get_json_object("value", "$.figures").isNotNull() & F.get_json_object("value", "$.summary").isNotNull()
+    entries = F.when(is_nested, nested["figures"]).otherwise(F.from_json("value", f"map<string,{FIGURE}>"))
+    whole = F.forall(F.map_values("entries"), lambda e: e["figure_id"].isNotNull() & e["caption_block_id"].isNotNull() & e["status"].isin("mapped", "no-image-in-caption", "unresolved"))
+    checked = F.when(F.coalesce(whole, F.lit(False)), F.col("entries")).otherwise(F.raise_error(F.concat(F.lit("not a figure map: "), F.col("path"))))
+    rows = files.select("path", F.when(is_nested, nested["document_id"]).alias("document_id"), entries.alias("entries")).select("path", "document_id", F.posexplode(F.map_values(checked)).alias("pos", "entry"))
+    last = rows.groupBy("path", "document_id", "entry.caption_block_id").agg(F.max_by("entry", "pos").alias("entry"))
+    return last.select("document_id", "entry.*")
+
+
 def cards(spark: SparkSession, path: str) -> DataFrame:
     """Flashcards of a CSV with a header; rows of fewer than four fields are skipped."""
     schema = "question string, answer string, tags string, mnemonic string, difficulty string, hint string"
