@@ -15,7 +15,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a table of ids may be broadcast (about 16 MB of longs).
+#: Rows, counted with the entries of their arrays, up to which a table may be broadcast: 16 MB
+#: of longs, some hundred MB as a hash table of rows.
 BROADCAST_ROWS = 2_000_000
 #: Bytes of text that one numpy pass takes at once; a longer text is a pass of its own.
 SLICE_BYTES = 1 << 19
