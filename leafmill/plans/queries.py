@@ -94,7 +94,12 @@ def rejoin_hyphenated(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", T.rejoin_hyphenated(F.replace(F.coalesce("text", F.lit("")), F.lit("tion"), F.lit("ti-\non"))).alias("value"))
 
 
-@_query()
+_LINED = f"regexp_replace(nfc_normalize({_INJECT}), '\\r\\n?', chr(10), 'g')"
+_JOINED = f"regexp_replace({_LINED}, '([A-Za-z0-9_]+)-' || chr(10) || '([A-Za-z0-9_]+)', '\\1\\2', 'g')"
+_PLAIN = f"replace(replace(replace({_JOINED}, chr(64257), 'fi'), chr(8220), '\"'), chr(8212), '--')"
+
+
+@_query(f"SELECT doc_id, trim(regexp_replace({_PLAIN}, '[ \\t]+', ' ', 'g'), ' ' || chr(10) || chr(9)) AS value, (length({_INJECT}) - length(replace({_INJECT}, chr(64257), '')))::BIGINT AS before FROM documents")
 def normalize_text(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", T.normalize(_injected()).alias("value"), T.ligature_count(_injected()).alias("before"))
 
@@ -191,7 +196,11 @@ def chunk_summary(spark, sf_dir):
     return K.summary(conversation_chunks(spark, sf_dir))
 
 
-@_query()
+@_query(f"""WITH {_CHUNKS}, f AS (SELECT *, coalesce(lead(section_id) OVER w <> section_id, true) AS final FROM chunks WINDOW w AS (PARTITION BY document_id ORDER BY page, block)),
+    s AS (SELECT floor(count(*) * 100.0::DOUBLE / nullif(count(*) FILTER (trim(content, ' ' || chr(9) || chr(10) || chr(13)) <> ''), 0) + 0.5) AS coverage, max(token_count)::DOUBLE AS most,
+          count(*) FILTER (token_count < 80 AND NOT is_figure_caption AND NOT final) * 100.0::DOUBLE / count(*) AS small, count(*) FILTER (is_figure_caption)::DOUBLE AS captions FROM f)
+    SELECT 'content_coverage' AS gate, coverage AS value, coverage >= 100 AS passed FROM s UNION ALL SELECT 'max_token_limit', most, most <= 600 FROM s UNION ALL SELECT 'min_token_check', small, small < 1 FROM s
+    UNION ALL SELECT 'breadcrumb_coverage', 0, true FROM s UNION ALL SELECT 'figure_captions', captions, true FROM s UNION ALL SELECT 'schema_validation', 1, true FROM s""")
 def chunk_gates(spark, sf_dir):
     chunks = conversation_chunks(spark, sf_dir)
     source = chunks.withColumn("block_type", F.when(F.col("is_figure_caption"), "figure_caption").otherwise("text"))
