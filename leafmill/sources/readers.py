@@ -51,10 +51,16 @@ def markdown_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def images(spark: SparkSession, folder: str) -> DataFrame:
-    """image_file, position (from 1) by the first integer in the name, then by name."""
+    """image_file, position (from 1) by the first integer in the name, then by name. The folder is
+    listed through its Hadoop file system, as Spark's scans skip names that begin with _ or a dot; names
+    beginning with a dot are left out here too. A missing folder has no images."""
     from pyspark.sql import Window
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,jpeg,png,gif}").load(folder).select(F.substring_index("path", "/", -1).alias("image_file"))
+    sc = spark.sparkContext
+    pattern = sc._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.{{jpg,jpeg,png,gif}}")
+    found = pattern.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = sorted(name for f in found if f.isFile() and not (name := f.getPath().getName()).startswith("."))
+    files = spark.createDataFrame([(n,) for n in names], "image_file string")
     number = F.coalesce(F.nullif(F.regexp_extract("image_file", r"(\d+)", 1), F.lit("")).cast("long"), F.lit(0))
     return files.withColumn("position", F.row_number().over(Window.orderBy(number, "image_file")))
 

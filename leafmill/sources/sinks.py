@@ -16,6 +16,16 @@ def document_json(blocks: DataFrame) -> DataFrame:
     return pages.groupBy("document_id").agg(F.to_json(F.struct(F.col("document_id").alias("id"), F.sort_array(F.collect_list(F.struct("page", "blocks"))).alias("pages"))).alias("json"))
 
 
+def figure_map_json(figures: DataFrame) -> DataFrame:
+    """document_id, json: the figures by id and their summary; readers.figure_map reads it again."""
+    fields = [c for c in figures.columns if c != "document_id"]
+    mapped = F.count_if(F.col("status") == "mapped")
+    summary = F.struct(F.count(F.lit(1)).alias("total_figures"), mapped.alias("mapped_count"), F.count_if(F.col("status") != "mapped").alias("unmapped_count"), (mapped * 100.0 / F.count(F.lit(1))).alias("coverage_percentage"))
+    by_id = F.map_from_entries(F.sort_array(F.collect_list(F.struct("figure_id", F.struct(*fields)))))
+    got = figures.groupBy("document_id").agg(by_id.alias("figures"), summary.alias("summary"))
+    return got.select("document_id", F.to_json(F.struct("document_id", "figures", "summary")).alias("json"))
+
+
 def markdown(blocks: DataFrame, title: str) -> DataFrame:
     """document_id, markdown: headings by level, page headers left out, blank lines between."""
     line = F.when((F.col("block_type") == "section_header") & F.col("level").between(1, 6), F.concat(F.repeat(F.lit("#"), F.col("level")), F.lit(" "), "content")).otherwise(F.col("content"))
