@@ -20,7 +20,6 @@ COMPOUNDS = ("deep-seated", "well-known", "long-term", "short-term", "high-grade
 LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "ft", "\ufb06": "st"}
 QUOTES = {"\u201c": '"', "\u201d": '"', "\u201e": '"', "\u201f": '"', "\u2018": "'", "\u2019": "'", "\u201a": "'", "\u201b": "'", "\u00ab": '"', "\u00bb": '"', "\u2039": "'", "\u203a": "'"}
 DASHES = {"\u2013": "-", "\u2014": "--", "\u2012": "-", "\u2015": "--"}
-BLOCK_TYPES = {"Text": "text", "SectionHeader": "section_header", "PageHeader": "page_header", "Caption": "figure_caption", "ListGroup": "list", "ListItem": "list"}
 
 
 def js_trim(x: Column) -> Column:
@@ -172,6 +171,12 @@ def figure_references(x: Column) -> Column:
     return F.array_sort(F.array_distinct(every))
 
 
+def parsed_references(x: Column) -> Column:
+    """Labels as the JSON parser finds them: single references, then the starts of ranges, in the order of first mention."""
+    found = [F.regexp_extract_all(x, F.lit(p), F.lit(1)) for p in (r"(?i)Fig\.\s*(\d+\.\d+)", r"(?i)Figs\.\s*(\d+\.\d+)\s*[-\u2013]\s*\d+\.?\d*")]
+    return F.array_distinct(F.transform(F.concat(*found), lambda n: F.concat(F.lit("Fig. "), n)))
+
+
 def snippet(x: Column, limit: int = 100) -> Column:
     """At most limit characters, cut at the last blank within them, and '...'."""
     head = F.substring(x, 1, limit)

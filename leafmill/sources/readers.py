@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 MAX_BYTES = 100 * 1024 * 1024
-TYPES = {"Text": "text", "SectionHeader": "section_header", "PageHeader": "page_header", "Caption": "figure_caption", "ListGroup": "list"}
+# They must equal the reference's for right results. Other types are text.
+TYPES = {"SectionHeader": "section_header", "Text": "text", "Caption": "figure_caption", "FigureCaption": "figure_caption", "PageHeader": "page_header", "Equation": "inline_math", "Formula": "inline_math", "TextInlineMath": "inline_math"}
 
 
 def json_documents(spark: SparkSession, path: str, max_bytes: int = MAX_BYTES) -> DataFrame:
@@ -19,7 +20,7 @@ def json_documents(spark: SparkSession, path: str, max_bytes: int = MAX_BYTES) -
 
 
 def blocks(documents: DataFrame) -> DataFrame:
-    """path, page, order (array), id, block_type, html, hierarchy: all blocks of Page children, parents
+    """path, page, ord (array), id, source_type, html, bbox, hierarchy: all blocks of Page children, parents
     before children. page is the index among all children of the document."""
     documents.createOrReplaceTempView("__leafmill_documents")
     spark = documents.sparkSession
@@ -30,15 +31,18 @@ def blocks(documents: DataFrame) -> DataFrame:
           UNION ALL
           SELECT path, page, concat(ord, array(c.pos)), c.value FROM tree, LATERAL variant_explode(variant_get(node, '$.children', 'variant')) c)
         SELECT path, page, ord, variant_get(node, '$.id', 'string') AS id, variant_get(node, '$.block_type', 'string') AS source_type,
-               variant_get(node, '$.html', 'string') AS html, try_variant_get(node, '$.section_hierarchy', 'map<string,string>') AS hierarchy
+               variant_get(node, '$.html', 'string') AS html, try_variant_get(node, '$.bbox', 'array<double>') AS bbox, try_variant_get(node, '$.section_hierarchy', 'map<string,string>') AS hierarchy
         FROM tree WHERE variant_get(node, '$.block_type', 'string') NOT IN ('Page', 'Document')""")
 
 
 def content_blocks(rows: DataFrame) -> DataFrame:
-    """blocks() with type, level, text, hierarchy ids by numeric level, and section."""
+    """blocks() with type, level, text, box (zeros if it has fewer than four numbers), cited figures, hierarchy
+    ids by numeric level, and section."""
     kinds = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
     ids = F.transform(F.array_sort(F.transform(F.map_entries("hierarchy"), lambda e: F.struct(e["key"].cast("int").alias("k"), e["value"].alias("v")))), lambda e: e["v"])
     out = rows.withColumns({"block_type": F.coalesce(F.try_element_at(kinds, F.col("source_type")), F.lit("text")), "level": T.heading_level(F.coalesce("html", F.lit(""))), "content": T.strip_html(F.col("html")), "parent_hierarchy": F.coalesce(ids, F.array().cast("array<string>"))})
+    box = F.struct(*[F.coalesce(F.when(F.size("bbox") >= 4, F.col("bbox")[i]), F.lit(0.0)).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))])
+    out = out.withColumns({"bbox": box, "figure_references": T.parsed_references(F.col("content"))})
     return out.withColumn("section_id", F.coalesce(F.try_element_at("parent_hierarchy", F.lit(-1)), F.lit("")))
 
 

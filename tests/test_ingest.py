@@ -46,3 +46,13 @@ def test_image_names(spark, tmp_path):
         (tmp_path / name).write_bytes(b"x")
     assert [r.image_file for r in readers.images(spark, str(tmp_path)).orderBy("position").collect()] == ["x.gif", "_page_2.jpeg", "_page_10.png"]
     assert readers.images(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_block_fields(spark, tmp_path):
+    kinds = ["FigureCaption", "Equation", "Formula", "TextInlineMath", "ListGroup", "Odd"]
+    nodes = [block(i, k, "<p>Fig. 4.2, fig. 4.1 and Fig. 4.2</p>") | {"bbox": [1, 2, 3, 4] if i else [1]} for i, k in enumerate(kinds)]
+    (tmp_path / "a.json").write_text(json.dumps({"block_type": "Document", "children": [{"block_type": "Page", "bbox": [], "children": nodes}]}))
+    got = readers.content_blocks(readers.blocks(readers.json_documents(spark, str(tmp_path)))).orderBy("ord").collect()
+    assert [r.block_type for r in got] == ["figure_caption", "inline_math", "inline_math", "inline_math", "text", "text"]
+    assert tuple(got[0].bbox) == (0.0, 0.0, 0.0, 0.0) and tuple(got[1].bbox) == (1.0, 2.0, 3.0, 4.0)
+    assert got[0].figure_references == ["Fig. 4.2", "Fig. 4.1"]
