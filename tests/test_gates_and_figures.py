@@ -59,3 +59,10 @@ def test_card_reports(spark):
     assert [r.question for r in C.first_hints(cards, "card").collect()] == ["CASO: x verdadeiro...", "q" * 60 + "..."]
     names = {name for _, name in C.PRESETS} | {C.DEFAULT_PRESET}
     assert {r.name for r in C.presets(spark).collect()} == names
+
+
+def test_hint_rules(spark):
+    rows = [("Caso: x", "", "", "A-B-C", "Lembre-se: A-B-C"), ("Caso: x", "", "forame-monro", "x=y", "Pense nas estruturas adjacentes ao forame de Monro"), ("q", "3 Hs", "geral", "", "Mnemônico: 3 Hs (Hemi-)"), ("q", "", "clinico,vascular-arterias", None, "Quais territórios esta artéria irriga?"), ("q", "", "atomizado", "a-b-c-d-e-f-g-h-i-j-k", "Sequência: a-b-c-d-e-f-g-h-i-j-k"), ("q", "", "geral", "", C.LAST_HINT)]
+    cards = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, question string, answer string, tags string, mnemonic string, want string")
+    got = cards.orderBy("i").select(C.hint(cards.question, cards.answer, cards.tags, cards.mnemonic).alias("got"), "want").collect()
+    assert [r.got for r in got] == [r.want for r in got]
