@@ -10,6 +10,9 @@ from ..functions import text as T
 from ..functions.packing import count, split_block_udf
 
 TARGET, HARD, SMALL = 512, 600, 80
+#: What a merge carries along where it is there; CHUNK is the order of a written chunk's columns.
+CARRIED = ("breadcrumb", "character_count", "overlap_tokens", "figure_references", "page_numbers", "source_block_ids")
+CHUNK = ("chunk_id", "document_id", "breadcrumb", "breadcrumb_text", "content", "content_with_context", "page_numbers", "source_block_ids", "sequence_number", "previous_chunk_id", "next_chunk_id", "parent_section_id", "figure_references", "token_count", "character_count", "overlap_tokens", "is_figure_caption", "is_table", "contains_abbreviations")
 
 
 def header_index(blocks: DataFrame) -> DataFrame:
@@ -39,7 +42,7 @@ def split_blocks(blocks: DataFrame, target: int = TARGET) -> DataFrame:
     fits = T.tokens(F.col("content")) <= target - T.tokens(prefix)
     parts = F.when(fits, F.array("content")).otherwise(split_block_udf(target)(F.when(~fits, F.col("content")), F.when(~fits, T.tokens(prefix)).otherwise(0)))
     out = blocks.filter(processable()).select("*", F.posexplode(parts).alias("part", "chunk"))
-    return out.withColumns({"content": F.col("chunk"), "content_with_context": F.concat(prefix, "chunk")}).drop("chunk").withColumns({"token_count": T.tokens(F.col("content_with_context")), "character_count": T.utf16_length(F.col("content_with_context"))})
+    return out.withColumns({"content": F.col("chunk"), "content_with_context": F.concat(prefix, "chunk")}).drop("chunk").withColumns({"token_count": T.tokens(F.col("content_with_context")), "character_count": T.utf16_length(F.col("content"))})
 
 
 def _order() -> Window:
@@ -56,13 +59,14 @@ def link(chunks: DataFrame) -> DataFrame:
 def overlap(chunks: DataFrame, hard: int = HARD) -> DataFrame:
     """Prepends the last two sentences of the previous chunk of the same section, if the result fits."""
     before = chunks.withColumns({"__text": F.lag("content").over(_order()), "__section": F.lag("section_id").over(_order())})
-    tail = F.concat(F.array_join(T.last_sentences(F.col("__text"), 2), " "), F.lit(" "))
+    last = F.array_join(T.last_sentences(F.col("__text"), 2), " ")
+    tail = F.concat(last, F.lit(" "))
     apt = (F.col("__section") == F.col("section_id")) & ~F.col("is_figure_caption") & (T.js_trim(tail) != "")
     longer = F.when(apt, F.concat(F.col("breadcrumb_text"), F.lit("\n\n"), tail, F.col("content")))
     tried = before.withColumns({"__tail": tail, "__longer": longer})
     fits = F.coalesce(T.tokens(F.col("__longer")) <= hard, F.lit(False)) & F.col("__longer").isNotNull()
-    out = tried.withColumn("overlap_tokens", F.when(fits, T.tokens(F.col("__tail"))).otherwise(0)).withColumn("content", F.when(fits, F.concat("__tail", "content")).otherwise(F.col("content"))).withColumn("content_with_context", F.when(fits, F.col("__longer")).otherwise(F.col("content_with_context")))
-    return out.withColumns({"token_count": T.tokens(F.col("content_with_context")), "character_count": T.utf16_length(F.col("content_with_context"))}).drop("__text", "__section", "__tail", "__longer")
+    out = tried.withColumn("overlap_tokens", F.when(fits, T.tokens(last)).otherwise(0)).withColumn("content", F.when(fits, F.concat("__tail", "content")).otherwise(F.col("content"))).withColumn("content_with_context", F.when(fits, F.col("__longer")).otherwise(F.col("content_with_context")))
+    return out.withColumns({"token_count": T.tokens(F.col("content_with_context")), "character_count": T.utf16_length(F.col("content"))}).drop("__text", "__section", "__tail", "__longer")
 
 
 def section_final(chunks: DataFrame) -> DataFrame:
@@ -71,12 +75,20 @@ def section_final(chunks: DataFrame) -> DataFrame:
 
 
 def fold(rows: list[dict], small: int = SMALL, target: int = TARGET) -> list[dict]:
-    """Rows of one island: small ones join the row before, then a small row takes in the next."""
+    """Rows of one island: small ones join the row before, then a small row takes in the next. Ids of
+    blocks and page numbers are united, if there; all else is of the first row."""
 
     def merged(a: dict, b: dict) -> dict:
         text = a["content"] + "\n\n" + b["content"]
         whole = a["breadcrumb_text"] + "\n\n" + text
-        return a | {"content": text, "content_with_context": whole, "token_count": count(whole), "n_blocks": a["n_blocks"] + b["n_blocks"]}
+        out = a | {"content": text, "content_with_context": whole, "token_count": count(whole), "n_blocks": a["n_blocks"] + b["n_blocks"]}
+        if "character_count" in a:
+            out["character_count"] = len(text.encode("utf-16-le")) // 2
+        if "source_block_ids" in a:
+            out["source_block_ids"] = [*a["source_block_ids"], *(i for i in b["source_block_ids"] if i not in set(a["source_block_ids"]))]
+        if "page_numbers" in a:
+            out["page_numbers"] = sorted({*a["page_numbers"], *b["page_numbers"]})
+        return out
 
     def one_pass(todo: list[dict], is_small) -> list[dict]:
         out: list[dict] = []
@@ -91,9 +103,10 @@ def fold(rows: list[dict], small: int = SMALL, target: int = TARGET) -> list[dic
 
 
 def merge_small(chunks: DataFrame, small: int = SMALL, target: int = TARGET) -> DataFrame:
-    """Merges within islands: maximal runs of one section without captions, which no merge can cross."""
+    """Merges within islands: maximal runs of one section without captions, which no merge can cross.
+    Of the columns in CARRIED, those that chunks has go along."""
     edge = F.coalesce((F.lag("section_id").over(_order()) != F.col("section_id")) | F.col("is_figure_caption") | F.lag("is_figure_caption").over(_order()), F.lit(True))
-    keep = ["document_id", "page", "block", "part", "section_id", "is_figure_caption", "breadcrumb_text", "content", "content_with_context", "token_count"]
+    keep = ["document_id", "page", "block", "part", "section_id", "is_figure_caption", "breadcrumb_text", "content", "content_with_context", "token_count", *(c for c in CARRIED if c in chunks.columns)]
     islands = chunks.select(*keep, F.lit(1).cast("long").alias("n_blocks"), F.sum(edge.cast("int")).over(_order()).alias("island"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -116,24 +129,47 @@ def summary(chunks: DataFrame) -> DataFrame:
 
 
 def gates(chunks: DataFrame, source_blocks: DataFrame) -> DataFrame:
-    """gate, passed, value of each quality gate; an empty chunk set fails what has no share."""
+    """gate, value, passed, and how a report shows it (shown, threshold, details), of each quality gate; an
+    empty chunk set fails what has no share. A block is covered if a chunk names it in source_block_ids or,
+    without that column, has its page and block."""
     src = source_blocks.agg(F.count_if(processable()).alias("blocks"), F.count_if(F.col("block_type") == "figure_caption").alias("captions"))
     small = (F.col("token_count") < SMALL) & ~F.col("is_figure_caption") & ~F.col("is_section_final")
     got = section_final(chunks).agg(
-        F.count_distinct("document_id", "page", "block").alias("covered"), F.coalesce(F.max("token_count"), F.lit(0)).alias("most"),
-        F.try_divide(F.count_if(small) * 100.0, F.count(F.lit(1))).alias("small"), F.count_if(F.col("breadcrumb_text") == "").alias("bare"), F.count_if("is_figure_caption").alias("caption_chunks"),
+        F.count(F.lit(1)).alias("total"), F.coalesce(F.max("token_count"), F.lit(0)).alias("most"), F.max_by("chunk_id", F.struct("token_count", -F.col("sequence_number"))).alias("longest"),
+        F.count_if(small).alias("n_small"), F.count_if(F.col("breadcrumb_text") == "").alias("bare"), F.count_if("is_figure_caption").alias("caption_chunks"),
     )
-    row = got.join(F.broadcast(src), F.lit(True))  # one row each
+    named = chunks.select("document_id", F.explode("source_block_ids").alias("id")) if "source_block_ids" in chunks.columns else chunks.select("document_id", "page", "block")
+    row = got.join(F.broadcast(src), F.lit(True)).join(F.broadcast(named.distinct().agg(F.count(F.lit(1)).alias("covered"))), F.lit(True))  # one row each
     coverage = F.floor(F.try_divide(F.col("covered") * 100.0, F.col("blocks")) + 0.5)
-    gate = lambda name, value, ok: F.struct(F.lit(name).alias("gate"), value.cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("passed"))
+    share = F.try_divide(F.col("n_small") * 100.0, F.col("total"))
+    with_crumb = F.floor(F.try_divide((F.col("total") - F.col("bare")) * 100.0, F.col("total")) + 0.5)
+    percent = lambda x: F.concat(F.coalesce(x.cast("long").cast("string"), F.lit("NaN")), F.lit("%"))
+    none = F.lit(None).cast("string")
+
+    def gate(name: str, value: Column, ok: Column, shown: Column, threshold: Column, details: Column = none) -> Column:
+        return F.struct(F.lit(name).alias("gate"), value.cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("passed"), shown.cast("string").alias("shown"), threshold.cast("string").alias("threshold"), details.alias("details"))
+
     all_ = F.array(
-        gate("content_coverage", coverage, coverage >= 100), gate("max_token_limit", F.col("most"), F.col("most") <= HARD), gate("min_token_check", F.col("small"), F.col("small") < 1),
-        gate("breadcrumb_coverage", F.col("bare"), F.col("bare") == 0), gate("figure_captions", F.col("caption_chunks"), F.col("caption_chunks") >= F.col("captions")), gate("schema_validation", F.lit(1), F.lit(True)),
+        gate("content_coverage", coverage, coverage >= 100, percent(coverage), F.lit("100%"), F.format_string("%d/%d blocks covered", "covered", "blocks")),
+        gate("max_token_limit", F.col("most"), F.col("most") <= HARD, F.col("most"), F.lit(HARD), F.when(F.col("most") > HARD, F.format_string("Chunk %s exceeds limit", "longest"))),
+        gate("min_token_check", share, share < 1, F.col("n_small"), F.lit("<1%"), F.when(F.col("n_small") > 0, F.format_string(f"%d chunks below {SMALL} tokens (%.2f%% - excluding section-final)", F.col("n_small"), share))),
+        gate("breadcrumb_coverage", F.col("bare"), F.col("bare") == 0, percent(with_crumb), F.lit("100%")),
+        gate("figure_captions", F.col("caption_chunks"), F.col("caption_chunks") >= F.col("captions"), F.col("caption_chunks"), F.col("captions")),
+        gate("schema_validation", F.lit(1), F.lit(True), F.lit("valid"), F.lit("valid")),
     )
     return row.select(F.inline(all_))
 
 
-def violations(chunks: DataFrame, document_id: str = "document_id") -> DataFrame:
-    """Adds violations: the names of the contract rules that a row breaks."""
-    rules = {"chunk_id": F.col("chunk_id").rlike(r"^[A-Za-z0-9-]+-chunk-\d{4}$"), "content": F.col("content") != "", "token_count": F.col("token_count").between(1, HARD), "sequence_number": F.col("sequence_number") >= 0}
+def violations(chunks: DataFrame) -> DataFrame:
+    """Adds violations: the names of the contract rules that a row breaks; rules on columns that chunks
+    lacks don't apply."""
+    col = F.col
+    rules = {
+        "chunk_id": col("chunk_id").rlike(r"^[A-Za-z0-9-]+-chunk-\d{4}$"), "content": col("content") != "", "token_count": col("token_count").between(1, HARD), "sequence_number": col("sequence_number") >= 0,
+    }
+    optional = {
+        "breadcrumb": F.size("breadcrumb") > 0, "page_numbers": (F.size("page_numbers") > 0) & F.forall("page_numbers", lambda p: p >= 1), "source_block_ids": F.size("source_block_ids") > 0,
+        "figure_references": F.forall("figure_references", lambda r: (r["image_path"] != "") & r["figure_id"].rlike(r"^Fig\. \d+\.\d+$") & (F.length(r["caption_snippet"]) <= 150)),
+    }
+    rules |= {name: ok for name, ok in optional.items() if name in chunks.columns}
     return chunks.withColumn("violations", F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]), lambda v: v.isNotNull()))

@@ -32,7 +32,7 @@ def blocks(spark: SparkSession, json_path: str, document_id: str) -> DataFrame:
     """The document's blocks in order, their text normalised."""
     rows = readers.content_blocks(readers.blocks(readers.json_documents(spark, json_path)))
     in_page = Window.partitionBy("path", "page").orderBy("ord")
-    return rows.select(F.lit(document_id).alias("document_id"), "page", (F.row_number().over(in_page) - 1).alias("block"), "id", "block_type", "level", T.normalize(F.col("content")).alias("content"), "parent_hierarchy", "section_id")
+    return rows.select(F.lit(document_id).alias("document_id"), "page", (F.row_number().over(in_page) - 1).alias("block"), "id", "block_type", "level", T.normalize(F.col("content")).alias("content"), F.col("html").alias("raw_html"), "parent_hierarchy", "figure_references", "bbox", "section_id")
 
 
 def report(rows: DataFrame, figures: DataFrame) -> DataFrame:
@@ -40,15 +40,16 @@ def report(rows: DataFrame, figures: DataFrame) -> DataFrame:
     return V.evaluate(V.measure(rows.withColumn("source_id", F.col("id")), figures))
 
 
-def _existing(spark: SparkSession, out: str) -> list[str]:
+def existing(spark: SparkSession, out: str, names: tuple[str, ...]) -> list[str]:
+    """Those of the outputs that are there."""
     sc = spark.sparkContext
-    paths = [sc._jvm.org.apache.hadoop.fs.Path(f"{out}/{name}") for name in OUTPUTS]
+    paths = [sc._jvm.org.apache.hadoop.fs.Path(f"{out}/{name}") for name in names]
     return [p.toString() for p in paths if p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)]
 
 
 def ingest(spark: SparkSession, json_path: str, image_dir: str, out: str, title: str, force: bool = False) -> DataFrame:
     """Writes all outputs and returns the report. Refuses before the first write if one is there, unless forced."""
-    if not force and (there := _existing(spark, out)):
+    if not force and (there := existing(spark, out, OUTPUTS)):
         raise FileExistsError(f"already written: {', '.join(there)}")
     document_id = kebab(title)
     sinks.write(blocks(spark, json_path, document_id), f"{out}/blocks", force, "parquet")

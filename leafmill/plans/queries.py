@@ -204,7 +204,7 @@ def chunk_summary(spark, sf_dir):
 def chunk_gates(spark, sf_dir):
     chunks = conversation_chunks(spark, sf_dir)
     source = chunks.withColumn("block_type", F.when(F.col("is_figure_caption"), "figure_caption").otherwise("text"))
-    return K.gates(chunks, source)
+    return K.gates(chunks, source).select("gate", "value", "passed")
 
 
 @_query(f"WITH {_CHUNKS} SELECT chunk_id, concat_ws(',', CASE WHEN content = '' THEN 'content' END, CASE WHEN token_count NOT BETWEEN 1 AND 600 THEN 'token_count' END) AS broken FROM chunks")

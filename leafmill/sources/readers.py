@@ -86,6 +86,18 @@ def figure_map(spark: SparkSession, path: str) -> DataFrame:
     return last.select("document_id", "entry.*")
 
 
+DOCUMENT = "struct<id:string,pages:array<struct<page_number:int,blocks:array<struct<id:string,block_type:string,level:int,content:string,raw_html:string,parent_hierarchy:array<string>,figure_references:array<string>,bbox:struct<x1:double,y1:double,x2:double,y2:double>,section_id:string>>>>>"
+
+
+def document_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """The blocks of written documents: document_id, page, block and the block's fields. A file without an id raises."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.from_json("value", DOCUMENT).alias("d"))
+    document_id = F.coalesce(F.col("d.id"), F.raise_error(F.concat(F.lit("not a document: "), F.col("path"))).cast("string"))
+    pages = files.select(document_id.alias("document_id"), F.explode("d.pages").alias("p"))
+    rows = pages.select("document_id", F.col("p.page_number").alias("page"), F.posexplode("p.blocks").alias("block", "b"))
+    return rows.select("document_id", "page", "block", "b.*").withColumns({"parent_hierarchy": F.coalesce("parent_hierarchy", F.array().cast("array<string>")), "section_id": F.coalesce("section_id", F.lit(""))})
+
+
 def cards(spark: SparkSession, path: str) -> DataFrame:
     """Flashcards of a CSV with a header; rows of fewer than four fields are skipped."""
     schema = "question string, answer string, tags string, mnemonic string, difficulty string, hint string"

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from leafmill.plans import ingest
+from leafmill.plans import chunk, ingest
 from leafmill.sources import readers
 
 
@@ -56,3 +56,53 @@ def test_block_fields(spark, tmp_path):
     assert [r.block_type for r in got] == ["figure_caption", "inline_math", "inline_math", "inline_math", "text", "text"]
     assert tuple(got[0].bbox) == (0.0, 0.0, 0.0, 0.0) and tuple(got[1].bbox) == (1.0, 2.0, 3.0, 4.0)
     assert got[0].figure_references == ["Fig. 4.2", "Fig. 4.1"]
+
+
+def test_chunk_program(spark, export):
+    out = str(export / "out")
+    ingest.ingest(spark, str(export / "a.json"), str(export / "images"), out, "A Title: one")
+    # a chunk of 13 tokens before a caption of its section fails the gate of small chunks
+    assert chunk.main(["--in", out, "--out", f"{out}/c"]) == 1
+    rows = spark.read.parquet(f"{out}/c/chunks").orderBy("sequence_number").collect()
+    assert rows[0].__fields__ == list(chunk.K.CHUNK)
+    assert [(r.chunk_id, r.content, r.breadcrumb, r.page_numbers, r.source_block_ids, r.is_figure_caption, r.character_count) for r in rows] == [
+        ("a-title-one-chunk-0000", "See Fig. 4.1, the efficient one.", ["A & B"], [1], ["/page/0/Text/1"], False, 32), ("a-title-one-chunk-0001", "FIGURE 4.1. A cut.", ["A & B"], [1], ["/page/0/Caption/2"], True, 18)]
+    assert [[f.asDict() for f in r.figure_references] for r in rows] == [[{"figure_id": "Fig. 4.1", "image_path": "_page_1.jpg", "caption_snippet": "A cut."}]] * 2
+    index = json.loads(spark.read.text(f"{out}/c/chunk_index").first().value)
+    ids = ["a-title-one-chunk-0000", "a-title-one-chunk-0001"]
+    assert index == {"document_id": "a-title-one", "total_chunks": 2, "chunks_by_section": {"/page/0/SectionHeader/0": ids}, "chunks_by_page": {"1": ids}, "figure_to_chunks": {"Fig. 4.1": ids}}
+    whole = json.loads(spark.read.text(f"{out}/c/chunks_json").first().value)
+    assert [c["chunk_id"] for c in whole["chunks"]] == ids and whole["chunks"][0]["previous_chunk_id"] is None and whole["total_chunks"] == 2
+    gates = {g.name: (g.status, g.value) for g in spark.read.json(f"{out}/c/validation").first().gates}
+    assert gates["content_coverage"] == ("PASS", "100%") and gates["min_token_check"] == ("FAIL", "1") and len(gates) == 7
+    page = "\n".join(r.value for r in spark.read.text(f"{out}/c/preview", wholetext=True).collect())
+    assert page.index('id="a-title-one-chunk-0000"') < page.index('id="a-title-one-chunk-0001"') < page.index("<script>")
+    with pytest.raises(FileExistsError):
+        chunk.main(["--in", out, "--out", f"{out}/c"])
+    # the written document gives the same chunks
+    assert chunk.main(["--document", f"{out}/document", "--figure-map", f"{out}/figure_map", "--out", f"{out}/d"]) == 1
+    assert spark.read.parquet(f"{out}/d/chunks").orderBy("sequence_number").collect() == rows
+
+
+def test_chunk_contract(spark, export):
+    (export / "images/_page_1.jpg").unlink()
+    out = str(export / "out")
+    ingest.ingest(spark, str(export / "a.json"), str(export / "images"), out, "A Title: one")
+    with pytest.raises(ValueError, match="chunk-0000 .figure_references"):
+        chunk.main(["--in", out, "--out", f"{out}/c"])
+    assert chunk.existing(spark, f"{out}/c", chunk.OUTPUTS) == []
+    assert chunk.main(["--in", out, "--out", f"{out}/c", "--lenient"]) == 1
+
+
+def test_merged_chunks_unite_sources():
+    row = lambda n, i, p: {"content": "x" * 4 * n, "breadcrumb_text": "", "token_count": n, "n_blocks": 1, "content_with_context": "", "character_count": 4 * n, "source_block_ids": [i], "page_numbers": [p], "figure_references": [i]}
+    (got,) = chunk.K.fold([row(100, "a", 2), row(10, "b", 1), row(5, "a", 2)])
+    assert (got["source_block_ids"], got["page_numbers"], got["figure_references"], got["character_count"]) == (["a", "b"], [1, 2], ["a"], 464)
+
+
+def test_overlap_counts(spark):
+    """The joining blank isn't counted; characters are those of the content."""
+    text = "[Context: Document Root]\n\n"
+    rows = spark.createDataFrame([(1, 0, i, 0, "s", c, False, text[:-2], text + c) for i, c in enumerate(("Abc.", "Next one."))], "document_id int, page int, block int, part int, section_id string, content string, is_figure_caption boolean, breadcrumb_text string, content_with_context string")
+    got = chunk.K.overlap(rows).orderBy("block").collect()[1]
+    assert (got.content, got.overlap_tokens, got.character_count) == ("Abc. Next one.", 1, 14)
