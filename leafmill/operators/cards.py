@@ -117,7 +117,7 @@ def presets(spark: SparkSession) -> DataFrame:
 def deck(cards: DataFrame, order: str) -> DataFrame:
     """total, counts by difficulty, and the most frequent preset (the first met of equals)."""
     by = cards.groupBy(preset(F.col("tags")).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-    primary = by.agg(F.coalesce(F.max_by("p", F.struct("n", -F.col("first"))), F.lit(DEFAULT_PRESET)).alias("preset"))
+    primary = by.agg(F.coalesce(F.min_by("p", F.struct(-F.col("n"), F.col("first"))), F.lit(DEFAULT_PRESET)).alias("preset"))
     counts = cards.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("difficulty") == d).alias(f"n_{d.lower()}") for d in "EMD"])
     return counts.join(F.broadcast(primary), F.lit(True))
 
@@ -129,6 +129,11 @@ def import_line(prefix: str = "3V::") -> Column:
     return F.concat_ws("\t", safe(F.col("question")), safe(F.col("answer")), tags, safe(F.col("mnemonic")), F.col("difficulty"), safe(F.col("hint")))
 
 
+def csv_quoted(*fields: str) -> Column:
+    """A CSV line whose fields are all quoted; nulls are empty."""
+    return F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(F.coalesce(f, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for f in fields])
+
+
 def csv_field(x: Column) -> Column:
     """Quoted only if it holds a comma, a quote or a line break."""
     return F.when(x.rlike('[,"\n]'), F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(x)
