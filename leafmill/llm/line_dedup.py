@@ -1,13 +1,15 @@
 """Line dedup by winnowing over line hashes.
 
 A document is the sequence of its lines that aren't blank, each hashed after white space at its ends is
-removed. Of every `window` neighbouring hashes the least one (the rightmost of equals) is
-kept as a fingerprint, so a run of `window` or more lines that occurs in two places shares one; a document with fewer
-lines keeps its least hash. Each fingerprint meets its first place in the corpus (by document id, then line);
-the match is extended both ways as long as lines agree. The later occurrence is deleted
-if the run has at least min_lines lines or min_words words.
-
-A line goes only because an equal line stands at an earlier place, so the first occurrence of
+removed. A window is a shortest run that would be deleted: from each line on, and up to each line, as many lines
+as it takes to have min_lines lines or min_words words. The least hash of a window (the rightmost of equals)
+is its fingerprint and gives its position; it is joined on with the hash of the whole window, as a line alone
+may have its first place among other neighbours. Each fingerprint meets its first place in the corpus
+(by document id, then line), and the match is extended both ways as long as lines agree. The later occurrence
+is deleted.
+
+So a line goes exactly if it lies in a run of at least min_lines lines or min_words words that stands at an
+earlier place too: such a run is covered by windows, and each of them has a first place. The first occurrence of
 any line is never deleted. Fingerprints meet their first place alone, so a line in a third of
 all documents costs one row for each occurrence, and joins on it can be split.
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, small, utf8
 
-WINDOW, MIN_LINES, MIN_WORDS = 3, 3, 50
+MIN_LINES, MIN_WORDS = 3, 50
 
 
 def lines_of(text: bytes) -> tuple[list[int], list[int], list[int]]:
@@ -44,16 +46,31 @@ def lines_of(text: bytes) -> tuple[list[int], list[int], list[int]]:
     return numbers, hashes, words
 
 
-def winnow(hashes: list[int], window: int) -> list[int]:
-    """Positions of the least hash of each window, the rightmost of equals."""
-    out: list[int] = []
-    for i in range(max(1, len(hashes) - window + 1) if hashes else 0):
-        part = hashes[i : i + window]
+def windows(words: list[int], min_lines: int, min_words: int) -> list[tuple[int, int]]:
+    """The shortest runs that are long enough, from each line on and up to each line, as ranges."""
+    out, n = set(), len(words)
+    for i in range(n):
+        for step in (1, -1):
+            j, total = i, 0
+            while 0 <= j < n:
+                total += words[j]
+                if abs(j - i) + 1 >= min_lines or total >= min_words:
+                    out.add((min(i, j), max(i, j) + 1))
+                    break
+                j += step
+    return sorted(out)
+
+
+def fingerprints(hashes: list[int], words: list[int], min_lines: int, min_words: int) -> tuple[list[int], list[int]]:
+    """Of each window the position of its least hash, the rightmost of equals, and its own hash."""
+    whole = np.array(hashes, "<i8")
+    at, keys = [], []
+    for a, b in windows(words, min_lines, min_words):
+        part = hashes[a:b]
         least = min(part)
-        at = i + max(j for j, h in enumerate(part) if h == least)
-        if not out or out[-1] != at:
-            out.append(at)
-    return out
+        at.append(max(i for i in range(a, b) if hashes[i] == least))
+        keys.append(int.from_bytes(hashlib.blake2b(whole[a:b].tobytes(), digest_size=8).digest(), "little", signed=True))
+    return at, keys
 
 
 def runs(own: np.ndarray, words: np.ndarray, first: np.ndarray, seeds: list[int], shift: int, same: bool, min_lines: int, min_words: int) -> list[tuple[int, int]]:
@@ -67,15 +84,16 @@ def runs(own: np.ndarray, words: np.ndarray, first: np.ndarray, seeds: list[int]
     return out
 
 
-def _lines(window: int):
-    schema = pa.schema([("id", pa.int64()), ("numbers", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("marks", pa.list_(pa.int32()))])
+def _lines(min_lines: int, min_words: int):
+    schema = pa.schema([("id", pa.int64()), ("numbers", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("marks", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             off, data = utf8(batch.column(1))
             raw = data.tobytes()
             got = [lines_of(raw[off[i] : off[i + 1]]) for i in range(len(off) - 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], schema.field(k + 1).type) for k in range(3)), pa.array([winnow(g[1], window) for g in got], schema.field(4).type)], schema=schema)
+            got = [(*g, *fingerprints(g[1], g[2], min_lines, min_words)) for g in got]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], schema.field(k + 1).type) for k in range(5))], schema=schema)
 
     return run
 
@@ -96,13 +114,13 @@ def _extend(min_lines: int, min_words: int):
     return run
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with the text column shortened, in the same columns, and __removed: the lines deleted."""
     key, body = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
-    lines = cut(docs.select(key.alias("id"), body.cast("string").alias("body")).mapInArrow(_lines(window), "id long, numbers array<int>, hashes array<long>, words array<int>, marks array<int>"), "lines")
+    lines = cut(docs.select(key.alias("id"), body.cast("string").alias("body")).mapInArrow(_lines(min_lines, min_words), "id long, numbers array<int>, hashes array<long>, words array<int>, marks array<int>, keys array<long>"), "lines")
     once = cut(lines.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select(F.col("id").alias("twice")), "line-ids")
     known = lines.filter("id IS NOT NULL AND size(hashes) > 0").join(once, F.col("id") == F.col("twice"), "left_anti")
-    marks = known.select("id", F.explode(F.expr("transform(marks, i -> struct(i AS at, hashes[i] AS hash))")).alias("m")).select("id", "m.at", "m.hash")
+    marks = known.select("id", F.explode(F.arrays_zip("marks", "keys")).alias("m")).select("id", F.col("m.marks").alias("at"), F.col("m.keys").alias("hash"))
     # combined before the shuffle: one row for each hash and task
     firsts = marks.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = cut(firsts.select("f_hash", F.col("f.id").alias("first_id"), F.col("f.at").alias("first_at")), "line-firsts")

@@ -3,6 +3,7 @@ texts, ties, repeated rows, empty tables and clashing columns."""
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -202,26 +203,31 @@ def test_language(spark):
 
 
 def brute_lines(texts):
-    """(text, lines removed) of each text."""
-    rows = [line_dedup.lines_of((t or "").encode()) for t in texts]
-    first, out = {}, []
-    for i, (_, h, _) in enumerate(rows):
-        for at in line_dedup.winnow(h, 3):
-            first.setdefault(h[at], (i, at))
-    for i, (number, h, words) in enumerate(rows):
-        gone = set()
-        for at in line_dedup.winnow(h, 3):
-            f, fa = first[h[at]]
-            if (f, fa) != (i, at):
-                g, a, b = rows[f][1], at, at
-                while a and a - at + fa and h[a - 1] == g[a - at + fa - 1]:
-                    a -= 1
-                while b + 1 < len(h) and b - at + fa + 1 < len(g) and h[b + 1] == g[b - at + fa + 1]:
-                    b += 1
-                if b - a + 1 >= 3 or sum(words[a : b + 1]) >= 50:
-                    gone |= {number[k] for k in range(a, b + 1)}
-        out.append((None if texts[i] is None else "\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in gone), len(gone)))
-    return out
+    """(text, lines removed) of each text: a line goes if it lies in a run of 3 lines or 50 words that agrees,
+    line by line, with an earlier place."""
+    rows = [[(k, b.strip()) for k, b in enumerate((t or "").encode().split(b"\n")) if b.strip()] for t in texts]
+    places, met = collections.defaultdict(list), collections.defaultdict(list)
+    for i, row in enumerate(rows):
+        for a, (_, line) in enumerate(row):
+            for f, fa in places[line]:
+                met[i, f, a - fa].append(a)
+            places[line].append((i, a))
+    gone = collections.defaultdict(set)
+    for (i, *_), ats in met.items():
+        for _, run in itertools.groupby(enumerate(ats), lambda x: x[1] - x[0]):
+            lines = [rows[i][a] for _, a in run]
+            if len(lines) >= 3 or sum(len(line.split()) for _, line in lines) >= 50:
+                gone[i] |= {k for k, _ in lines}
+    return [(None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]), len(gone[i])) for i, t in enumerate(texts)]
+
+
+def test_lines_among_other_neighbours(spark):
+    """Runs are found though each of their lines has its first place elsewhere, and so are long lines alone."""
+    run = [f"shared line {i}" for i in range(3)]
+    long = " ".join(f"w{i}" for i in range(60))
+    texts = [f"{line}\nown {i}" for i, line in enumerate(run)] + ["\n".join(["a", *run, "b"]), "\n".join(["c", *run, "d"]), f"x\n{long}\ny", f"z\n{long}\ny\nq", f"{long}\nt"]
+    got = [r.text for r in line_dedup.line_dedup(docs(spark, texts)).orderBy("doc_id").collect()]
+    assert got == [*texts[:4], "c\nd", texts[5], "z\nq", "t"] == [t for t, _ in brute_lines(texts)]
 
 
 def test_lines(spark):
