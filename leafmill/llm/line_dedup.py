@@ -13,6 +13,9 @@ earlier place too: such a run is covered by windows, and each of them has a firs
 any line is never deleted. Fingerprints meet their first place alone, so a line in a third of
 all documents costs one row for each occurrence, and joins on it can be split.
 
+That rule ends at line breaks. With passage_words, passages of that many words that begin or end inside lines go
+as well: see passages.py.
+
 Edge cases: null text has no lines and stays null; an empty text stays. Blank lines stay
 where they are. Rows that share an id have no defined place: they keep their texts and take no part
 in matching, and so do rows with a null id. A text that loses all its
@@ -30,8 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, small, utf8
+from .passages import joined, passages
 
-MIN_LINES, MIN_WORDS = 3, 50
+MIN_LINES, MIN_WORDS, PASSAGE_WORDS = 3, 50, 50
 
 
 def lines_of(text: bytes) -> tuple[list[int], list[int], list[int]]:
@@ -114,8 +118,9 @@ def _extend(min_lines: int, min_words: int):
     return run
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with the text column shortened, in the same columns, and __removed: the lines deleted."""
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, passage_words: int | None = None) -> DataFrame:
+    """docs with the text column shortened, in the same columns, and __removed: the lines deleted, or shortened
+    by passages of passage_words words inside lines, if given."""
     key, body = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
     lines = cut(docs.select(key.alias("id"), body.cast("string").alias("body")).mapInArrow(_lines(min_lines, min_words), "id long, numbers array<int>, hashes array<long>, words array<int>, marks array<int>, keys array<long>"), "lines")
     once = cut(lines.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select(F.col("id").alias("twice")), "line-ids")
@@ -132,6 +137,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = both.mapInArrow(_extend(min_lines, min_words), "id long, gone array<int>").groupBy(F.col("id").alias("__of")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone"))
     gone = cut(gone, "line-gone")
     # counted with their lines: texts are only shuffled if the list is too long to broadcast
-    out = docs.join(small(gone, weight=F.size("__gone") + 1), key == F.col("__of"), "left")
+    few = small(gone, weight=F.size("__gone") + 1)
+    out = docs.join(few, key == F.col("__of"), "left")
     kept = F.array_join(F.filter(F.split(body, "\n", -1), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    return out.withColumns({text_col: F.when(F.col("__gone").isNull(), body).otherwise(kept), "__removed": F.coalesce(F.size("__gone"), F.lit(0))}).select(*[F.col(f"`{c}`") for c in docs.columns], "__removed")
+    text, removed = F.when(F.col("__gone").isNull(), body).otherwise(kept), F.coalesce(F.size("__gone"), F.lit(0))
+    if passage_words:
+        texts = docs.select(key.alias("id"), body.cast("string").alias("body")).filter("id IS NOT NULL AND body IS NOT NULL").join(small(once), F.col("id") == F.col("twice"), "left_anti")
+        spans = passages(texts.join(few, F.col("id") == F.col("__of"), "left").select("id", "body", F.col("__gone").alias("gone")), passage_words)
+        out = out.join(small(spans, weight=F.size("__starts") * 2 + 1), key == F.col("__in"), "left")
+        text, removed = F.when(F.col("__in").isNull(), text).otherwise(joined(body)), F.coalesce("__changed", removed)
+    return out.withColumns({text_col: text, "__removed": removed}).select(*[F.col(f"`{c}`") for c in docs.columns], "__removed")

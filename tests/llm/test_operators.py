@@ -239,6 +239,54 @@ def test_lines(spark):
         assert got[i] == want
 
 
+def brute_passages(texts, size):
+    """(words left, lines changed) of each text: besides brute_lines, a word goes if it lies in a window of words that
+    stands earlier, and not over itself; windows that the line rule took as a whole are no places."""
+    first, out = {}, []
+    for t, (kept, _) in zip(texts, brute_lines(texts), strict=True):
+        lines = (t or "").split("\n")
+        words = [(x, k) for k, line in enumerate(lines) for x in re.findall(r"[^\x09-\x0d ]+", line)]
+        left, at = [], 0
+        rest = (kept or "").split("\n")
+        for line in lines:  # the kept lines, in their order
+            ok = at < len(rest) and rest[at] == line
+            left.append(ok)
+            at += ok
+        stay = [left[k] for _, k in words]
+        own = list(stay)
+        for p in range(len(words) - size + 1):
+            if any(own[p : p + size]):
+                f = first.setdefault(tuple(x for x, _ in words[p : p + size]), (len(out), p))
+                if f[0] < len(out) or f[1] + size <= p:
+                    stay[p : p + size] = [False] * size
+        out.append(([x for (x, _), s in zip(words, stay, strict=True) if s], len({k for (_, k), s in zip(words, stay, strict=True) if not s})))
+    return out
+
+
+def test_passages_inside_lines(spark):
+    """Passages that begin or end inside a line go, at their later places, and the words around them stay."""
+    run = [f"p{i}" for i in range(60)]
+    flat = " ".join(run)
+    texts = [f"a {flat} b", f"c  {flat} d\n\ne", "\n".join(["x " + " ".join(run[:20]), " ".join(run[20:45]), " ".join(run[45:]) + " y "]), " ".join(run[:49]) + " q", " ".join(run[5:55]), f"{flat}\r\nz"]
+    got = [(r.text, r["__removed"]) for r in line_dedup.line_dedup(docs(spark, texts), passage_words=50).orderBy("doc_id").collect()]
+    assert got == [(texts[0], 0), ("c  d\n\ne", 1), ("x\ny ", 3), (texts[3], 0), ("", 1), ("z", 1)]
+
+
+def test_passages(spark):
+    rng = random.Random(9)
+    pool = [f"é{i}" for i in range(400)]
+    texts = list(ODD)
+    for _ in range(150):
+        words = []
+        for _ in range(rng.randint(0, 4)):
+            s = rng.randrange(400)
+            words += (pool + pool)[s : s + rng.randint(1, 40)] + [f"own{rng.random()}"] * rng.randint(0, 2)
+        texts.append("".join(w + rng.choice([" ", " ", " ", "  ", "\n", "\n\n"]) for w in words))
+    want = brute_passages(texts, 12)
+    got = {r.doc_id: (r.text, r["__removed"]) for r in line_dedup.line_dedup(docs(spark, texts).repartition(3), passage_words=12).collect()}
+    assert [(re.findall(r"[^\x09-\x0d ]+", got[i][0] or ""), got[i][1]) for i in range(len(texts))] == want and sum(n > 0 for _, n in want) > 50
+
+
 def luhn(d):
     return sum(x if k % 2 == 0 else x * 2 - 9 * (x > 4) for k, x in enumerate(map(int, reversed(d)))) % 10 == 0
 
