@@ -16,6 +16,9 @@ all documents costs one row for each occurrence, and joins on it can be split.
 That rule ends at line breaks. With passage_words, passages of that many words that begin or end inside lines go
 as well: see passages.py.
 
+Nor does it see shorter runs: with single_words, lines of that many words that stand in several documents go by
+themselves. Shorter ones that stand alone or in pairs stay.
+
 Edge cases: null text has no lines and stays null; an empty text stays. Blank lines stay
 where they are. Rows that share an id have no defined place: they keep their texts and take no part
 in matching, and so do rows with a null id. A text that loses all its
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import cut, small, utf8
 from .passages import joined, passages
 
-MIN_LINES, MIN_WORDS, PASSAGE_WORDS = 3, 50, 50
+MIN_LINES, MIN_WORDS, PASSAGE_WORDS, SINGLE_WORDS = 3, 50, 50, 5
 
 
 def lines_of(text: bytes) -> tuple[list[int], list[int], list[int]]:
@@ -118,9 +121,20 @@ def _extend(min_lines: int, min_words: int):
     return run
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, passage_words: int | None = None) -> DataFrame:
+def singles(known: DataFrame, least: int) -> DataFrame:
+    """(id, gone): the lines of that many words at least that stand in several documents, but for their first places."""
+    rows = known.select("id", F.explode(F.filter(F.arrays_zip("numbers", "hashes", "words"), lambda x: x["words"] >= least)).alias("x")).select("id", F.col("x.numbers").alias("number"), F.col("x.hashes").alias("hash"))
+    # combined before the shuffle: one row for each hash and task
+    firsts = rows.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "number")).alias("f"), F.max("id").alias("last")).filter("last > f.id")
+    firsts = cut(firsts.select("f_hash", F.col("f.id").alias("first_id"), F.col("f.number").alias("first_number")), "single-firsts")
+    later = rows.join(firsts, F.col("hash") == F.col("f_hash")).filter("id > first_id OR (id = first_id AND number > first_number)")
+    return later.groupBy("id").agg(F.collect_list("number").alias("gone"))
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, passage_words: int | None = None, single_words: int | None = None) -> DataFrame:
     """docs with the text column shortened, in the same columns, and __removed: the lines deleted, or shortened
-    by passages of passage_words words inside lines, if given."""
+    by passages of passage_words words inside lines, if given. With single_words, a line of that many words that
+    stands in several documents stays at its first place alone."""
     key, body = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
     lines = cut(docs.select(key.alias("id"), body.cast("string").alias("body")).mapInArrow(_lines(min_lines, min_words), "id long, numbers array<int>, hashes array<long>, words array<int>, marks array<int>, keys array<long>"), "lines")
     once = cut(lines.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select(F.col("id").alias("twice")), "line-ids")
@@ -134,7 +148,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = known.select(F.col("id").alias("f_id"), F.col("hashes").alias("first_hashes"))
     own = known.select(F.col("id").alias("o_id"), "numbers", "hashes", "words")
     both = pairs.join(first, F.col("first_id") == F.col("f_id")).join(own, F.col("id") == F.col("o_id")).select("id", "first_id", "shift", "seeds", "numbers", "hashes", "words", "first_hashes")
-    gone = both.mapInArrow(_extend(min_lines, min_words), "id long, gone array<int>").groupBy(F.col("id").alias("__of")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone"))
+    gone = both.mapInArrow(_extend(min_lines, min_words), "id long, gone array<int>")
+    if single_words:
+        gone = gone.unionAll(singles(known, single_words))
+    gone = gone.groupBy(F.col("id").alias("__of")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone"))
     gone = cut(gone, "line-gone")
     # counted with their lines: texts are only shuffled if the list is too long to broadcast
     few = small(gone, weight=F.size("__gone") + 1)

@@ -10,7 +10,7 @@ from .bpe import bpe
 from .common import frame
 from .exact_dedup import exact_dedup
 from .langid import language_id
-from .line_dedup import PASSAGE_WORDS, line_dedup
+from .line_dedup import PASSAGE_WORDS, SINGLE_WORDS, line_dedup
 from .mixing import mix
 from .near_dedup import near_dedup
 from .pii import pseudonymise
@@ -62,7 +62,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(frame(spark, sf_dir, "documents"), passage_words=PASSAGE_WORDS).select("doc_id", "text", F.col("__removed").alias("lines_removed"))
+    return line_dedup(frame(spark, sf_dir, "documents"), passage_words=PASSAGE_WORDS, single_words=SINGLE_WORDS).select("doc_id", "text", F.col("__removed").alias("lines_removed"))
 
 
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_language_id": op2_language_id, "op3_exact_dedup": op3_exact_dedup, "op4_warc": op4_warc, "op5_bpe": op5_bpe, "op6_pii": op6_pii, "op7_near_dedup": op7_near_dedup, "op8_topk": op8_topk, "op9_mixing": op9_mixing, "op10_line_dedup": op10_line_dedup}

@@ -272,6 +272,13 @@ def test_passages_inside_lines(spark):
     assert got == [(texts[0], 0), ("c  d\n\ne", 1), ("x\ny ", 3), (texts[3], 0), ("", 1), ("z", 1)]
 
 
+def test_single_lines(spark):
+    """A line of 5 words in several documents stays at its first place; shorter ones, and those of one document, stay."""
+    texts = ["own a\n one two three four five \nshort line here", "one two three four five", "short line here\none two three four five\nx\none two three four five", "again and again and again\ny\nagain and again and again", None]
+    got = [(r.text, r["__removed"]) for r in line_dedup.line_dedup(docs(spark, texts), single_words=5).orderBy("doc_id").collect()]
+    assert got == [(texts[0], 0), ("", 1), ("short line here\nx", 2), (texts[3], 0), (None, 0)]
+
+
 def test_passages(spark):
     rng = random.Random(9)
     pool = [f"é{i}" for i in range(400)]
