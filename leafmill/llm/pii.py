@@ -6,8 +6,10 @@ again. Digits go through a keyed Feistel network over the decimal strings of the
 permutation within the format and equal values stay equal in all documents:
 
 - card numbers (13 to 19 digits that pass the Luhn test): all digits but the last are
-  permuted, the last is the new check digit; separators stay;
-- IBANs that pass mod 97: the digits after the check are permuted, the check is computed anew;
+  permuted, the last is the new check digit; separators stay. In a run of digit groups that isn't
+  one itself, cards are sought from group to group, so one beside a date of expiry, a CVV or
+  another number is found;
+- IBANs that pass mod 97, which end at their country's length: the digits after the check are permuted, the check is computed anew;
 - phone numbers and US social security numbers: digits are permuted, punctuation stays; a
   leading + and country code stay;
 - calendar dates (ISO, and day.month.year, month/day/year): the day number within 1900-2099 is
@@ -34,12 +36,16 @@ ROUNDS = 8
 DAYS_A, DAYS_B = 229, 319
 _EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 _SECRET = r"\bAKIA[0-9A-Z]{16}\b|\b(?:password|passwd|token|secret|api_?key)\s*[=:]\s*[\"']?[A-Za-z0-9+/_\-]{8,}"
-_IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
+#: Countries by the length of their IBAN; at that length a find ends, whatever follows.
+_IBANS = {15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU"}
+_IBAN = "|".join(rf"\b(?:{c})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}\b" for n, c in _IBANS.items()) + r"|\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
 _DATE = r"(?<![\d./\-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d]|[./\-]\d)"
 _IP = r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 _SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
-_CARD = r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)"
 _PHONE = r"(?<![\w.])(?:\+\d{1,3}[ .\-]?)?\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d)|(?<![\w.])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])"
+#: A run of digits in groups, which may hold cards among other numbers; it ends where another kind of find begins.
+_CARD = rf"(?<!\d)\d(?:(?! (?:{_DATE}|{_IP}|{_SSN}|{_PHONE}))[ \-]?\d){{12,}}+(?!\d)"
+_USUAL = r"^(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{4,5})[ \-]?$"
 #: In order of precedence where finds start alike.
 ANY = "|".join((_EMAIL, _SECRET, _IBAN, _DATE, _IP, _SSN, _PHONE, _CARD))
 
@@ -146,13 +152,53 @@ def _shift(x: Column, whole: Column, key: str, salt: str) -> Column:
     return F.array_join(F.transform(F.split(x, ""), move), "")
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _is_card(d: Column) -> Column:
+    return (F.length(d) >= 13) & (F.length(d) <= 19) & (check_digit(F.substring(d, F.lit(1), F.length(d) - 1)) == F.substring(d, -1, 1))
+
+
+def _card(x: Column, key: str) -> Column:
+    d = _digits(x)
+    new = feistel(F.substring(d, F.lit(1), F.length(d) - 1), key, F.lit("card"))
+    return _let(new, lambda body: fill(x, F.concat(body, check_digit(body))))
+
+
+def _cards(x: Column, key: str) -> Column:
+    """A run of digits with its cards replaced: the whole run if it is one; else, from the left, the longest
+    groups that are one, unless a card in a usual layout begins within them."""
+
+    def parts(groups: Column) -> Column:
+        text = lambda i, k: F.array_join(F.slice(groups, i, k), "")
+
+        def best(i: Column) -> Column:
+            found = F.filter(F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1)), lambda k: _let(_digits(text(i, k)), _is_card))
+            most = lambda of: F.coalesce(F.array_max(of), F.lit(0))
+            return _let(found, lambda f: F.struct(most(F.filter(f, lambda k: text(i, k).rlike(_USUAL))).alias("usual"), most(f).alias("any")))
+
+        def fold(bests: Column) -> Column:
+            def step(s: Column, i: Column) -> Column:
+                b = F.element_at(bests, i)
+                later = F.exists(F.slice(bests, i + 1, F.greatest(b["any"] - 1, F.lit(0))), lambda c: c["usual"] > 0)
+                size = F.when(b["usual"] > 0, b["usual"]).when(later, 0).otherwise(b["any"])
+                took = _let(size, lambda k: F.when(k > 0, F.struct(F.concat(s["out"], _let(text(i, k), lambda t: _card(t, key))).alias("out"), (i + k).alias("next"))).otherwise(F.struct(F.concat(s["out"], F.element_at(groups, i)).alias("out"), (i + 1).alias("next"))))
+                return F.when(i < s["next"], s).otherwise(took)
+
+            return F.aggregate(F.sequence(F.lit(1), F.size(groups)), F.struct(F.lit("").alias("out"), F.lit(1).alias("next")), step, lambda s: s["out"])
+
+        return _let(F.transform(F.sequence(F.lit(1), F.size(groups)), best), fold)
+
+    whole = _let(_digits(x), _is_card)
+    return F.when(whole, _card(x, key)).otherwise(_let(F.regexp_extract_all(x, F.lit(r"\d+[ \-]?"), F.lit(0)), parts))
+
+
 def pseudonym(x: Column, key: str) -> Column:
     """What stands for one find; the find itself if it isn't valid."""
     d = _digits(x)
     bare = F.regexp_replace(x, " ", "")
-    card_body = F.substring(d, F.lit(1), F.length(d) - 1)
-    card_new = feistel(card_body, key, F.lit("card"))
-    card = F.when((F.length(d) >= 13) & (F.length(d) <= 19) & (check_digit(card_body) == F.substring(d, -1, 1)), fill(x, F.concat(card_new, check_digit(card_new))))
     account = F.substring(bare, F.lit(5), F.length(bare))
     account_digits = _digits(account)
     account_new = fill(account, feistel(account_digits, key, F.concat(F.lit("iban"), F.substring(bare, 1, 2))))
@@ -173,7 +219,7 @@ def pseudonym(x: Column, key: str) -> Column:
         .when(full(r"\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"), F.coalesce(_date(x, key), x))
         .when(full(r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"), F.coalesce(_address(x, key), x))
         .when(full(r"\d{3}-\d{2}-\d{4}"), fill(x, feistel(d, key, F.lit("ssn"))))
-        .when(full(r"\d(?:[ \-]?\d){12,18}"), F.coalesce(card, x))
+        .when(full(r"\d(?:[ \-]?\d){12,}+"), _cards(x, key))
         .otherwise(phone)
     )
 

@@ -313,6 +313,18 @@ def test_pii(spark):
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and iban[4:] != "370400440532013000"
 
 
+def test_pii_beside_other_numbers(spark):
+    """A card beside an expiry, a CVV or other numbers, and an IBAN before a word or number, get what they get alone."""
+    card, iban = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    frames = [(card, f) for f in ("%s", "%s 12/26", "12 %s", "123 4567 %s 12/26", "%s 123", "%s %s 999", "%s-123")] + [("4111111111111111", "%s 123"), ("4111111111111111", "%s")]
+    frames += [(iban, f) for f in ("%s", "%s EUR", "%s 12", "%s 4111", "%s %s")]
+    rest = [f"{card} 2026-12-31", f"{card} 10.0.0.1", "4111111111111111 123-45-6789"]
+    got = [r.text for r in pii.pseudonymise(docs(spark, [f % ((x,) * f.count("%s")) for x, f in frames] + rest), "k").orderBy("doc_id").collect()]
+    alone = {x: y for (x, f), y in zip(frames, got, strict=False) if f == "%s"}
+    assert got[: len(frames)] == [f % ((alone[x],) * f.count("%s")) for x, f in frames] and all(x != y for x, y in alone.items())
+    assert all(a.split()[-1] != b.split()[-1] and a[:16] != b[:16] for a, b in zip(got[len(frames) :], rest, strict=True))
+
+
 def test_feistel_permutes(spark):
     for n in (1, 2, 3):
         d = spark.range(10**n).select(F.lpad(F.col("id").cast("string"), n, "0").alias("d")).select(pii.feistel(F.col("d"), "k", F.lit("s")).alias("p"))
