@@ -127,10 +127,10 @@ def predict(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray]:
 def fit(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> dict:
     """Trains on labelled rows that aren't held out: at most per_language of each language."""
     rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").cast("string").alias("body"), F.col(f"`{lang_col}`").cast("string").alias("lang"), held_out.alias("held")).filter("lang IS NOT NULL AND id IS NOT NULL AND NOT held AND lang <> 'und'")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = cut(rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
     # a hash threshold thins each language before the exact limit, so no task gets a whole one
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    thin = rows.join(F.broadcast(sizes.withColumnRenamed("lang", "of").orderBy(F.desc("n")).limit(1000)), F.col("lang") == F.col("of")).filter(place * F.col("n") < F.lit(2.0 * per_language) * F.lit(1 << 30))
+    thin = rows.join(small(sizes), F.col("lang") == F.col("of")).filter(place * F.col("n") < F.lit(2.0 * per_language) * F.lit(1 << 30))
     first = Window.partitionBy("lang").orderBy("place", "id")
     got = thin.withColumn("place", place).withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_language).select("lang", "body", "place", "id").toArrow()
     order = sorted(range(got.num_rows), key=lambda i: (got["place"][i].as_py(), got["id"][i].as_py()))

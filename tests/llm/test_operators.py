@@ -202,6 +202,11 @@ def test_language(spark):
     assert not kept & {300, 301, 302} and len(kept) >= 299
 
 
+def test_many_languages(spark):
+    d = spark.range(1005).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id")).alias("text"), F.concat(F.lit("l"), F.col("id")).alias("lang"))
+    assert len(langid.fit(d, F.lit(False))["langs"]) == 1005
+
+
 def brute_lines(texts):
     """(text, lines removed) of each text: a line goes if it lies in a run of 3 lines or 50 words that agrees,
     line by line, with an earlier place."""
