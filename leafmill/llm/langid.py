@@ -7,7 +7,8 @@ PER_LANGUAGE labelled documents of each language, taken by hash from all of them
 model is linear after the mean, prediction uses the product of both tables: one row of
 logits for each bucket.
 
-Rejection is calibrated on a fifth of the sample: a temperature is fitted to it, and the
+Rejection is calibrated on a fifth of the sample, or on up to CHECK_ROWS rows taken besides it where there are
+so many, so that REJECT_SHARE of them is at least a row: a temperature is fitted to it, and the
 threshold is the largest score up to 0.5 below which at most REJECT_SHARE of its correctly
 classified documents lie. Texts without a letter are `und` and rejected.
 
@@ -29,7 +30,7 @@ from .common import cut, per_process, slices, small, utf8
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, 3
 PER_LANGUAGE, EPOCHS, RATE, TABLE_RATE, BATCH = 600, 8, 0.5, 20.0, 8
-REJECT_SHARE = 0.001
+REJECT_SHARE, CHECK_ROWS = 0.001, 2000
 
 
 def letters() -> np.ndarray:
@@ -59,11 +60,11 @@ def ngrams(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train(texts: list[str], langs: list[str], seed: int = 0) -> dict:
-    """The model: languages, logits by bucket, bias, temperature, threshold."""
+def train(texts: list[str], langs: list[str], seed: int = 0, per_language: int = PER_LANGUAGE) -> dict:
+    """The model: languages, logits by bucket, bias, temperature, threshold, and how many rows it was calibrated on."""
     names = sorted(set(langs))
     if not names:
-        return {"langs": [], "logits": np.zeros((BUCKETS, 0), np.float32), "bias": np.zeros(0, np.float32), "heat": 1.0, "threshold": 0.0}
+        return {"langs": [], "logits": np.zeros((BUCKETS, 0), np.float32), "bias": np.zeros(0, np.float32), "heat": 1.0, "threshold": 0.0, "checks": 0}
     y = np.searchsorted(names, langs)
     rng = np.random.default_rng(seed)
     bags = []
@@ -71,7 +72,8 @@ def train(texts: list[str], langs: list[str], seed: int = 0) -> dict:
         at, n = np.unique(np.concatenate([b for b, _ in ngrams([t])]), return_counts=True)
         bags.append((at, (n / max(1, n.sum())).astype(np.float32)))
     order = rng.permutation(len(texts))
-    held = order[: len(order) // 5] if len(order) >= 50 else order[:0]
+    spare = len(order) - len(names) * per_language * 4 // 5
+    held = order[: max(len(order) // 5, min(CHECK_ROWS, spare))] if len(order) >= 50 else order[:0]
     use = np.setdiff1d(order, held)
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     layer, bias = np.zeros((DIM, len(names)), np.float32), np.zeros(len(names), np.float32)
@@ -99,7 +101,7 @@ def train(texts: list[str], langs: list[str], seed: int = 0) -> dict:
     p = _softmax(z / heat)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[checks]])
     threshold = min(0.5, float(right[int(REJECT_SHARE * len(right))])) if len(right) else 0.0
-    return {"langs": names, "logits": logits.astype(np.float32), "bias": bias, "heat": heat, "threshold": threshold}
+    return {"langs": names, "logits": logits.astype(np.float32), "bias": bias, "heat": heat, "threshold": threshold, "checks": len(checks)}
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -125,17 +127,19 @@ def predict(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray]:
 
 
 def fit(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> dict:
-    """Trains on labelled rows that aren't held out: at most per_language of each language."""
+    """Trains on labelled rows that aren't held out: at most per_language of each language, and
+    calibrates on others."""
     rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").cast("string").alias("body"), F.col(f"`{lang_col}`").cast("string").alias("lang"), held_out.alias("held")).filter("lang IS NOT NULL AND id IS NOT NULL AND NOT held AND lang <> 'und'")
     sizes = cut(rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
+    most = per_language + -(-CHECK_ROWS // max(1, sizes.count()))
     # a hash threshold thins each language before the exact limit, so no task gets a whole one
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    thin = rows.join(small(sizes), F.col("lang") == F.col("of")).filter(place * F.col("n") < F.lit(2.0 * per_language) * F.lit(1 << 30))
+    thin = rows.join(small(sizes), F.col("lang") == F.col("of")).filter(place * F.col("n") < F.lit(2.0 * most) * F.lit(1 << 30))
     first = Window.partitionBy("lang").orderBy("place", "id")
-    got = thin.withColumn("place", place).withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_language).select("lang", "body", "place", "id").toArrow()
+    got = thin.withColumn("place", place).withColumn("k", F.row_number().over(first)).filter(F.col("k") <= most).select("lang", "body", "place", "id").toArrow()
     order = sorted(range(got.num_rows), key=lambda i: (got["place"][i].as_py(), got["id"][i].as_py()))
     texts, langs = got["body"].to_pylist(), got["lang"].to_pylist()
-    return train([texts[i] or "" for i in order], [langs[i] for i in order])
+    return train([texts[i] or "" for i in order], [langs[i] for i in order], per_language=per_language)
 
 
 def _tag(model):

@@ -202,6 +202,12 @@ def test_language(spark):
     assert not kept & {300, 301, 302} and len(kept) >= 299
 
 
+def test_language_calibration(spark):
+    """Enough rows are held back that the share of rejected ones is at least a row."""
+    d = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "the with thing").otherwise("der mit schön").alias("text"), (F.col("id") % 2).cast("string").alias("lang"))
+    assert langid.fit(d, F.lit(False))["checks"] * langid.REJECT_SHARE >= 1
+
+
 def test_many_languages(spark):
     d = spark.range(1005).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id")).alias("text"), F.concat(F.lit("l"), F.col("id")).alias("lang"))
     assert len(langid.fit(d, F.lit(False))["langs"]) == 1005
