@@ -141,6 +141,16 @@ def test_near(spark):
     assert got == brute_near(texts)
 
 
+def test_near_at_80(spark):
+    """Pairs between 0.80 and 0.85 are linked at 80 and not at 85."""
+    base = [f"w{i}" for i in range(104)]
+    texts = [" ".join(base), " ".join([*base[:30], "x", "y", *base[32:70], "z", *base[71:]]), " ".join([*base[:50], "q", *base[51:]])]
+    for percent in (80, 85):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_dedup(docs(spark, texts), percent=percent).collect()}
+        assert got == brute_near(texts, percent)
+    assert brute_near(texts, 80) != brute_near(texts, 85)
+
+
 def test_components(spark):
     rng = random.Random(7)
     links = [(i, i + 1) for i in range(40)] + [(rng.randint(100, 200), rng.randint(100, 200)) for _ in range(60)]
