@@ -10,10 +10,11 @@
    Decoding joins the token-byte table (one row for each id) to the ids.
 
 A word that fills a third of the corpus is still one entry for each block, so no bucket is hot.
-Buckets are streamed; a task holds its share of the vocabulary and one row.
+Buckets are streamed; a task holds ids of KNOWN_WORDS words at most and one row. A block holds its
+bytes, its word numbers and its distinct words; code points only of a piece of it.
 
 Edge cases: null text is empty; an empty text has no ids. A text larger than a block is a block
-of its own. Bytes that aren't UTF-8 count as U+FFFD. Repeated rows and null ids are separate documents. An empty table gives an empty
+of its own, handled in pieces. Bytes that aren't UTF-8 count as U+FFFD. Repeated rows and null ids are separate documents. An empty table gives an empty
 result. Extra columns are not read. Special tokens' strings are ordinary text.
 """
 
@@ -29,10 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ByteWriter, cut, per_process, read_range, shared_dir, slices, span_hashes, utf8
+from .common import ByteWriter, cut, give_back, per_process, pieces, read_range, shared_dir, slices, span_hashes, tidy, utf8
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 16 << 20
+#: Parts of the vocabulary, at most: a block sends a row to each part that it has words of.
+MOST_BUCKETS = 1024
+#: Words whose ids a bucket's task keeps; a word that comes back after that is encoded again.
+KNOWN_WORDS = 1_000_000
 _DOCS = "kind string, block string, doc_ids binary, bucket int, payload binary"
 _DOCS_SCHEMA = pa.schema([("kind", pa.string()), ("block", pa.string()), ("doc_ids", pa.binary()), ("bucket", pa.int32()), ("payload", pa.binary())])
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
@@ -43,8 +48,8 @@ def char_classes() -> np.ndarray:
     import regex
 
     def make() -> np.ndarray:
-        points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
-        every = "".join(map(chr, points))
+        points = np.setdiff1d(np.arange(0x110000, dtype=np.uint32), np.arange(0xD800, 0xE000, dtype=np.uint32))
+        every = points.tobytes().decode("utf-32-le")
         table = np.zeros(0x110000, np.uint8)
         for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
             for m in regex.finditer(pattern, every):
@@ -167,51 +172,71 @@ def _gaps(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (gaps & 0xFF).astype(np.uint8), _short(gaps >> 8)
 
 
+class _Words:
+    """The distinct words of a block, numbered as they come, and the sequence of their numbers."""
+
+    def __init__(self):
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.uint32)  # sorted by hash
+        self.count, self.place, self.length, self.seq = np.zeros(0, np.int64), [], [], []
+
+    def add(self, hashes: np.ndarray, place: np.ndarray, length: np.ndarray) -> None:
+        own, first, inverse, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+        at = np.searchsorted(self.hashes, own)
+        new = np.ones(len(own), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != own[inside]
+        numbers = np.empty(len(own), np.uint32)
+        numbers[~new] = self.numbers[at[~new]]
+        numbers[new] = np.arange(len(self.count), len(self.count) + int(new.sum()), dtype=np.uint32)
+        self.hashes, self.numbers = np.insert(self.hashes, at[new], own[new]), np.insert(self.numbers, at[new], numbers[new])
+        self.count = np.append(self.count, np.zeros(int(new.sum()), np.int64))
+        self.count[numbers] += count
+        self.place.append(place[first[new]])
+        self.length.append(length[first[new]])
+        self.seq.append(numbers[inverse])
+
+
 def _explode(folder: str, buckets: int):
     def block_rows(ids: list, off: np.ndarray, data: np.ndarray) -> Iterator[dict]:
         """One block: its sequence is saved, its words are dealt out by hash."""
         sizes = np.zeros(len(ids), np.int64)  # pre-tokens of each document
-        hashes, words, places = [], [], []
-        for a, b in slices(off):
-            raw = data[off[a] : off[b]].tobytes()
+        words = _Words()
+        whole = data.tobytes()
+        for a, b, lo, hi in pieces(off, whole):
+            raw = whole[lo:hi]
             if not raw:
                 continue
             codes = np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-            lead = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)  # a code point's first byte
-            ends = np.searchsorted(lead, off[a + 1 : b + 1] - off[a])  # in code points
+            byte = np.append(np.flatnonzero((data[lo:hi] & 0xC0) != 0x80), len(raw)).astype(np.int32)  # a code point's first byte
+            ends = np.searchsorted(byte[:-1], np.clip(off[a + 1 : b + 1], lo, hi) - lo)  # in code points
             starts = pretokens(codes, np.unique(ends[ends > 0]))
-            cuts = np.searchsorted(starts, ends)
-            sizes[a:b] = np.diff(cuts, prepend=0)
+            sizes[a:b] += np.diff(np.searchsorted(starts, ends), prepend=0)
             stops = np.append(starts[1:], len(codes))
-            byte = np.append(lead, len(raw))
-            hashes.append(span_hashes(codes, starts, stops))
-            words.append(byte[stops] - byte[starts])
-            places.append(byte[starts] + off[a])
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        length, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (words, places))
-        distinct, at, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+            words.add(span_hashes(codes, starts, stops), byte[starts].astype(np.int64) + lo, byte[stops] - byte[starts])
         digests = b"".join(hashlib.sha256(data[off[i] : off[i + 1]]).digest() for i in range(len(ids)))
-        by_use = np.argsort(-count, kind="stable")  # frequent words get small numbers
-        number = np.empty(len(distinct), np.uint32)
-        number[by_use] = np.arange(len(distinct), dtype=np.uint32)
-        seq = number[inverse]
+        length, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (words.length, words.place))
+        number = np.empty(len(words.count), np.uint32)  # frequent words get small numbers
+        number[np.argsort(-words.count, kind="stable")] = np.arange(len(number), dtype=np.uint32)
+        seq = number[np.concatenate(words.seq)] if words.seq else number
         wide = seq >= 0x8000
         low = np.where(wide, 0x8000 | (seq & 0x7FFF), seq).astype(np.uint16)
         saved = pack([(low & 0xFF).astype(np.uint8), (low >> 8).astype(np.uint8), (seq[wide] >> 15).astype(np.uint16), sizes])
         out = ByteWriter(folder, ".seq")
         out.write(saved)
         out.close()
-        yield {"kind": "docs", "block": f"{out.uri} {len(saved)}", "doc_ids": pack([np.array([x or 0 for x in ids], np.int64), np.array([x is None for x in ids], np.uint8), np.frombuffer(digests, np.uint8)]), "bucket": None, "payload": len(distinct).to_bytes(8, "little")}
-        owner = (distinct % np.uint64(buckets)).astype(np.int64)
+        block = f"{out.uri.rpartition('/')[2]} {len(saved)}"
+        yield {"kind": "docs", "block": block, "doc_ids": pack([np.array([x or 0 for x in ids], np.int64), np.array([x is None for x in ids], np.uint8), np.frombuffer(digests, np.uint8)]), "bucket": None, "payload": len(number).to_bytes(8, "little")}
+        owner = np.empty(len(number), np.int64)
+        owner[words.numbers] = (words.hashes % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((number, owner))  # numbers rise within a bucket, so their gaps are small
         bounds = np.searchsorted(owner[order], np.arange(buckets + 1))
         for k in range(buckets):
             own = order[bounds[k] : bounds[k + 1]]
             if len(own):
-                n, p = length[at[own]], place[at[own]]
+                n, p = length[own].astype(np.int64), place[own]
                 begin = np.cumsum(n) - n
                 chars = data[np.arange(int(n.sum())) + np.repeat(p - begin, n)]
-                yield {"kind": "words", "block": f"{out.uri} {len(saved)}", "doc_ids": None, "bucket": k, "payload": pack([*_gaps(number[own]), _short(n), chars])}
+                yield {"kind": "words", "block": block, "doc_ids": None, "bucket": k, "payload": pack([*_gaps(number[own]), _short(n), chars])}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, parts, size = [], [], 0
@@ -240,7 +265,7 @@ def _encode(path: str, pattern: str):
     schema = pa.schema([("block", pa.string()), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, list[int]] = {}
+        known: dict[bytes, bytes] = {}
         encode = _encoder(path, pattern).encode_ordinary
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -252,27 +277,29 @@ def _encode(path: str, pattern: str):
                     word = raw[a:b]
                     ids = known.get(word)
                     if ids is None:
-                        ids = known[word] = encode(word.decode("utf-8", "replace"))
+                        if len(known) >= KNOWN_WORDS:
+                            known.clear()
+                        ids = known[word] = np.array(encode(word.decode("utf-8", "replace")), "<u4").tobytes()
                     found.append(ids)
-                ids = np.array([i for x in found for i in x], np.uint32)
-                answer = pack([low, high, _short(np.array([len(x) for x in found])), ids.astype(np.uint16) if not len(ids) or ids.max() < 65536 else ids])
+                ids = np.frombuffer(b"".join(found), "<u4")
+                answer = pack([low, high, _short(np.array([len(x) // 4 for x in found])), ids.astype(np.uint16) if not len(ids) or ids.max() < 65536 else ids])
                 yield pa.RecordBatch.from_pylist([{"block": block, "payload": answer}], schema=schema)
 
     return run
 
 
-def _reassemble(path: str, keep_ids: bool):
+def _reassemble(folder: str, path: str, keep_ids: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        uri, _, size = pdf["block"].iloc[0].rpartition(" ")
-        saved = unpack(read_range(uri, 0, int(size)))
-        low = saved[0].astype(np.uint32) | (saved[1].astype(np.uint32) << 8)
-        wide = low >= 0x8000
-        seq = low.astype(np.int64)
-        seq[wide] = (low[wide] & 0x7FFF).astype(np.int64) | (saved[2].astype(np.int64) << 15)
+        name, _, size = pdf["block"].iloc[0].rpartition(" ")
+        saved = unpack(read_range(f"{folder}/{name}", 0, int(size)))
+        seq = saved[0].astype(np.uint32) | (saved[1].astype(np.uint32) << 8)
+        wide = np.flatnonzero(seq >= 0x8000)
+        seq[wide] = (seq[wide] & 0x7FFF) | (saved[2].astype(np.uint32) << 15)
         of_docs = pdf["kind"] == "docs"
         doc = pdf[of_docs].iloc[0]
         words = int.from_bytes(doc["payload"], "little")
         length, start, parts, at = np.zeros(words, np.int64), np.zeros(words, np.int64), [], 0
+        del wide
         for payload in pdf.loc[~of_docs, "payload"]:
             low, high, n, ids = unpack(payload)
             number = np.cumsum(low.astype(np.int64) | (high.astype(np.int64) << 8))
@@ -309,6 +336,8 @@ def _reassemble(path: str, keep_ids: bool):
             a = b
         frame = pd.DataFrame(out)
         frame["id"] = frame["id"].astype("Int64")
+        del seq, every, saved, parts
+        give_back()
         return frame if keep_ids else frame.drop(columns="ids")
 
     return run
@@ -318,16 +347,16 @@ def bpe(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     """<id>, n_tokens, ids_sha256, decoded_sha256, and with keep_ids the ids themselves.
 
     ranks_path must be readable on the executors. buckets: parts of the vocabulary; by default
-    one for each 8,000 documents, 8 at least."""
+    two for each core of the cluster, 8 at least and MOST_BUCKETS at most."""
     spark = docs.sparkSession
     folder = shared_dir(spark, "bpe-sequences")
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("body"))
     if buckets is None:
-        buckets = max(8, -(-docs.count() // 8_000))
-    sent = cut(narrow.mapInArrow(_explode(folder, buckets), _DOCS), "bpe-words")
-    words = sent.filter("kind = 'words'").select("block", "payload", "bucket").repartition(buckets, "bucket").select("block", "payload")
-    answers = words.mapInArrow(_encode(ranks_path, pattern), "block string, payload binary")
+        buckets = min(MOST_BUCKETS, max(8, 2 * spark.sparkContext.defaultParallelism))
+    sent = cut(narrow.mapInArrow(tidy(_explode(folder, buckets)), _DOCS), "bpe-words")
+    words = sent.filter("kind = 'words'").select("block", "payload", "bucket").repartitionById(buckets, "bucket").select("block", "payload")
+    answers = words.mapInArrow(tidy(_encode(ranks_path, pattern)), "block string, payload binary")
     no_docs = F.lit(None).cast("binary").alias("doc_ids")
     met = sent.filter("kind = 'docs'").select("kind", "block", "doc_ids", "payload").unionAll(answers.select(F.lit("words").alias("kind"), "block", no_docs, "payload"))
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>" if keep_ids else "")
-    return met.groupBy("block").applyInPandas(_reassemble(ranks_path, keep_ids), schema).withColumnRenamed("id", id_col)
+    return met.groupBy("block").applyInPandas(_reassemble(folder, ranks_path, keep_ids), schema).withColumnRenamed("id", id_col)

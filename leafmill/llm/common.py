@@ -4,6 +4,7 @@ tables, byte files there, and access to Arrow strings as numpy arrays."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,19 +19,38 @@ from pyspark.sql import functions as F
 #: Rows, counted with the entries of their arrays, up to which a table may be broadcast: 16 MB
 #: of longs, some hundred MB as a hash table of rows.
 BROADCAST_ROWS = 2_000_000
+#: What bounds the bytes of a batch that goes to Python; set for the session where it isn't, as 10,000 rows of
+#: text, Spark's other bound, may be any size.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Bytes of text that one numpy pass takes at once; a longer text is a pass of its own.
 SLICE_BYTES = 1 << 19
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share.
+    """A new folder of this application below spark.checkpoint.dir, which driver and executors
+    share; the application's folder is deleted when it ends.
 
-    Only where that setting is missing (tests on one machine) a local folder is used.
+    Where that setting is missing, a local folder is used if all runs in one process (local[n], as in
+    tests); anything else raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not base:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "leafmill-shared")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/leafmill-{context.applicationId}"
+    per_process(f"shared-dir {own}", lambda: _delete_at_end(spark, own))
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, str(8 << 20))
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete_at_end(spark: SparkSession, uri: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    return fs.deleteOnExit(path)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -40,17 +60,56 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
+def small(df: DataFrame, limit: int | None = None, weight: Column | None = None) -> DataFrame:
     """df, marked for broadcast only if its counted rows, or the sum of their weights, stay
-    within the limit. A weight holds what a row with an array counts for."""
+    within the limit (BROADCAST_ROWS); Spark shuffles for the join beyond. A weight holds what a row
+    with an array counts for."""
+    limit = BROADCAST_ROWS if limit is None else limit
     size = df.limit(limit + 1).count() if weight is None else df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
     return F.broadcast(df) if size <= limit else df
 
 
+#: How Hadoop and Arrow name the same store.
+_SCHEMES = {"s3a://": "s3://", "s3n://": "s3://", "wasb://": "abfs://", "wasbs://": "abfss://"}
+
+
 def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a URI of Hadoop's; credentials for remote stores come from the executors'
+    environment."""
+    for theirs, ours in _SCHEMES.items():
+        if uri.startswith(theirs):
+            uri = ours + uri.removeprefix(theirs)
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + os.path.abspath(uri))
 
 
+def give_back() -> None:
+    """Returns freed memory of this Python worker to the system: idle workers stay alive, and what they hold
+    counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = per_process("malloc-trim", _malloc_trim)
+    if trim:
+        trim(0)
+
+
+def _malloc_trim():
+    import ctypes
+
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # not glibc
+        return None
+
+
+def tidy(run):
+    """A function for mapInArrow that gives memory back when its task's rows end."""
+
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 class ByteWriter:
     """A file in the shared folder. Its name is new for each attempt of a task, and
     only rows of the attempt that counts name it, so a retry or a lost executor
@@ -99,6 +158,24 @@ def slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         a = min(b, n)
 
 
+#: Where a long text may be cut: before the blank.
+_CUT = re.compile(rb"[A-Za-z](?= [A-Za-z])")
+
+
+def pieces(off: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(a, b, lo, hi): texts a to b, which stand in data[lo:hi], or a piece of one long text. A text is cut
+    only before a blank between two ASCII letters, where words and pre-tokens always end."""
+    for a, b in slices(off):
+        lo, end = int(off[a]), int(off[b])
+        while end - lo > 2 * SLICE_BYTES:
+            met = _CUT.search(data, lo + SLICE_BYTES, end)
+            if met is None:
+                break
+            yield a, b, lo, met.start() + 1
+            lo = met.start() + 1
+        yield a, b, lo, end
+
+
 def fmix(x: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of MurmurHash3 (public domain), vectorised."""
     x = x ^ (x >> np.uint64(33))
@@ -109,34 +186,62 @@ def fmix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS = np.ones(1, np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        p = np.full(max(n, 1 << 20), _BASE, np.uint64)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and of its inverse modulo 2^64."""
+
+    def make(base: int) -> np.ndarray:
+        p = np.full(SLICE_BYTES + 1, base, np.uint64)
         p[0] = 1
-        _POWERS = np.multiply.accumulate(p)
-    return _POWERS[:n]
+        return np.multiply.accumulate(p)
+
+    return per_process("powers", lambda: (make(_BASE), make(pow(_BASE, -1, 1 << 64))))
 
 
 def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each codes[start:end]; equal spans hash alike wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    length = ends - starts
-    at = np.arange(int(length.sum()), dtype=np.int64)
-    first = np.zeros(len(length), np.int64)
-    np.cumsum(length[:-1], out=first[1:])
-    within = at - np.repeat(first, length)
-    value = (codes[within + np.repeat(starts, length)].astype(np.uint64) + np.uint64(1)) * _powers(int(length.max()))[within]
-    return fmix(np.add.reduceat(value, first) + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-def batches_of(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
+    """A 64-bit hash of each codes[start:end] (in order, apart, none of them empty); equal spans hash alike
+    wherever they stand. Arrays of about SLICE_BYTES codes are held at once, whatever the spans' lengths."""
+    power, inverse = _powers()
+    out, a = np.empty(len(starts), np.uint64), 0
+    while a < len(starts):
+        lo = int(starts[a])
+        b = max(a + 1, int(np.searchsorted(ends, lo + SLICE_BYTES, side="right")))
+        if ends[b - 1] - lo > SLICE_BYTES:  # one long span, in pieces
+            shift = np.ones(1, np.uint64)
+            total = np.zeros(1, np.uint64)
+            for i in range(lo, int(ends[a]), SLICE_BYTES):
+                piece = codes[i : min(i + SLICE_BYTES, int(ends[a]))].astype(np.uint64) + np.uint64(1)
+                total += (piece * power[: len(piece)]).sum(dtype=np.uint64) * shift
+                shift *= power[SLICE_BYTES]
+            out[a] = total[0]
+        else:
+            sums = np.zeros(int(ends[b - 1]) - lo + 1, np.uint64)
+            np.cumsum((codes[lo : ends[b - 1]].astype(np.uint64) + np.uint64(1)) * power[: len(sums) - 1], out=sums[1:])
+            out[a:b] = (sums[ends[a:b] - lo] - sums[starts[a:b] - lo]) * inverse[starts[a:b] - lo]
+        a = b
+    return fmix(out + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def word_spans(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words [^ \\t-\\r]+ of the texts start and stop."""
+    starts, stops, before = [], [], False
+    for lo in range(0, len(data), SLICE_BYTES):
+        word = ~_BLANK[data[lo : lo + SLICE_BYTES]]
+        prior = np.append(before, word[:-1])
+        edges = off[np.searchsorted(off, lo) : np.searchsorted(off, lo + len(word))] - lo
+        edge = np.zeros(len(word), bool)
+        edge[edges] = True
+        starts.append(np.flatnonzero(word & (~prior | edge)) + lo)
+        stops.append(np.flatnonzero(prior & (~word | edge)) + lo)
+        before = bool(word[-1])
+    stops.append(np.array([len(data)] * before, np.int64))
+    return (np.concatenate(starts) if starts else np.zeros(0, np.int64)), np.concatenate(stops).astype(np.int64)
 
 
 def frame(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

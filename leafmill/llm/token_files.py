@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import load_ranks
-from .common import ByteWriter, cut, per_process, read_range, shared_dir, slices, utf8
+from .common import ByteWriter, cut, per_process, pieces, read_range, shared_dir, tidy, utf8
 
 EOD = 50256
 BLOCK_BYTES, FILE_BYTES = 8 << 20, 64 << 20
@@ -38,16 +38,19 @@ def _write(folder: str, ranks_path: str, pattern: str, eod: int):
         import tiktoken
 
         encoder = per_process(f"token-files {ranks_path}", lambda: tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={}))
-        out, ids = None, []
+        out, ids, mark = None, [], np.array([eod], "<u2").tobytes()
         for batch in batches:
             keys, (off, data) = batch.column(0).to_pylist(), utf8(batch.column(1))
             raw = data.tobytes()
-            for a, b in slices(off):
+            for a, b, lo, hi in pieces(off, raw):
                 out = out or ByteWriter(folder, ".tokens")
-                tokens = [x for i in range(a, b) for x in (*encoder.encode_ordinary(raw[off[i] : off[i + 1]].decode("utf-8", "replace")), eod)]
-                out.write(np.array(tokens, "<u2").tobytes())
-                ids += keys[a:b]
-                if out.size >= FILE_BYTES:
+                bounds = np.clip(off[a : b + 1], lo, hi)
+                for i in range(b - a):
+                    out.write(np.array(encoder.encode_ordinary(raw[bounds[i] : bounds[i + 1]].decode("utf-8", "replace")), "<u2").tobytes())
+                    if bounds[i + 1] == off[a + i + 1]:  # the text ends here, not a piece of it alone
+                        out.write(mark)
+                        ids.append(keys[a + i])
+                if bounds[-1] == off[b] and out.size >= FILE_BYTES:
                     out.close()
                     yield pa.RecordBatch.from_pylist([{"path": out.uri, "bytes": out.size, "doc_ids": ids}], schema=schema)
                     out, ids = None, []
@@ -62,7 +65,7 @@ def write_token_files(docs: DataFrame, ranks_path: str, pattern: str, folder: st
     """Writes the files now; returns path, bytes, doc_ids of each (a written table)."""
     spark = docs.sparkSession
     narrow = docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
-    return cut(narrow.mapInArrow(_write(folder or shared_dir(spark, "tokens"), ranks_path, pattern, eod), "path string, bytes long, doc_ids array<long>"), "token-files")
+    return cut(narrow.mapInArrow(tidy(_write(folder or shared_dir(spark, "tokens"), ranks_path, pattern, eod)), "path string, bytes long, doc_ids array<long>"), "token-files")
 
 
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,16 +94,19 @@ def count_tokens(files: DataFrame, eod: int = EOD, block_bytes: int = BLOCK_BYTE
     blocks = files.filter("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("bytes") - 1) / block_bytes))).alias("block"))
     blocks = blocks.select("path", "block", (F.col("block") * block_bytes).alias("offset"), F.least(F.lit(block_bytes), F.col("bytes") - F.col("block") * block_bytes).alias("size"))
     # blocks are dealt out anew, as a file's blocks stand together
-    found = blocks.repartition("path", "block").mapInArrow(_scan(eod), "path string, block long, tokens long, last long, lengths array<long>")
+    found = blocks.repartition("path", "block").mapInArrow(tidy(_scan(eod)), "path string, block long, tokens long, last long, lengths array<long>")
     found = cut(found, "token-blocks")
+    # the scan sees four numbers of each block; the documents' lengths stay where they are until then
     w = Window.partitionBy("path").orderBy("block")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("tokens").over(before), F.lit(0))
-    placed = found.withColumns({"start": start, "ordinal": F.coalesce(F.sum(F.size("lengths")).over(before), F.lit(0)), "final": F.lead("block").over(w).isNull()})
-    placed = placed.withColumn("after", F.col("start") + F.col("last") + 1)
-    open_ = F.col("start") - F.coalesce(F.max("after").over(before), F.lit(0))
-    placed = placed.withColumn("open", open_)
+    scan = found.select("path", "block", "tokens", "last", F.size("lengths").alias("ends"))
+    scan = scan.withColumns({"start": F.coalesce(F.sum("tokens").over(before), F.lit(0)), "ordinal": F.coalesce(F.sum("ends").over(before), F.lit(0)), "final": F.lead("block").over(w).isNull()})
+    scan = scan.withColumn("after", F.col("start") + F.col("last") + 1)
+    scan = scan.withColumn("open", F.col("start") - F.coalesce(F.max("after").over(before), F.lit(0)))
+    scan = cut(scan.drop("start", "after"), "token-scan")
+    lengths = found.select(F.col("path").alias("l_path"), F.col("block").alias("l_block"), "lengths")
+    placed = scan.join(lengths, (F.col("path") == F.col("l_path")) & (F.col("block") == F.col("l_block")))
     whole = placed.select("path", "ordinal", "open", F.posexplode("lengths").alias("k", "n")).select("path", (F.col("ordinal") + F.col("k")).alias("ordinal"), (F.col("n") + F.when(F.col("k") == 0, F.col("open")).otherwise(0)).alias("n_tokens"), F.lit(True).alias("terminated"))
     left = F.when(F.col("last").isNull(), F.col("open") + F.col("tokens")).otherwise(F.col("tokens") - F.col("last") - 1)
-    rest = placed.filter("final").select("path", (F.col("ordinal") + F.size("lengths")).alias("ordinal"), left.alias("n_tokens"), F.lit(False).alias("terminated")).filter("n_tokens > 0")
+    rest = scan.filter("final").select("path", (F.col("ordinal") + F.col("ends")).alias("ordinal"), left.alias("n_tokens"), F.lit(False).alias("terminated")).filter("n_tokens > 0")
     return whole.unionAll(rest)
