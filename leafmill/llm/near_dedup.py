@@ -20,7 +20,7 @@ With 32 bands of 6 rows, a pair at the similarity 0.85 misses every band with pr
 
 Edge cases: null text, or text without words, has an empty set and links with nothing; fewer
 words than a shingle make one shingle of them all. Rows with a null id take no part in links
-(component null, kept). Rows that share an id are one document, which takes the links of one of
+(component null, kept). Rows that share an id are one document, which has the links of all
 its texts. An empty table gives an empty result. Only the two named columns are read.
 """
 
@@ -33,28 +33,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fmix, slices, small, span_hashes, utf8
+from .common import cut, fmix, slices, small, span_hashes, tidy, utf8, word_spans
 
 BANDS, ROWS, SKETCH_BITS = 32, 6, 512
 STAR_ROUNDS = 12
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 def shingle_sets(off: np.ndarray, data: np.ndarray, width: int) -> Iterator[np.ndarray]:
     """Each text's sorted distinct 64-bit shingle hashes."""
     for a, b in slices(off):
         own, at = _LOWER[data[off[a] : off[b]]], off[a : b + 1] - off[a]
-        word = ~_BLANK[own]
-        n = len(word)
-        edge = np.zeros(n + 1, bool)
-        edge[at] = True
-        before, after = np.zeros(n, bool), np.zeros(n, bool)
-        before[1:], after[:-1] = word[:-1], word[1:]
-        starts = np.flatnonzero(word & (~before | edge[:-1]))
-        stops = np.flatnonzero(word & (~after | edge[1:])) + 1
+        starts, stops = word_spans(at, own)
         words = span_hashes(own, starts, stops)
         first = np.searchsorted(starts, at)
         factors = fmix(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
@@ -94,6 +85,12 @@ def most_different(threshold: float, samples: int, bits: int) -> int:
     return int(bits / 2 * (1 - np.exp(-4 * samples * (1 - threshold) / bits)))
 
 
+def mark_of(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set of shingles."""
+    spots = np.arange(len(shingles), dtype=np.uint64)
+    return int(fmix(shingles + spots).sum(dtype=np.uint64).view(np.int64)), int(fmix(shingles ^ fmix(spots + np.uint64(7))).sum(dtype=np.uint64).view(np.int64))
+
+
 def _signatures(width: int, bands: int, rows: int, bits: int):
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("keys", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
@@ -108,8 +105,7 @@ def _signatures(width: int, bands: int, rows: int, bits: int):
                     keys.append(None)
                     sketches.append(None)
                     continue
-                spots = np.arange(len(s), dtype=np.uint64)
-                mark = (int(fmix(s + spots).sum(dtype=np.uint64).view(np.int64)), int(fmix(s ^ fmix(spots + np.uint64(7))).sum(dtype=np.uint64).view(np.int64)))
+                mark = mark_of(s)
                 got = known.get(mark)
                 if got is None:
                     m = minhashes(s, bands * rows)
@@ -123,6 +119,18 @@ def _signatures(width: int, bands: int, rows: int, bits: int):
     return run
 
 
+def _marked(width: int):
+    """The rows of (id, body) with their sets' marks."""
+    schema = pa.schema([("id", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("body", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [mark_of(x) for x in shingle_sets(*utf8(batch.column(1)), width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([m[k] for m in marks], pa.int64()) for k in (0, 1)), batch.column(1).cast(pa.string())], schema=schema)
+
+    return run
+
+
 def _rare(width: int):
     """(shingle, id) of every shingle of the texts."""
     schema = pa.schema([("shingle", pa.int64()), ("id", pa.int64())])
@@ -177,17 +185,22 @@ def components(links: DataFrame) -> DataFrame:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5, bands: int = BANDS, rows: int = ROWS, bits: int = SKETCH_BITS, margin: float = 0.15) -> DataFrame:
     """One row per input row: <id>, n_shingles, component_id, kept."""
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("body"))
-    signed = cut(narrow.mapInArrow(_signatures(width, bands, rows, bits), "id long, n long, set_a long, set_b long, keys array<long>, sketch array<long>"), "near-signatures")
+    signed = narrow.mapInArrow(tidy(_signatures(width, bands, rows, bits)), "id long, n long, set_a long, set_b long, keys array<long>, sketch array<long>")
+    signed = cut(signed.withColumn("row", F.monotonically_increasing_id()), "near-signatures")
     usable = signed.filter("n > 0 AND id IS NOT NULL")
-    classes = cut(usable.groupBy("set_a", "set_b").agg(F.min(F.struct("id", "n", "keys", "sketch")).alias("x")).select("set_a", "set_b", "x.*"), "near-classes")
+    # a class is named by its least row, as one id may have several texts; doc and of are its least id's
+    classes = cut(usable.groupBy("set_a", "set_b").agg(F.min("row").alias("id"), F.min(F.struct("id", "n", "keys", "sketch")).alias("x")).select("set_a", "set_b", "id", F.col("x.id").alias("doc"), "x.n", "x.keys", "x.sketch"), "near-classes")
     posts = classes.select("id", F.explode("keys").alias("bucket"))
     shared = cut(posts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select(F.col("bucket").alias("shared"), "size"), "near-buckets")
     found = cut(posts.join(shared, F.col("bucket") == F.col("shared")).select("bucket", "id", "size"), "near-posts")
     # a text that shares large buckets with many is the best leader of its group
     central = cut(found.groupBy("id").agg(F.sum("size").alias("weight")), "near-central")
     members = cut(found.select("bucket", "id").join(central.withColumnRenamed("id", "c_id"), F.col("id") == F.col("c_id")).select("bucket", "id", F.col("id").alias("root"), "weight"), "near-members")
-    texts = cut(narrow.join(small(central.select(F.col("id").alias("need"))), F.col("id") == F.col("need")).groupBy("id").agg(F.min("body").alias("body")), "near-texts")
-    single = texts.mapInArrow(_rare(width), "shingle long, id long").groupBy("shingle").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c")).filter("c = 1")
+    wanted = cut(classes.join(central.select(F.col("id").alias("need")), F.col("id") == F.col("need")).select("need", "doc", F.col("set_a").alias("wa"), F.col("set_b").alias("wb")), "near-wanted")
+    # texts are picked by their documents' ids, and then by their sets, as one id may have several texts
+    read = narrow.join(small(wanted.select("doc").distinct()), F.col("id") == F.col("doc")).select("id", "body").mapInArrow(tidy(_marked(width)), "id long, set_a long, set_b long, body string")
+    texts = cut(read.join(small(wanted), (F.col("id") == F.col("doc")) & (F.col("set_a") == F.col("wa")) & (F.col("set_b") == F.col("wb"))).groupBy(F.col("need").alias("id")).agg(F.min("body").alias("body")), "near-texts")
+    single = texts.mapInArrow(tidy(_rare(width)), "shingle long, id long").groupBy("shingle").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c")).filter("c = 1")
     alone = single.groupBy(F.col("id").alias("s_id")).agg(F.count(F.lit(1)).alias("alone"))
     meta = cut(central.select("id").join(classes.select(F.col("id").alias("k_id"), "n", "sketch"), F.col("id") == F.col("k_id")).join(alone, F.col("id") == F.col("s_id"), "left").select(F.col("id").alias("key"), "n", "sketch", F.coalesce("alone", F.lit(0)).alias("alone")), "near-meta")
     allowed = most_different(percent / 100 - margin, bands * rows, bits)
@@ -199,7 +212,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         first = texts.select(F.col("id").alias("b_id"), F.col("body").alias("b_body"))
         second = texts.select(F.col("id").alias("a_id"), F.col("body").alias("a_body"))
         full = pairs.join(first, F.col("b") == F.col("b_id")).join(second, F.col("a") == F.col("a_id")).select("a", "b", "a_body", "b_body")
-        got = cut(full.mapInArrow(_meet(width), "a long, b long, both long"), "near-met")
+        got = cut(full.mapInArrow(tidy(_meet(width)), "a long, b long, both long"), "near-met")
         return got.join(side("a"), F.col("a") == F.col("a_key")).join(side("b"), F.col("b") == F.col("b_key"))
 
     linked = 100 * F.col("both") >= percent * (F.col("a_n") + F.col("b_n") - F.col("both"))
@@ -212,9 +225,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
         live = members.join(open_, F.col("bucket") == F.col("open"))
         pairs = live.filter("root <> leader_root").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-        if stars:
-            near = pairs.join(side("b"), F.col("b") == F.col("b_key")).join(side("a"), F.col("a") == F.col("a_key"))
-            pairs = near.filter((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (differ <= allowed)).select("a", "b")
+        near = pairs.join(side("b"), F.col("b") == F.col("b_key")).join(side("a"), F.col("a") == F.col("a_key"))
+        pairs = near.filter((100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (differ <= allowed)).select("a", "b")
         pairs = cut(pairs, "near-pairs")
         met = meet(pairs)
         if not stars:  # how far each text is from its buckets' leaders, in shingles
@@ -228,7 +240,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ends = new.join(by_root.toDF("ia", "ra"), F.col("a") == F.col("ia")).join(by_root.toDF("ib", "rb"), F.col("b") == F.col("ib"))
             members = _relabel(members, components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
         stars += 1
-        if gained * 20 >= tested and stars < STAR_ROUNDS:
+        if tested and gained * 20 >= tested and stars < STAR_ROUNDS:
             continue
         # all pairs of a bucket that still lie in different components, if their bounds allow a link:
         # two sets differ by at least what each differs from the leader, less twice what both can
@@ -244,12 +256,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         last = meet(cut(cross.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "near-pairs"))
         links = links.unionAll(cut(last.filter(linked).select("a", "b"), "near-links"))
         break
-    labels = classes.select("set_a", "set_b", "id")
-    if links is None:
-        labels = labels.withColumn("component", F.col("id"))
-    else:
-        labels = labels.join(small(components(links).toDF("node", "reached")), F.col("id") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("reached", "id").alias("component"))
-    labels = cut(labels.select(F.col("set_a").alias("la"), F.col("set_b").alias("lb"), "component"), "near-labels")
+    # rows that share an id are one document: their classes are linked too
+    several = cut(usable.groupBy("id").agg(F.min(F.struct("set_a", "set_b")).alias("lo"), F.max(F.struct("set_a", "set_b")).alias("hi")).filter("lo <> hi").select(F.col("id").alias("of")), "near-several")
+    members_of = usable.join(small(several), F.col("id") == F.col("of")).select("of", F.col("set_a").alias("wa"), F.col("set_b").alias("wb")).distinct()
+    classes_of = cut(members_of.join(classes, (F.col("set_a") == F.col("wa")) & (F.col("set_b") == F.col("wb"))).select("of", "id"), "near-one-id")
+    least = classes_of.groupBy(F.col("of").alias("one")).agg(F.min("id").alias("b"))
+    same = classes_of.join(least, F.col("of") == F.col("one")).filter("id <> b").select(F.col("id").alias("a"), "b")
+    merged = cut(components(same if links is None else links.unionAll(same)), "near-components")
+    reached = cut(merged.unionAll(merged.select(F.col("root").alias("node"), "root")).distinct(), "near-reached")
+    # the least document of each component of several classes
+    firsts = reached.join(classes.select("id", "doc"), F.col("node") == F.col("id")).groupBy(F.col("root").alias("of_root")).agg(F.min("doc").alias("component"))
+    named = cut(reached.join(firsts, F.col("root") == F.col("of_root")).select("node", "component"), "near-named")
+    labels = classes.join(small(named), F.col("id") == F.col("node"), "left").select(F.col("set_a").alias("la"), F.col("set_b").alias("lb"), F.coalesce("component", "doc").alias("component"))
+    labels = cut(labels, "near-labels")
     out = signed.join(labels, (F.col("set_a") == F.col("la")) & (F.col("set_b") == F.col("lb")) & F.col("id").isNotNull(), "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
