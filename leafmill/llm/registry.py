@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +46,15 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(frame(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+#: The setting that holds the key of the pseudonyms.
+PII_KEY = "spark.leafmill.pii.key"
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pseudonymise(frame(spark, sf_dir, "documents"), key="leafmill")
+    """Without a key in the settings, the session draws one and keeps it."""
+    if not spark.conf.get(PII_KEY, ""):
+        spark.conf.set(PII_KEY, secrets.token_hex(32))
+    found = pseudonymise(frame(spark, sf_dir, "documents"), key=spark.conf.get(PII_KEY))
     return found.select("doc_id", "text", F.col("__found").alias("n_found"), F.col("__replaced").alias("n_replaced"))
 
 
@@ -83,11 +92,11 @@ ORACLE_SQL = {
                CASE WHEN page_id < largest THEN largest END AS refers_to
         FROM q""",
     "op8_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+        WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rn, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-              FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
-        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        s AS (SELECT q.rn, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+              FROM v q JOIN v c ON q.rn <> c.rn AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY rn ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op9_mixing": r"""
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
