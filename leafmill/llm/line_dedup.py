@@ -3,14 +3,16 @@
 A document is the sequence of its lines that aren't blank, each hashed after white space at its ends is
 removed. A window is a shortest run that would be deleted: from each line on, and up to each line, as many lines
 as it takes to have min_lines lines or min_words words. The least hash of a window (the rightmost of equals)
-is its fingerprint and gives its position; it is joined on with the hash of the whole window, as a line alone
-may have its first place among other neighbours. Each fingerprint meets its first place in the corpus
-(by document id, then line), and the match is extended both ways as long as lines agree. The later occurrence
-is deleted.
+is its fingerprint: equal runs, wherever they stand, have the same lines selected. The selected lines of all
+documents are counted by hash; a line that stands once is in no run that stands twice.
+At the places of all others, the windows that have selected them meet by a hash of the whole window, as a line
+alone may have its first place among other neighbours; each meets its first place in the corpus
+(by document id, then line), and from there the match is extended both ways, line by line, as long as lines agree.
+The later occurrence is deleted.
 
 So a line goes exactly if it lies in a run of at least min_lines lines or min_words words that stands at an
 earlier place too: such a run is covered by windows, and each of them has a first place. The first occurrence of
-any line is never deleted. Fingerprints meet their first place alone, so a line in a third of
+any line is never deleted. Windows meet their first place alone, so a line in a third of
 all documents costs one row for each occurrence, and joins on it can be split.
 
 That rule ends at line breaks. With passage_words, passages of that many words that begin or end inside lines go
@@ -20,103 +22,124 @@ Nor does it see shorter runs: with single_words, lines of that many words that s
 themselves. Shorter ones that stand alone or in pairs stay.
 
 Edge cases: null text has no lines and stays null; an empty text stays. Blank lines stay
-where they are. Rows that share an id have no defined place: they keep their texts and take no part
-in matching, and so do rows with a null id. A text that loses all its
+where they are. Rows that share an id are documents of their own, in the order of their texts' hashes; of equal
+rows one is the first. Rows with a null id keep their texts and take no part. A text that loses all its
 lines becomes empty and its row stays. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small, utf8
-from .passages import joined, passages
+from .common import cut, fmix, slices, small, span_hashes, tidy, utf8, word_spans
+from .passages import ROW, joined, passages
 
 MIN_LINES, MIN_WORDS, PASSAGE_WORDS, SINGLE_WORDS = 3, 50, 50, 5
 
 
-def lines_of(text: bytes) -> tuple[list[int], list[int], list[int]]:
-    """Of lines that aren't blank: their numbers, hashes and counts of words."""
-    numbers, hashes, words = [], [], []
-    for i, line in enumerate(text.split(b"\n")):
-        bare = line.strip()
-        if bare:
-            numbers.append(i)
-            hashes.append(int.from_bytes(hashlib.blake2b(bare, digest_size=8).digest(), "little", signed=True))
-            words.append(len(bare.split()))
-    return numbers, hashes, words
-
-
-def windows(words: list[int], min_lines: int, min_words: int) -> list[tuple[int, int]]:
-    """The shortest runs that are long enough, from each line on and up to each line, as ranges."""
-    out, n = set(), len(words)
-    for i in range(n):
-        for step in (1, -1):
-            j, total = i, 0
-            while 0 <= j < n:
-                total += words[j]
-                if abs(j - i) + 1 >= min_lines or total >= min_words:
-                    out.add((min(i, j), max(i, j) + 1))
-                    break
-                j += step
-    return sorted(out)
-
-
-def fingerprints(hashes: list[int], words: list[int], min_lines: int, min_words: int) -> tuple[list[int], list[int]]:
-    """Of each window the position of its least hash, the rightmost of equals, and its own hash."""
-    whole = np.array(hashes, "<i8")
-    at, keys = [], []
-    for a, b in windows(words, min_lines, min_words):
-        part = hashes[a:b]
-        least = min(part)
-        at.append(max(i for i in range(a, b) if hashes[i] == least))
-        keys.append(int.from_bytes(hashlib.blake2b(whole[a:b].tobytes(), digest_size=8).digest(), "little", signed=True))
-    return at, keys
-
-
-def runs(own: np.ndarray, words: np.ndarray, first: np.ndarray, seeds: list[int], shift: int, same: bool, min_lines: int, min_words: int) -> list[tuple[int, int]]:
+def lines_of(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts' lines that aren't blank: their numbers, hashes and counts of words, and where each
+    text's begin and the last one's end."""
+    starts, stops = word_spans(off, data)
+    breaks = np.flatnonzero(data == 10)
+    text = np.searchsorted(off, starts, side="right") - 1
+    line = np.searchsorted(breaks, starts) + text  # another number for each line of all texts
+    head = np.flatnonzero(np.diff(line, prepend=-1))
+    last = np.append(head[1:], len(line))
+    number = np.searchsorted(breaks, starts[head]) - np.searchsorted(breaks, off[text[head]])
+    return number.astype(np.int32), span_hashes(data, starts[head], stops[last - 1]), (last - head).astype(np.int32), np.searchsorted(text[head], np.arange(len(off)))
+
+
+def windows(words: np.ndarray, first: np.ndarray, min_lines: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shortest runs that are long enough, from each line on and up to each line, as begins and ends."""
+    n = len(words)
+    total, at = np.append(0, np.cumsum(words, dtype=np.int64)), np.arange(n)
+    begin, end = np.repeat(first[:-1], np.diff(first)), np.repeat(first[1:], np.diff(first))  # of each line's text
+    on = np.minimum(at + min_lines, np.searchsorted(total, total[:-1] + min_words))
+    back = np.maximum(at + 1 - min_lines, np.searchsorted(total, total[1:] - min_words, side="right") - 1)
+    both = np.concatenate([(at * (n + 1) + on)[on <= end], (back * (n + 1) + at + 1)[back >= begin]])
+    return np.divmod(np.unique(both), n + 1)
+
+
+def fingerprints(hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window the place of its least hash, the rightmost of equals, and a hash of the whole window."""
+    at, keys = begins.copy(), np.zeros(len(begins), np.uint64)
+    for o in range(int((ends - begins).max(initial=0))):
+        inside = begins + o < ends
+        value = hashes[np.minimum(begins + o, len(hashes) - 1)]
+        at = np.where(inside & (value <= hashes[at]), begins + o, at)
+        keys += np.where(inside, value * (fmix(np.full(1, o + 1, np.uint64)) | np.uint64(1)), np.uint64(0))
+    return at, fmix(keys + (ends - begins).astype(np.uint64))
+
+
+def runs(own: np.ndarray, words: np.ndarray, first: np.ndarray, seeds: np.ndarray, shift: int, min_lines: int, min_words: int) -> list[tuple[int, int]]:
     """Ranges of own that match first along own[i] == first[i - shift] around the seeds and are long enough."""
     lo, hi = max(0, shift), min(len(own), len(first) + shift)
     equal = np.flatnonzero(np.diff(np.concatenate([[0], (own[lo:hi] == first[lo - shift : hi - shift]).astype(np.int8), [0]])))
-    out = []
+    out, seeds = [], np.sort(seeds)
     for a, b in equal.reshape(-1, 2) + lo:
-        if any(a <= s < b for s in seeds) and (b - a >= min_lines or words[a:b].sum() >= min_words):
+        if np.searchsorted(seeds, a) < np.searchsorted(seeds, b) and (b - a >= min_lines or words[a:b].sum() >= min_words):
             out.append((int(a), int(b)))
     return out
 
 
-def _lines(min_lines: int, min_words: int):
-    schema = pa.schema([("id", pa.int64()), ("numbers", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("marks", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64()))])
+def _lists(parts: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(parts, kind))
+
 
+def _lines(min_lines: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             off, data = utf8(batch.column(1))
-            raw = data.tobytes()
-            got = [lines_of(raw[off[i] : off[i + 1]]) for i in range(len(off) - 1)]
-            got = [(*g, *fingerprints(g[1], g[2], min_lines, min_words)) for g in got]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], schema.field(k + 1).type) for k in range(5))], schema=schema)
+            for a, b in slices(off):
+                numbers, hashes, words, first = lines_of(off[a : b + 1] - off[a], data[off[a] : off[b]])
+                marks = np.unique(fingerprints(hashes, *windows(words, first, min_lines, min_words))[0])
+                owner = np.searchsorted(first, marks, side="right") - 1
+                of = np.searchsorted(owner, np.arange(b - a + 1))
+                places = (marks - first[owner]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _lists(numbers, first, pa.int32()), _lists(hashes.view(np.int64), first, pa.int64()), _lists(words, first, pa.int32()), _lists(places, of, pa.int32()), _lists(hashes[marks].view(np.int64), of, pa.int64())], names=["id", "numbers", "hashes", "words", "marks", "keys"])
 
     return run
 
 
-def _extend(min_lines: int, min_words: int):
-    schema = pa.schema([("id", pa.int64()), ("gone", pa.list_(pa.int32()))])
+def _values(column: pa.Array) -> list[np.ndarray]:
+    off, flat = np.asarray(column.offsets), np.asarray(column.values)
+    return [flat[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
 
+
+def _windows(min_lines: int, min_words: int):
+    """(id, at, hash) of the windows whose least hash stands at one of the given places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, at, keys = [], [], []
+            for i, (hashes, words, spots) in enumerate(zip(*(_values(batch.column(c)) for c in (1, 2, 3)), strict=True)):
+                place, key = fingerprints(hashes.view(np.uint64), *windows(words, np.array([0, len(words)]), min_lines, min_words))
+                some = np.isin(place, spots)
+                owner.append(np.full(int(some.sum()), i))
+                at.append(place[some])
+                keys.append(key[some])
+            if owner:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(keys).view(np.int64))], names=["id", "at", "hash"])
+
+    return run
+
+
+def _extend(min_lines: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, gone = [], []
-            for r in batch.to_pylist():
-                found = runs(np.array(r["hashes"]), np.array(r["words"]), np.array(r["first_hashes"]), r["seeds"], r["shift"], r["id"] == r["first_id"], min_lines, min_words)
-                if found:
-                    ids.append(r["id"])
-                    gone.append([r["numbers"][i] for a, b in found for i in range(a, b)])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(gone, schema.field(1).type)], schema=schema)
+            rows, gone = [], []
+            for i, (shift, seeds, numbers, hashes, words, first) in enumerate(zip(batch.column(1).to_pylist(), *(_values(batch.column(c)) for c in range(2, 7)), strict=True)):
+                if found := runs(hashes, words, first, seeds, shift, min_lines, min_words):
+                    rows.append(i)
+                    gone.append(np.concatenate([numbers[a:b] for a, b in found]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int32())), pa.array(gone, pa.list_(pa.int32()))], names=["id", "gone"])
 
     return run
 
@@ -136,31 +159,51 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by passages of passage_words words inside lines, if given. With single_words, a line of that many words that
     stands in several documents stays at its first place alone."""
     key, body = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
-    lines = cut(docs.select(key.alias("id"), body.cast("string").alias("body")).mapInArrow(_lines(min_lines, min_words), "id long, numbers array<int>, hashes array<long>, words array<int>, marks array<int>, keys array<long>"), "lines")
-    once = cut(lines.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select(F.col("id").alias("twice")), "line-ids")
-    known = lines.filter("id IS NOT NULL AND size(hashes) > 0").join(once, F.col("id") == F.col("twice"), "left_anti")
+    row: Callable = lambda text, copy: F.struct(key.alias("id"), text.alias("text"), copy.alias("copy"))
+    alone = row(F.lit(0).cast("long"), F.lit(0).cast("long"))
+    twice = cut(docs.select(key.alias("__twice")).filter("__twice IS NOT NULL").groupBy("__twice").count().filter("count > 1").select("__twice"), "line-ids")
+    parts = [docs]
+    if twice.take(1):
+        # rows that share an id are told apart in a written copy, in which each has a number
+        few_ids = small(twice)
+        again = docs.join(few_ids, key == F.col("__twice"), "left_semi").withColumn("__copy", F.monotonically_increasing_id() + 1)
+        parts = [docs.join(few_ids, key == F.col("__twice"), "left_anti"), cut(again, "line-again")]
+    rows = [alone, row(F.xxhash64(body.cast("string")), F.col("__copy") if len(parts) > 1 else F.lit(0))]
+    texts = functools.reduce(DataFrame.unionAll, (d.filter(key.isNotNull()).select(r.alias("id"), body.cast("string").alias("body")) for d, r in zip(parts, rows)))
+    known = cut(texts.mapInArrow(tidy(_lines(min_lines, min_words)), f"id {ROW}, numbers array<int>, hashes array<long>, words array<int>, marks array<int>, keys array<long>"), "lines")
     marks = known.select("id", F.explode(F.arrays_zip("marks", "keys")).alias("m")).select("id", F.col("m.marks").alias("at"), F.col("m.keys").alias("hash"))
     # combined before the shuffle: one row for each hash and task
-    firsts = marks.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = cut(marks.groupBy(F.col("hash").alias("s_hash")).count().filter("count > 1").select("s_hash"), "line-shared")
+    spots = cut(marks.join(small(shared), F.col("hash") == F.col("s_hash")).groupBy(F.col("id").alias("s_id")).agg(F.collect_list("at").alias("spots")), "line-spots")
+    around = known.join(small(spots, weight=F.size("spots") + 3), F.col("id") == F.col("s_id")).select("id", "hashes", "words", "spots")
+    found = cut(around.mapInArrow(tidy(_windows(min_lines, min_words)), f"id {ROW}, at int, hash long"), "line-windows")
+    firsts = found.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = cut(firsts.select("f_hash", F.col("f.id").alias("first_id"), F.col("f.at").alias("first_at")), "line-firsts")
-    met = marks.join(firsts, F.col("hash") == F.col("f_hash")).filter("id > first_id OR (id = first_id AND at > first_at)")
+    met = found.join(firsts, F.col("hash") == F.col("f_hash")).filter("id > first_id OR (id = first_id AND at > first_at)")
     pairs = cut(met.groupBy("id", "first_id", (F.col("at") - F.col("first_at")).alias("shift")).agg(F.collect_set("at").alias("seeds")), "line-pairs")
     first = known.select(F.col("id").alias("f_id"), F.col("hashes").alias("first_hashes"))
     own = known.select(F.col("id").alias("o_id"), "numbers", "hashes", "words")
-    both = pairs.join(first, F.col("first_id") == F.col("f_id")).join(own, F.col("id") == F.col("o_id")).select("id", "first_id", "shift", "seeds", "numbers", "hashes", "words", "first_hashes")
-    gone = both.mapInArrow(_extend(min_lines, min_words), "id long, gone array<int>")
+    both = pairs.join(first, F.col("first_id") == F.col("f_id")).join(own, F.col("id") == F.col("o_id")).select("id", "shift", "seeds", "numbers", "hashes", "words", "first_hashes")
+    gone = both.mapInArrow(tidy(_extend(min_lines, min_words)), f"id {ROW}, gone array<int>")
     if single_words:
         gone = gone.unionAll(singles(known, single_words))
     gone = gone.groupBy(F.col("id").alias("__of")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone"))
     gone = cut(gone, "line-gone")
     # counted with their lines: texts are only shuffled if the list is too long to broadcast
-    few = small(gone, weight=F.size("__gone") + 1)
-    out = docs.join(few, key == F.col("__of"), "left")
-    kept = F.array_join(F.filter(F.split(body, "\n", -1), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    text, removed = F.when(F.col("__gone").isNull(), body).otherwise(kept), F.coalesce(F.size("__gone"), F.lit(0))
+    few = small(gone, weight=F.size("__gone") + 3)
     if passage_words:
-        texts = docs.select(key.alias("id"), body.cast("string").alias("body")).filter("id IS NOT NULL AND body IS NOT NULL").join(small(once), F.col("id") == F.col("twice"), "left_anti")
-        spans = passages(texts.join(few, F.col("id") == F.col("__of"), "left").select("id", "body", F.col("__gone").alias("gone")), passage_words)
-        out = out.join(small(spans, weight=F.size("__starts") * 2 + 1), key == F.col("__in"), "left")
-        text, removed = F.when(F.col("__in").isNull(), text).otherwise(joined(body)), F.coalesce("__changed", removed)
-    return out.withColumns({text_col: text, "__removed": removed}).select(*[F.col(f"`{c}`") for c in docs.columns], "__removed")
+        spans = passages(texts.filter("body IS NOT NULL").join(few, F.col("id") == F.col("__of"), "left").select("id", "body", F.col("__gone").alias("gone")), passage_words)
+        spans = small(spans, weight=F.size("__starts") * 2 + 4)
+
+    def shortened(part: DataFrame, of: Column) -> DataFrame:
+        out = part.join(few, of == F.col("__of"), "left")
+        lines = F.split(body, "\n", -1)
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+        kept = F.transform(F.array(lines), lambda every: F.array_join(F.transform(stay, lambda i: every[i]), "\n"))[0]
+        text, removed = F.when(F.col("__gone").isNull(), body).otherwise(kept), F.coalesce(F.size("__gone"), F.lit(0))
+        if passage_words:
+            out = out.join(spans, of == F.col("__in"), "left")
+            text, removed = F.when(F.col("__in").isNull(), text).otherwise(joined(body)), F.coalesce("__changed", removed)
+        return out.withColumns({text_col: text, "__removed": removed}).select(*[F.col(f"`{c}`") for c in docs.columns], "__removed")
+
+    return functools.reduce(DataFrame.unionAll, (shortened(d, r) for d, r in zip(parts, rows)))

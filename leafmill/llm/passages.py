@@ -23,11 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fmix, slices, small, span_hashes, utf8
+from .common import cut, fmix, slices, small, span_hashes, tidy, utf8, word_spans
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
-_WORD = re.compile(r"[^\x09-\x0d ]+")
+_WORD = re.compile(rb"[^\x09-\x0d ]+")
 
 
 def _window(values: np.ndarray, size: int, join) -> np.ndarray:
@@ -45,13 +43,7 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def words_of(off: np.ndarray, data: np.ndarray, gone: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words, whether their line is left, and where each text's words begin."""
-    word = ~_BLANK[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[off] = True
-    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    before[1:], after[:-1] = word[:-1], word[1:]
-    starts = np.flatnonzero(word & (~before | edge[:-1]))
-    stops = np.flatnonzero(word & (~after | edge[1:])) + 1
+    starts, stops = word_spans(off, data)
     first = np.searchsorted(starts, off)
     left = np.ones(len(starts), bool)
     for i, lines in enumerate(gone):
@@ -83,30 +75,35 @@ def winnow(hashes: np.ndarray, ok: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero((most == parts) & (parts > 0))
 
 
+#: A row: its document's id; rows that share one differ by their texts' hash and a number.
+ROW = "struct<id: long, text: long, copy: long>"
+
+
+def _entries(ids: pa.Array, owner: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64))], names=["id", "at", "hash"])
+
+
 def _marks(size: int):
-    schema = pa.schema([("id", pa.int64()), ("at", pa.int32()), ("hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             off, data = utf8(batch.column(1))
-            ids, gone = batch.column(0).to_numpy(), batch.column(2).to_pylist()
+            ids, gone = batch.column(0), batch.column(2).to_pylist()
             for a, b in slices(off):
                 hashes, left, first = words_of(off[a : b + 1] - off[a], data[off[a] : off[b]], gone[a:b])
                 at = winnow(hashes, places(left, first, size), size)
                 owner = np.searchsorted(first, at, side="right") - 1
                 keys = _window(hashes, size // 2, _pair)[at] if len(at) else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][owner]), pa.array((at - first[owner]).astype(np.int32)), pa.array(keys.view(np.int64))], schema=schema)
+                yield _entries(ids, owner + a, at - first[owner], keys)
 
     return run
 
 
 def _windows(size: int):
-    schema = pa.schema([("id", pa.int64()), ("at", pa.int32()), ("hash", pa.int64())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             off, data = utf8(batch.column(1))
-            ids, (gone, los, his) = batch.column(0).to_numpy(), (batch.column(k).to_pylist() for k in (2, 3, 4))
+            ids, (gone, los, his) = batch.column(0), (batch.column(k).to_pylist() for k in (2, 3, 4))
             for a, b in slices(off):
                 hashes, left, first = words_of(off[a : b + 1] - off[a], data[off[a] : off[b]], gone[a:b])
                 if len(hashes) < size:
@@ -117,7 +114,7 @@ def _windows(size: int):
                     np.add.at(near, np.array(his[i], np.int64) + first[i - a], -1)
                 at = np.flatnonzero((np.cumsum(near[:-1]) > 0) & places(left, first, size))
                 owner = np.searchsorted(first, at, side="right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][owner]), pa.array((at - first[owner]).astype(np.int32)), pa.array(_window(hashes, size, _pair)[at].view(np.int64))], schema=schema)
+                yield _entries(ids, owner + a, at - first[owner], _window(hashes, size, _pair)[at])
 
     return run
 
@@ -130,12 +127,10 @@ def merged(at: list[int], back: int, ahead: int) -> tuple[list[int], list[int]]:
 
 
 def _ranges(back: int, ahead: int):
-    schema = pa.schema([("id", pa.int64()), ("los", pa.list_(pa.int32())), ("his", pa.list_(pa.int32()))])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [merged(at, back, ahead) for at in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], schema.field(k + 1).type) for k in (0, 1))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], pa.list_(pa.int32())) for k in (0, 1))], names=["id", "los", "his"])
 
     return run
 
@@ -143,15 +138,15 @@ def _ranges(back: int, ahead: int):
 def _ranged(entries: DataFrame, back: int, ahead: int, name: str) -> DataFrame:
     """(r_id, los, his): the ranges of each id's entries. A repeated passage is one range, however long."""
     lists = entries.groupBy("id").agg(F.collect_list("at").alias("ats"))
-    return cut(lists.mapInArrow(_ranges(back, ahead), "id long, los array<int>, his array<int>").withColumnRenamed("id", "r_id"), name)
+    return cut(lists.mapInArrow(tidy(_ranges(back, ahead)), f"id {ROW}, los array<int>, his array<int>").withColumnRenamed("id", "r_id"), name)
 
 
-def left_of(text: str, lines: set[int], los: list[int], his: list[int]) -> tuple[list[int], list[int], int]:
-    """(starts from 1, lengths) in characters of what is left without those lines and ranges
+def left_of(text: bytes, lines: set[int], los: list[int], his: list[int]) -> tuple[list[int], list[int], int]:
+    """(starts from 1, lengths) in bytes of what is left without those lines and ranges
     of words, and how many lines went or were shortened."""
     spans, changed, some = [], 0, False
     n = k = until = begin = 0
-    for number, line in enumerate(text.split("\n")):
+    for number, line in enumerate(text.split(b"\n")):
         words, keep = [m.span() for m in _WORD.finditer(line)], []
         for _ in words:
             while k < len(los) and los[k] <= n:
@@ -182,34 +177,31 @@ def left_of(text: str, lines: set[int], los: list[int], his: list[int]) -> tuple
     return [a + 1 for a, _ in out], [b - a for a, b in out], changed
 
 
-def _spans():
-    schema = pa.schema([("id", pa.int64()), ("starts", pa.list_(pa.int32())), ("lengths", pa.list_(pa.int32())), ("changed", pa.int32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [left_of(text, set(gone or ()), los, his) for text, gone, los, his in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], schema.field(k + 1).type) for k in range(3))], schema=schema)
-
-    return run
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        off, data = utf8(batch.column(1))
+        got = [left_of(data[off[i] : off[i + 1]].tobytes(), set(gone or ()), los, his) for i, (gone, los, his) in enumerate(zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], t) for k, t in enumerate((pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32())))], names=["id", "starts", "lengths", "changed"])
 
 
 def passages(texts: DataFrame, size: int) -> DataFrame:
     """Of each row of texts (id, body, gone: its lines that the line rule takes) that loses a passage:
     __in, its id; __starts and __lengths, the spans left; __changed, the lines that go or are shortened."""
-    entries = "id long, at int, hash long"
-    marks = cut(texts.mapInArrow(_marks(size), entries), "passage-marks")
+    entries = f"id {ROW}, at int, hash long"
+    marks = cut(texts.mapInArrow(tidy(_marks(size)), entries), "passage-marks")
     twice = cut(marks.groupBy(F.col("hash").alias("t_hash")).count().filter("count > 1").select("t_hash"), "passage-twice")
-    spots = _ranged(marks.join(twice, F.col("hash") == F.col("t_hash")), size - size // 2, 1, "passage-spots")
+    spots = _ranged(marks.join(small(twice), F.col("hash") == F.col("t_hash")), size - size // 2, 1, "passage-spots")
     met = lambda ranges: texts.join(small(ranges, weight=F.size("los") * 2 + 1), F.col("id") == F.col("r_id")).select("id", "body", "gone", "los", "his")
-    windows = cut(met(spots).mapInArrow(_windows(size), entries), "passage-windows")
+    windows = cut(met(spots).mapInArrow(tidy(_windows(size)), entries), "passage-windows")
     # combined before the shuffle: one row for each hash and task
     firsts = windows.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = cut(firsts.select("f_hash", F.col("f.id").alias("first_id"), F.col("f.at").alias("first_at")), "passage-firsts")
     later = windows.join(firsts, F.col("hash") == F.col("f_hash")).filter((F.col("id") > F.col("first_id")) | ((F.col("id") == F.col("first_id")) & (F.col("at") >= F.col("first_at") + size)))
     later = _ranged(later, 0, size, "passage-later")
-    return cut(met(later).mapInArrow(_spans(), "id long, starts array<int>, lengths array<int>, changed int").toDF("__in", "__starts", "__lengths", "__changed"), "passage-spans")
+    return cut(met(later).mapInArrow(tidy(_spans), f"id {ROW}, starts array<int>, lengths array<int>, changed int").toDF("__in", "__starts", "__lengths", "__changed"), "passage-spans")
 
 
 def joined(body: Column) -> Column:
-    """The spans of the text, joined."""
-    return F.array_join(F.zip_with("__starts", "__lengths", lambda a, n: F.substring(body, a, n)), "")
+    """The spans of the text, joined. Bytes are reached at once, characters only by counting from the start."""
+    cut_of = lambda raw: F.array_join(F.zip_with("__starts", "__lengths", lambda a, n: F.substring(raw, a, n).cast("string")), "")
+    return F.transform(F.array(body.cast("binary")), cut_of)[0]
