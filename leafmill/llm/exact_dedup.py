@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ByteWriter, cut, read_range, shared_dir, utf8
+from .common import ByteWriter, cut, give_back, read_range, shared_dir, tidy, utf8
 
-#: Fingerprints that one owner should get, about.
-PER_OWNER = 200_000
+#: Fingerprints that one owner should get, about, and rows whose copies a block counts before it is sent.
+PER_OWNER, BLOCK_ROWS = 2_000_000, 200_000
 #: Bytes of text that a block may hold before it is saved (a longer text is a block).
 BLOCK_BYTES = 32 << 20
 _SENT = "kind string, id long, sha string, local_id long, local_n long, block string, owner int, n int, payload binary, places binary"
@@ -107,7 +107,7 @@ def _send(folder: str, owner_bits: int):
                     texts[sha], members[sha] = text, [key, 1]
                     size += len(text)
                 docs.append((key, sha))
-                if size >= BLOCK_BYTES or len(docs) >= PER_OWNER:
+                if size >= BLOCK_BYTES or len(docs) >= BLOCK_ROWS:
                     yield from flush(texts, members, docs)
                     texts, members, docs, size = {}, {}, [], 0
         if docs:
@@ -123,6 +123,8 @@ def _own(owner_bits: int):
         every, counts = np.unique(np.concatenate(lists), return_counts=True)
         double = every[counts > 1]
         found = [np.packbits(np.isin(x, double, assume_unique=True)).tobytes() for x in lists]
+        del lists, every, counts
+        give_back()
         return pd.DataFrame({"block": pdf["block"], "owner": pdf["owner"], "bitmap": found})
 
     return run
@@ -151,25 +153,30 @@ def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owners: int | None = None) -> DataFrame:
     """One row per input row: <id>, keep_id, group_size, kept, text_sha256.
 
-    owners: ranges of fingerprints, a power of two; by default as many as hold
-    PER_OWNER rows each.
+    owners: ranges of fingerprints, a power of two; by default two for each core, or as many as hold
+    PER_OWNER rows each, if that is more.
     """
     spark = docs.sparkSession
     narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("body"))
     if owners is None:
-        owners = max(16, -(-docs.count() // PER_OWNER))
+        owners = max(16, 2 * spark.sparkContext.defaultParallelism, -(-docs.count() // PER_OWNER))
     bits = max(0, int(owners) - 1).bit_length()
     folder = shared_dir(spark, "exact-blocks")
-    sent = cut(narrow.mapInArrow(_send(folder, bits), _SENT), "exact-sent")
+    sent = cut(narrow.mapInArrow(tidy(_send(folder, bits)), _SENT), "exact-sent")
     rows = sent.filter("kind = 'doc'").select("id", "sha", "local_id", "local_n")
     lists = sent.filter("kind = 'list'")
     bitmaps = lists.select("block", "owner", "payload").groupBy("owner").applyInPandas(_own(bits), "block string, owner int, bitmap binary")
     # the bitmaps go back to the blocks; places stay on the sender's side until then
     answered = lists.select("block", "owner", "n", "places").join(bitmaps, ["block", "owner"])
-    suspects = answered.select("block", "n", "places", "bitmap").mapInArrow(_suspects, "sha string, body binary, max_id long, n long")
+    suspects = answered.select("block", "n", "places", "bitmap").mapInArrow(tidy(_suspects), "sha string, body binary, max_id long, n long")
     whole: Column = F.when(F.min("body") == F.max("body"), F.max("max_id")).otherwise(F.raise_error(F.concat(F.lit("two texts with SHA-256 "), F.first("sha"))).cast("long"))
     classes = cut(suspects.groupBy(F.col("sha").alias("class_sha")).agg(whole.alias("class_id"), F.sum("n").alias("class_n")), "exact-classes")
-    joined = rows.join(classes, F.col("sha") == F.col("class_sha"), "left")
+    # a class of a thousandth of all rows or more is broadcast: there are a thousand of them at most
+    total = rows.count()
+    hot = F.col("class_n") * 1000 >= total
+    many, few = F.broadcast(classes.filter(hot)), classes.filter(~hot)
+    by_class = F.col("sha") == F.col("class_sha")
+    joined = rows.join(many, by_class).unionAll(rows.join(many.select("class_sha"), by_class, "left_anti").join(few, by_class, "left"))
     keep = F.when(F.col("class_n").isNull(), F.col("local_id")).otherwise(F.col("class_id"))
     return joined.select(
         F.col("id").alias(id_col), keep.alias("keep_id"), F.coalesce("class_n", "local_n").alias("group_size"),

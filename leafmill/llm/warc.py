@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ByteWriter, cut, read_range, shared_dir
+from .common import ByteWriter, cut, read_range, shared_dir, small, tidy
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -35,6 +35,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES = 256 << 20
 #: Neighbouring records are read together over gaps up to this, into ranges up to that size.
 GAP_BYTES, RANGE_BYTES = 64 << 10, 8 << 20
+#: Bytes of archives that a task reads, about; fewer if cores would be idle.
+TASK_BYTES = 64 << 20
 _INDEX = "page_id long, url string, path string, offset long, length long, payload_digest string, record_type string"
 _READ = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 _INDEX_SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string())])
@@ -106,8 +108,8 @@ def write_warc(pages: DataFrame, folder: str | None = None, min_revisit_bytes: i
     # only payloads that occur twice travel to the join; the count is combined before its shuffle
     first = own.filter(F.octet_length(body) >= min_revisit_bytes).groupBy(F.col("key").alias("copy_key")).agg(F.max("page_id").alias("largest"), F.count("page_id").alias("n"))
     copies = cut(first.filter("n > 1").select("copy_key", "largest"), "warc-copies")
-    marked = own.join(copies, F.col("key") == F.col("copy_key"), "left").select("page_id", "url", "html", F.when(F.col("page_id") < F.col("largest"), F.col("largest")).alias("refers_to"))
-    return cut(marked.mapInArrow(_write(folder or shared_dir(spark, "warc")), _INDEX), "warc-index")
+    marked = own.join(small(copies), F.col("key") == F.col("copy_key"), "left").select("page_id", "url", "html", F.when(F.col("page_id") < F.col("largest"), F.col("largest")).alias("refers_to"))
+    return cut(marked.mapInArrow(tidy(_write(folder or shared_dir(spark, "warc"))), _INDEX), "warc-index")
 
 
 def ranges(selected: DataFrame, gap: int = GAP_BYTES, size: int = RANGE_BYTES) -> DataFrame:
@@ -142,4 +144,8 @@ def _read(keep_payload: bool):
 def read_warc(selected: DataFrame, keep_payload: bool = True) -> DataFrame:
     """The records that the given index rows name: page_id, url, record_type, payload_bytes,
     payload_digest, refers_to, payload (null for revisits, or if not kept)."""
-    return ranges(selected).select("path", "first", "total", "records").mapInArrow(_read(keep_payload), _READ)
+    reads = cut(ranges(selected).select("path", "first", "total", "records"), "warc-ranges")
+    n, total = reads.agg(F.count(F.lit(1)), F.coalesce(F.sum("total"), F.lit(0))).first()
+    # the index is small, so its own partitions would be few: reads are dealt out by the bytes they ask for
+    parts = max(-(-total // TASK_BYTES), min(n, 2 * selected.sparkSession.sparkContext.defaultParallelism), 1)
+    return reads.repartition(parts).mapInArrow(tidy(_read(keep_payload)), _READ)
