@@ -4,6 +4,7 @@ texts, ties, repeated rows, empty tables and clashing columns."""
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -12,7 +13,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, exact_dedup, langid, line_dedup, mixing, near_dedup, pii, token_files, topk, warc
+from leafmill.llm import bpe, common, exact_dedup, langid, line_dedup, mixing, near_dedup, pii, token_files, topk, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, body string, n long, sha string, key string, root long"
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -151,6 +152,18 @@ def test_near_at_80(spark):
     assert brute_near(texts, 80) != brute_near(texts, 85)
 
 
+def test_near_of_rows_that_share_an_id(spark):
+    """Such rows are one document, with the links of all its texts, in whatever order."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    for rows in ([(3, b), (2, b), (2, a), (1, a)], [(5, a), (5, b), (5, c), (6, c), (4, b), (9, None), (None, a)], [(1, a), (1, a), (2, b), (2, ""), (3, b)]):
+        got = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_dedup(docs(spark, [t for _, t in rows], ids=[i for i, _ in rows]).repartition(2)).collect()}
+        groups = collections.defaultdict(set)
+        for i, c_, _ in got:
+            groups[c_].add(i)
+        want = {1: {1, 2, 3}} if rows[0][0] in (1, 3) and len(rows) == 4 else {4: {4, 5, 6}, 9: {9}, None: {None}} if len(rows) == 7 else {1: {1}, 2: {2, 3}}
+        assert groups == want and all(k == (i is None or i == c_) for i, c_, k in got)
+
+
 def test_components(spark):
     rng = random.Random(7)
     links = [(i, i + 1) for i in range(40)] + [(rng.randint(100, 200), rng.randint(100, 200)) for _ in range(60)]
@@ -179,6 +192,51 @@ def test_topk(spark):
             assert [(r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == want
 
 
+def brute_topk(rows, k):
+    """For each query row, its list of (score, vec_id) over all other rows."""
+    out = []
+    for j, (q, v) in enumerate(rows):
+        if q % 50 == 0:
+            every = sorted(((sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(v, w)), i) for n, (i, w) in enumerate(rows) if n != j and len(w) == len(v)), key=lambda x: (-x[0], x[1]))
+            out.append((q, every[:k]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("scale", [1.0, 3e7, 1.6e8])
+def test_topk_of_rows_that_share_an_id(spark, scale):
+    """Each is a query and a candidate of its own; ties; integers beyond floats and beyond 64 bits; rounds."""
+    rng = np.random.default_rng(4)
+    rows = [(int(i), (rng.integers(-9, 9, 4) * scale / 256).tolist()) for i in rng.integers(0, 120, 90)] + [(50, [scale / 64, 0.0, 0.0, 0.0]), (50, [scale / 64, 0.0, 0.0, 0.0]), (50, [scale / 128, 0.0, 0.0, 0.0]), (100, [0.0] * 4), (100, [0.0] * 4), (150, [])]
+    if scale > 1e8:  # bounds of sums beyond 64 bits, sums within
+        rows = [(i, [v[0], 0.0, 0.0, 0.0] if v else v) for i, v in rows]
+    for size in (topk.QUERY_BYTES, 100):
+        got = collections.defaultdict(list)
+        for r in topk.topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), F.col("vec_id") % 50 == 0, query_bytes=size).collect():
+            got[r.query_id, r.rank].append((r.score, r.vec_id))
+        want = collections.defaultdict(list)
+        for q, best in brute_topk(rows, 5):
+            for n, x in enumerate(best):
+                want[q, n + 1].append(x)
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_topk_split():
+    """Non-essential postings are read only for vectors still competitive, and a threshold cuts the next shard's reads."""
+    rng = np.random.default_rng(3)
+    cells = np.rint(rng.normal(size=(4000, 64)) * np.geomspace(4000, 1, 64)).astype(np.int64)
+    block = topk.Block(cells[:8], 5)
+    block.meet(np.arange(2000), cells[:2000])
+    assert block.read == 8 * 64 * 2000
+    block.meet(np.arange(2000, 4000), cells[2000:])
+    assert block.read < 8 * 64 * 2000 + 0.7 * 8 * 64 * 2000
+    for q, (ids, scores) in zip(cells[:8], block.best):
+        every = cells @ q
+        first = np.lexsort((np.arange(4000), -every))[:5]
+        assert ids.tolist() == first.tolist() and scores.tolist() == every[first].tolist()
+    low, high = np.array([-5, -1, 0]), np.array([5, 1, 0])
+    assert [topk.essential(low, high, f) for f in (-np.inf, -4, -3, 5, 7)] == [3, 2, 1, 1, 0]
+
+
 def test_mixing(spark):
     rng = random.Random(4)
     sources = [rng.choice(["a", "a", "a", "b", "c", None]) for _ in range(3000)]
@@ -197,21 +255,92 @@ def test_mixing(spark):
     assert abs(sum(t for _, _, t in by.values()) - 1.5 * total) < 1
 
 
+def test_mixed_rows_that_share_an_id(spark):
+    """Each such row is taken for itself, so the words taken are those that mix() states."""
+    rng = random.Random(2)
+    texts = [" ".join(["w"] * rng.randint(0, 9)) + f" t{i}" for i in range(60)]
+    ids = [rng.choice([1, 2, None]) if i % 4 == 0 else 100 + i for i in range(60)]
+    d = docs(spark, texts, [rng.choice("ab") for _ in range(60)], ids=ids).repartition(3)
+    taken = collections.Counter(r.text for r in mixing.mixed(d).collect())
+    assert max(taken.values()) <= 2 and mixing.mixed(d).columns == d.columns
+    sizes = sum(len(t.split()) for t in texts)
+    assert abs(sum(n * len(t.split()) for t, n in taken.items()) - 1.5 * sizes) <= 20
+    assert mixing.mixed(d.filter("false")).count() == 0
+
+
+LANGS = {"en": ["the", "with", "thing"], "fr": ["les", "avec", "eaux"], "de": ["der", "mit", "schön"]}
+
+
+def labelled(n, seed=6):
+    rng = random.Random(seed)
+    langs = [rng.choice(list(LANGS)) for _ in range(n)]
+    return [" ".join(rng.choice(LANGS[k]) for _ in range(40)) for k in langs], langs
+
+
+def brute_score(model, text):
+    """(language, score) of a text, n-gram by n-gram, without numpy's arrays."""
+    M = 1 << 32
+    codes = [0] + [ord(c) if c.isalpha() else 0 for c in text.lower()] + [0, 0]
+    sums, n = [0] * len(model["langs"]), 0
+    for a, b, c in zip(codes, codes[1:] + [0], codes[2:] + [0, 0]):
+        for h, ok in (
+            (a * 0x9E3779B1, a),
+            (a * 0x85EBCA6B + b * 0xC2B2AE35 + 0x27D4EB2F, a or b),
+            (a * 0x165667B1 + b * 0x9E3779B1 + c * 0x85EBCA77 + 0x2C1B3C6D, b),
+        ):
+            if ok:
+                h %= M
+                h = (h ^ (h >> 15)) * 0x2C1B3C6D % M
+                n += 1
+                sums = [s + int(model["logits"][k][h >> 17]) for k, s in enumerate(sums)]
+    if not n:
+        return "und", 0.0
+    z = [(s / (langid.UNIT * n) + float(model["bias"][k])) / model["heat"] for k, s in enumerate(sums)]
+    e = [math.exp(x - max(z)) for x in z]
+    return model["langs"][e.index(max(e))], max(e) / sum(e)
+
+
 def test_language(spark):
-    words = {"en": ["the", "with", "thing"], "fr": ["les", "avec", "eaux"], "de": ["der", "mit", "schön"]}
-    rng = random.Random(6)
-    langs = [rng.choice(list(words)) for _ in range(300)]
-    texts = [" ".join(rng.choice(words[k]) for _ in range(40)) for k in langs]
+    texts, langs = labelled(300)
     d = docs(spark, [*texts, None, "", "123 !?"], langs=[*langs, "en", "en", None])
     got = {r.doc_id: r for r in langid.language_id(d).collect()}
     held = [i for i in range(300) if got[i].held_out]
     assert sum(got[i].lang_pred == langs[i] for i in held) >= 0.99 * len(held)
     assert all(got[i].lang_pred == "und" and got[i].score == 0 and got[i].rejected for i in (300, 301, 302))
     assert {r.lang_pred for r in langid.language_id(docs(spark, ["a", "b"], langs=[None, None])).collect()} == {"und"}
+    assert {(r.lang_pred, r.score) for r in langid.language_id(docs(spark, ["a", "b"])).collect()} == {("en", 1.0)}
     kept = {r.doc_id for r in langid.reject(d).collect()}
     assert not kept & {300, 301, 302} and len(kept) >= 299
 
 
+def test_language_of_a_text_alone(spark):
+    """What stands beside a text in a batch changes nothing, whatever the order; both equal the brute-force scorer."""
+    texts, langs = labelled(60)
+    model = langid.train([langid.bag(t) for t in texts], langs)
+    odd = [*texts[:12], "123 !?", "the thing", "", "ß", "12", "a", " ", "é1è", "İstanbul ΣΑΣ", "x" * 3, "the " * 400_000]
+    want = [brute_score(model, t[:4000]) for t in odd]
+    rng = random.Random(1)
+    for parts in (1, 2, 7):
+        rows = rng.sample(range(len(odd)), len(odd))
+        d = docs(spark, [odd[i] for i in rows], ids=rows).repartition(parts)
+        got = {r.doc_id: (r.lang_pred, r.score) for r in langid.language_id(d, model=model).collect()}
+        assert [got[i][0] for i in range(len(odd))] == [w[0] for w in want]
+        assert all(abs(got[i][1] - w[1]) < 1e-9 for i, w in enumerate(want[:-1]))
+        if parts > 1:
+            assert got == last
+        last = got
+    n, sums = langid.sums_of(model, [odd[-1]])
+    assert got[len(odd) - 1] == (lambda x: (x[0][0], x[1][0]))(langid.judge(model, n, sums))  # in pieces as at once
+
+
+def test_language_of_rows_that_share_an_id(spark):
+    """A rejected text takes no other with it."""
+    texts, langs = labelled(90)
+    d = docs(spark, [*texts, "123", texts[0], "456", texts[1]], langs=[*langs, None, None, None, None], ids=[*range(90), 7, 7, None, None])
+    kept = [(r.doc_id, r.text) for r in langid.reject(d).collect()]
+    assert (7, texts[0]) in kept and (None, texts[1]) in kept and len(kept) == 92 and not {"123", "456"} & {t for _, t in kept}
+
+
 def test_language_calibration(spark):
     """Enough rows are held back that the share of rejected ones is at least a row."""
     d = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "the with thing").otherwise("der mit schön").alias("text"), (F.col("id") % 2).cast("string").alias("lang"))
@@ -223,9 +352,10 @@ def test_many_languages(spark):
     assert len(langid.fit(d, F.lit(False))["langs"]) == 1005
 
 
-def brute_lines(texts):
-    """(text, lines removed) of each text: a line goes if it lies in a run of 3 lines or 50 words that agrees,
-    line by line, with an earlier place."""
+def brute_gone(texts, single=None):
+    """The numbers of the lines that go from each text: a line goes if it lies in a run of 3 lines or 50 words that agrees,
+    line by line, with an earlier place; with single, also if it has so many words, stands in several texts, and not
+    here first."""
     rows = [[(k, b.strip()) for k, b in enumerate((t or "").encode().split(b"\n")) if b.strip()] for t in texts]
     places, met = collections.defaultdict(list), collections.defaultdict(list)
     for i, row in enumerate(rows):
@@ -233,13 +363,22 @@ def brute_lines(texts):
             for f, fa in places[line]:
                 met[i, f, a - fa].append(a)
             places[line].append((i, a))
-    gone = collections.defaultdict(set)
+    gone = [set() for _ in texts]
     for (i, *_), ats in met.items():
         for _, run in itertools.groupby(enumerate(ats), lambda x: x[1] - x[0]):
             lines = [rows[i][a] for _, a in run]
             if len(lines) >= 3 or sum(len(line.split()) for _, line in lines) >= 50:
                 gone[i] |= {k for k, _ in lines}
-    return [(None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]), len(gone[i])) for i, t in enumerate(texts)]
+    for line, found in places.items():
+        if single and len(line.split()) >= single and len({i for i, _ in found}) > 1:
+            for i, a in found[1:]:
+                gone[i].add(rows[i][a][0])
+    return gone
+
+
+def brute_lines(texts):
+    """(text, lines removed) of each text."""
+    return [(None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in g), len(g)) for t, g in zip(texts, brute_gone(texts), strict=True)]
 
 
 def test_lines_among_other_neighbours(spark):
@@ -251,6 +390,49 @@ def test_lines_among_other_neighbours(spark):
     assert got == [*texts[:4], "c\nd", texts[5], "z\nq", "t"] == [t for t, _ in brute_lines(texts)]
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    """They are documents of their own: of equal rows one stays whole."""
+    x = "\n".join(LINES)
+    for parts in (1, 4):
+        d = docs(spark, [x, x, x, "own\n" + x, "y", None], ids=[1, 2, 2, 2, 3, None]).repartition(parts)
+        got = sorted((r.doc_id or 0, "-" if r.text is None else r.text) for r in line_dedup.line_dedup(d).collect())
+        assert got == [(0, "-"), (1, x), (2, ""), (2, ""), (2, "own"), (3, "y")]
+        d = docs(spark, [x, x, x], ids=[2, 2, None]).repartition(parts)
+        assert sorted((r.doc_id or 0, r.text) for r in line_dedup.line_dedup(d, passage_words=10, single_words=2).collect()) == [(0, x), (2, ""), (2, x)]
+
+
+def test_windows():
+    """Against the definition; a fingerprint is the rightmost of the least hashes."""
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        first = np.append(0, np.cumsum(rng.integers(0, 8, 3)))
+        words, hashes = rng.choice([1, 2, 30, 60], first[-1]), rng.integers(0, 4, first[-1]).astype(np.uint64)
+        want = set()
+        for lo, hi in zip(first[:-1], first[1:]):
+            ok = {(a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1) if b - a >= 3 or words[a:b].sum() >= 50}
+            want |= {(a, min(b for x, b in ok if x == a)) for a, _ in ok} | {(max(a for a, x in ok if x == b), b) for _, b in ok}
+        begins, ends = line_dedup.windows(words, first, 3, 50)
+        assert set(zip(begins.tolist(), ends.tolist())) == want
+        at, _ = line_dedup.fingerprints(hashes, begins, ends)
+        assert [max(i for i in range(a, b) if hashes[i] == hashes[a:b].min()) for a, b in zip(begins, ends)] == at.tolist()
+
+
+def test_span_hashes():
+    """Equal spans hash alike wherever they stand, also those longer than one pass."""
+    rng = np.random.default_rng(5)
+    long = rng.integers(0, 9, common.SLICE_BYTES * 2 + 77).astype(np.uint8)
+    data = np.concatenate([[1, 2, 3], long, [7], [1, 2, 3], long, [1, 2, 4]]).astype(np.uint8)
+    n = len(long)
+    starts = np.array([0, 3, n + 3, n + 4, n + 7, 2 * n + 7])
+    h = common.span_hashes(data, starts, np.append(starts[1:], len(data)))
+    assert h[0] == h[3] and h[1] == h[4] and len(set(h.tolist())) == 4
+    text = b" a\t\tbc \n" * 200_000 + b"x" * (common.SLICE_BYTES + 5) + b" y"
+    off = np.array([0, 9, 9, 11, len(text)])
+    starts, stops = common.word_spans(off, np.frombuffer(text, np.uint8))
+    want = [(m.start() + a, m.end() + a) for a, b in zip(off[:-1], off[1:]) for m in re.finditer(rb"[^ \t-\r]+", text[a:b])]
+    assert list(zip(starts.tolist(), stops.tolist())) == want
+
+
 def test_lines(spark):
     rng = random.Random(8)
     pool = [f"line {i} {rng.random()}" for i in range(60)] + [""]
@@ -260,20 +442,13 @@ def test_lines(spark):
         assert got[i] == want
 
 
-def brute_passages(texts, size):
-    """(words left, lines changed) of each text: besides brute_lines, a word goes if it lies in a window of words that
-    stands earlier, and not over itself; windows that the line rule took as a whole are no places."""
+def brute_passages(texts, size, single=None):
+    """(words left, lines changed) of each text: besides brute_gone, a word goes if it lies in a window of words that
+    stands earlier, and not over itself; windows that the line rules took as a whole are no places."""
     first, out = {}, []
-    for t, (kept, _) in zip(texts, brute_lines(texts), strict=True):
-        lines = (t or "").split("\n")
-        words = [(x, k) for k, line in enumerate(lines) for x in re.findall(r"[^\x09-\x0d ]+", line)]
-        left, at = [], 0
-        rest = (kept or "").split("\n")
-        for line in lines:  # the kept lines, in their order
-            ok = at < len(rest) and rest[at] == line
-            left.append(ok)
-            at += ok
-        stay = [left[k] for _, k in words]
+    for t, gone in zip(texts, brute_gone(texts, single), strict=True):
+        words = [(x, k) for k, line in enumerate((t or "").split("\n")) for x in re.findall(r"[^\x09-\x0d ]+", line)]
+        stay = [k not in gone for _, k in words]
         own = list(stay)
         for p in range(len(words) - size + 1):
             if any(own[p : p + size]):
@@ -368,15 +543,17 @@ def test_pipeline(spark):
         d = spark.createDataFrame(after.collect(), d.schema)
         inputs.append(sorted(d.collect(), key=lambda r: r.doc_id))
     read, told, cleaned, near, mixed = inputs
-    # language ID: what goes is und or scored below the calibrated threshold
-    rejected = {r.doc_id for r in langid.language_id(spark.createDataFrame(read)).filter("rejected").collect()}
-    assert [r.doc_id for r in told] == [r.doc_id for r in read if r.doc_id not in rejected] and len(rejected) < 0.05 * len(read)
-    # line dedup, and documents that it has emptied go
-    want = {r.doc_id: (text, n) for r, (text, n) in zip(told, brute_lines([r.text for r in told]), strict=True)}
-    want = {i: text for i, (text, n) in want.items() if not n or (text or "").strip()}
-    assert {r.doc_id: r.text for r in cleaned} == want and any(r.text != want.get(r.doc_id) for r in told)
+    # language ID: what goes is und or scored below the calibrated threshold, by a scorer without numpy's arrays
+    docs_in = spark.createDataFrame(read)
+    model = langid.fit(docs_in, langid.held_out_of("doc_id"))
+    scored = {r.doc_id: brute_score(model, r.text or "") for r in read}
+    assert [r.doc_id for r in told] == [r.doc_id for r in read if scored[r.doc_id][0] != "und" and scored[r.doc_id][1] >= model["threshold"] - 1e-9] and len(told) > 0.95 * len(read)
+    # line dedup, by runs, passages and single lines; documents that it has emptied go
+    want = {r.doc_id: (words, n) for r, (words, n) in zip(told, brute_passages([r.text for r in told], 50, 5), strict=True)}
+    want = {i: words for i, (words, n) in want.items() if not n or words}
+    assert {r.doc_id: re.findall(r"[^\x09-\x0d ]+", r.text) for r in cleaned} == want and any(r.text.split() != want.get(r.doc_id) for r in told)
     # near-dedup: the least id of each group stays
-    roots = brute_near([r.text for r in cleaned])
+    roots = brute_near([r.text for r in cleaned], 80)
     assert [r.doc_id for r in near] == [r.doc_id for i, r in enumerate(cleaned) if roots[i][1] == i]
     # mixing: each document as often as the SQL takes it
     import pandas as pd
