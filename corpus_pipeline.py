@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from leafmill.llm.bpe import bpe
 from leafmill.llm.common import cut, small
 from leafmill.llm.langid import reject
-from leafmill.llm.line_dedup import line_dedup
-from leafmill.llm.mixing import mix
+from leafmill.llm.line_dedup import PASSAGE_WORDS, SINGLE_WORDS, line_dedup
+from leafmill.llm.mixing import mixed
 from leafmill.llm.near_dedup import near_dedup
 
 
@@ -26,24 +26,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines go; a document that was nothing else goes as a whole."""
-    out = line_dedup(docs).filter("__removed = 0 OR text RLIKE '[^\\\\s]'")
+    """Later repeated runs of lines, passages of 50 words and single lines of 5 words go; a document that was
+    nothing else goes as a whole."""
+    out = line_dedup(docs, passage_words=PASSAGE_WORDS, single_words=SINGLE_WORDS).filter("__removed = 0 OR text RLIKE '[^\\\\s]'")
     return out.withColumn("n_chars", F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).drop("__removed")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    gone = cut(near_dedup(docs).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "pipeline-near")
+    """One document of each group of near duplicates, from a similarity of 0.8 on, stays."""
+    gone = cut(near_dedup(docs, percent=80, width=5).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "pipeline-near")
     return docs.join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, sorted by position. Rows that share an id
-    each take the longest list of positions among them."""
-    taken = mix(docs).filter("size(positions) > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max_by("positions", F.size("positions")).alias("__positions"))
-    # counted with their positions: texts are only shuffled for the join if the list is too long to broadcast
-    met = docs.join(small(cut(taken, "pipeline-mix"), weight=F.size("__positions") + 1), F.col("doc_id").eqNullSafe(F.col("__id")))
-    return met.withColumn("__at", F.explode("__positions")).orderBy("__at").select(docs.columns)
+    """Each document as often as the mix takes it, sorted by position."""
+    return mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +50,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language), ("line_dedup", lines), ("near_dedup", near), ("mixing", mixing), ("bpe", tokens)]
 #: Language ID and BPE have no SQL. Tests hold line dedup, near-dedup, mixing and BPE against
-#: brute-force versions on each stage's input; language ID against the model's own scores.
+#: brute-force versions on each stage's input; language ID against a scorer without numpy.
 ORACLE_SQL = None
 
 
