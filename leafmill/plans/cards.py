@@ -26,7 +26,7 @@ from ..sources import csvlines, notes, sinks
 # They must equal the reference's for right results.
 HEADER = ("Pergunta", "Resposta", "Tags", "Mnemonico", "Dificuldade", "Hint")
 COLUMNS = ("question", "answer", "tags", "mnemonic", "difficulty", "hint")
-IMPORT_HEADER = ("#separator:Tab", "#html:true", f"#deck:{notes.DECK}", f"#notetype:{notes.NOTE_TYPE}", "#tags column:3", "")
+IMPORT_HEADER = ("#separator:Tab", "#html:true", "#deck:%s", f"#notetype:{notes.NOTE_TYPE}", "#tags column:3", "")
 LEVELS = (("E", "Facil"), ("M", "Medio"), ("D", "Dificil"))
 PRESET_KEYS = {"desired_retention": "desiredRetention", "learning_steps": "learningSteps", "graduating_interval": "graduatingInterval", "easy_interval": "easyInterval", "maximum_interval": "maximumInterval", "new_cards_per_day": "newCardsPerDay", "maximum_reviews_per_day": "maximumReviewsPerDay"}
 
@@ -58,10 +58,11 @@ def csv(cards: DataFrame, n: int) -> DataFrame:
     return _headed(cards, ",".join(f'"{h}"' for h in HEADER[:n]), C.csv_quoted(*COLUMNS[:n]))
 
 
-def import_file(cards: DataFrame) -> DataFrame:
-    return _headed(cards, "\n".join(IMPORT_HEADER), C.import_line())
+def import_file(cards: DataFrame, deck_name: str) -> DataFrame:
+    return _headed(cards, "\n".join(IMPORT_HEADER) % deck_name, C.import_line())
 
 
+# The headings and labels of the reports, which must equal the reference's for right results.
 def difficulty_report(cards: DataFrame) -> str:
     shares = {r.difficulty: r for r in C.distribution(cards).collect()}  # three rows
     rows = [(name, level, shares[level].n if level in shares else 0, shares[level].percent if level in shares else 0.0) for level, name in LEVELS]
@@ -89,9 +90,9 @@ def presets() -> dict:
     return {r["name"]: {PRESET_KEYS.get(k, k): v for k, v in r.items()} | {"fsrsEnabled": True} for r in rows}
 
 
-def deck(cards: DataFrame) -> dict:
+def deck(cards: DataFrame, name: str) -> dict:
     row = C.deck(cards, "line").withColumn("now", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).first()
-    return {"deckName": notes.DECK, "noteTypeName": notes.NOTE_TYPE, "preset": row.preset, "totalCards": row.total, "byDifficulty": {"E": row.n_e, "M": row.n_m, "D": row.n_d}, "exportDate": row.now}
+    return {"deckName": name, "noteTypeName": notes.NOTE_TYPE, "preset": row.preset, "totalCards": row.total, "byDifficulty": {"E": row.n_e, "M": row.n_m, "D": row.n_d}, "exportDate": row.now}
 
 
 def instructions(config: dict) -> str:
@@ -120,11 +121,11 @@ def hints(spark: SparkSession, source: str, out: str) -> None:
     _save(spark, hint_report(cards), f"{out}/report")
 
 
-def export(spark: SparkSession, source: str, out: str) -> int:
+def export(spark: SparkSession, source: str, out: str, deck_name: str) -> int:
     """Writes the package; the number of cards left out."""
     good, bad = exportable(csvlines.cards(spark, source, 5))
-    sinks.write(import_file(good), f"{out}/import", True, "text")
-    config = deck(good)
+    sinks.write(import_file(good, deck_name), f"{out}/import", True, "text")
+    config = deck(good, deck_name)
     for name, value in (("templates", templates()), ("deck", config), ("presets", presets())):
         _save(spark, json.dumps(value, ensure_ascii=False, indent=2), f"{out}/{name}")
     _save(spark, instructions(config), f"{out}/instructions")
@@ -135,11 +136,19 @@ def push(spark: SparkSession, folder: str, make: Callable[[], Callable] | None =
     """Sends an exported package; make gives a client (by default that of the settings). Added, duplicates."""
     url, batch, timeout = notes.settings()
     make = make or (lambda: notes.client(url, timeout))
-    package = json.loads("\n".join(r.value for r in spark.read.text(f"{folder}/templates", wholetext=True).collect()))  # one small file
+
+    def read(part: str) -> dict:
+        path = f"{folder}/{part}"
+        try:
+            return json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))  # one small file
+        except json.JSONDecodeError as e:
+            raise ValueError(f"not JSON: {path}") from e
+
+    package, name = read("templates"), read("deck")["deckName"]
     call = make()
     notes.upsert_note_type(call, package)
-    call("createDeck", {"deck": notes.DECK})
-    got = notes.push(csvlines.notes(spark, f"{folder}/import"), make, batch).first()
+    call("createDeck", {"deck": name})
+    got = notes.push(csvlines.notes(spark, f"{folder}/import"), make, name, batch).first()
     return got.added, got.duplicates
 
 
@@ -149,9 +158,12 @@ def main(args: list[str]) -> int:
     parser.add_argument("--in", dest="source", required=True)
     parser.add_argument("--fallback", help="what export reads if --in isn't there")
     parser.add_argument("--out")
+    parser.add_argument("--deck", help="the name of the deck that export writes")
     given = parser.parse_args(args)
     if given.step != "push" and not given.out:
         parser.error("--out is needed")
+    if given.step == "export" and not given.deck:
+        parser.error("--deck is needed")
     spark = SparkSession.builder.appName("leafmill-cards").getOrCreate()
     source = given.source
     if given.fallback:
@@ -161,7 +173,7 @@ def main(args: list[str]) -> int:
         added, duplicates = push(spark, source)
         print(f"{added} added, {duplicates} duplicates")
     elif given.step == "export":
-        print(f"{export(spark, source, given.out)} invalid cards left out")
+        print(f"{export(spark, source, given.out, given.deck)} invalid cards left out")
     else:
         {"classify": classify, "hints": hints}[given.step](spark, source, given.out)
     return 0

@@ -17,7 +17,6 @@ URL = "http://localhost:8765"
 BATCH = 50
 TIMEOUT_MS = 10000
 API_VERSION = 6
-DECK = "III-V::Terceiro-Ventriculo"
 NOTE_TYPE = "FSRS-3V"
 FIELDS = ("Pergunta", "Resposta", "Tags", "Mnemônico", "Dificuldade", "Hint")
 CARD_TEMPLATE = "Card 1"
@@ -60,8 +59,8 @@ def upsert_note_type(call: Callable, templates: dict) -> bool:
     return False
 
 
-def push(notes: DataFrame, make: Callable[[], Callable], batch: int = BATCH, deck: str = DECK, note_type: str = NOTE_TYPE) -> DataFrame:
-    """added, duplicates. notes are those of csvlines.notes; make is called in each task for its client.
+def push(notes: DataFrame, make: Callable[[], Callable], deck: str, batch: int = BATCH, note_type: str = NOTE_TYPE) -> DataFrame:
+    """added, duplicates. deck: where the notes go. notes are those of csvlines.notes; make is called in each task for its client.
     A task that runs again sends its notes again: the server then answers that they are duplicates."""
     names = ("question", "answer", "tags", "mnemonic", "difficulty", "hint")
 

@@ -39,12 +39,12 @@ def test_programs(spark, folder):
     rows = [x for x in text(spark, folder / "h/cards").split("\n") if x]
     assert rows[1].endswith('"D","Analise a localização anatômica e estruturas adjacentes"') and rows[2].endswith('"E",""')
     assert "| Casos clinicos | 1 |" in text(spark, folder / "h/report") and "### 1. CASO: um, dois..." in text(spark, folder / "h/report")
-    assert P.export(spark, str(folder / "h/cards"), str(folder / "e")) == 0
+    assert P.export(spark, str(folder / "h/cards"), str(folder / "e"), "Some::Deck") == 0
     got = [x for x in text(spark, folder / "e/import").split("\n") if x]
-    assert got[:5] == list(P.IMPORT_HEADER[:5])
+    assert got[:5] == [x.replace("%s", "Some::Deck") for x in P.IMPORT_HEADER[:5]] and got[2] == "#deck:Some::Deck"
     assert got[5:] == ["CASO: um, dois\tr\t3V::clinico\tx=y\tD\tAnalise a localização anatômica e estruturas adjacentes", "V.C.I. = ___\tr\t3V::abreviacoes\t\tE\t", "diz &quot;sim&quot;\tr    1\t3V::geral\t\tM\t"]
     deck = json.loads(text(spark, folder / "e/deck"))
-    assert (deck["totalCards"], deck["byDifficulty"], deck["preset"]) == (3, {"E": 1, "M": 1, "D": 1}, "3V-Clinical")
+    assert (deck["deckName"], deck["totalCards"], deck["byDifficulty"], deck["preset"]) == ("Some::Deck", 3, {"E": 1, "M": 1, "D": 1}, "3V-Clinical")
     assert json.loads(text(spark, folder / "e/presets"))["3V-Core"]["desiredRetention"] == 0.9
     assert json.loads(text(spark, folder / "e/templates"))["fields"] == list(notes.FIELDS)
 
@@ -79,12 +79,18 @@ def test_programs(spark, folder):
         server.shutdown()
     assert [h["action"] for h in heard if h["action"] != "addNotes"] == ["modelNames", "createModel", "createDeck", "modelNames", "updateModelStyling", "updateModelTemplates", "createDeck", "odd"]
     sent = [n for h in heard if h["action"] == "addNotes" for n in h["params"]["notes"]]
+    assert {n["deckName"] for n in sent} == {"Some::Deck"}
+    (folder / "e/deck").rename(folder / "e/gone")
+    (folder / "e/deck").mkdir()
+    (folder / "e/deck/x.txt").write_text("{")
+    with pytest.raises(ValueError, match="not JSON"):
+        P.push(spark, str(folder / "e"), make)
     assert all(h["version"] == 6 for h in heard) and {t for n in sent for t in n["tags"]} == {"clinico", "abreviacoes", "geral"}
 
 
 def test_export_leaves_out_invalid(spark, tmp_path):
     (tmp_path / "a.csv").write_text("h,h,h,h,h,h\nq,,t,m,E,\nq,a,t,m,X,\nq,a,t,m,,\nq,a,t,m,M\n")
-    assert P.export(spark, str(tmp_path / "a.csv"), str(tmp_path / "e")) == 3
+    assert P.export(spark, str(tmp_path / "a.csv"), str(tmp_path / "e"), "d") == 3
     assert json.loads(text(spark, tmp_path / "e/deck"))["totalCards"] == 1
 
 
