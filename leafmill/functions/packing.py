@@ -28,15 +28,15 @@ def trim(text: str) -> str:
 
 def split_sentences(text: str) -> list[str]:
     for i, word in enumerate(PROTECTED):
-        text = re.sub(re.escape(word), f"\ue010{chr(0xE100 + i)}", text, flags=re.I | re.A)
-    text = re.sub(r"([0-9]+)\.([0-9]+)", "\\1\ue011\\2", text)
+        text = re.sub(re.escape(word), f"\ufdd4{chr(0xFDD8 + i)}", text, flags=re.I | re.A)
+    text = re.sub(r"(?<![0-9])([0-9]++)\.([0-9]++)", "\\1\ufdd5\\2", text)
     out = []
-    for part in _END.sub("\\1\ue012", text).split("\ue012"):
+    for part in _END.sub("\\1\ufdd6", text).split("\ufdd6"):
         part = trim(part)
         for i, word in enumerate(PROTECTED):
-            part = part.replace(f"\ue010{chr(0xE100 + i)}", word)
+            part = part.replace(f"\ufdd4{chr(0xFDD8 + i)}", word)
         if part:
-            out.append(part.replace("\ue011", "."))
+            out.append(part.replace("\ufdd5", "."))
     return out
 
 

@@ -17,13 +17,17 @@ JS_WS = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\
 # They must equal the reference's for right results.
 PROTECTED = ("Fig.", "Dr.", "Mr.", "Mrs.", "Ms.", "Prof.", "Sr.", "Jr.", "No.", "Vol.", "vs.", "etc.", "i.e.", "e.g.", "et al.", "cf.", "ca.", "approx.")
 COMPOUNDS = ("deep-seated", "well-known", "long-term", "short-term", "high-grade", "low-grade", "pre-operative", "post-operative", "intra-operative", "extra-axial", "intra-axial", "venous-arterial", "arterio-venous")
-LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "ft", "\ufb06": "st"}
+LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st"}
 QUOTES = {"\u201c": '"', "\u201d": '"', "\u201e": '"', "\u201f": '"', "\u2018": "'", "\u2019": "'", "\u201a": "'", "\u201b": "'", "\u00ab": '"', "\u00bb": '"', "\u2039": "'", "\u203a": "'"}
 DASHES = {"\u2013": "-", "\u2014": "--", "\u2012": "-", "\u2015": "--"}
 
 
+#: The characters of JS_WS.
+WS_CHARS = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def js_trim(x: Column) -> Column:
-    return F.regexp_replace(x, rf"^{JS_WS}+|{JS_WS}+\z", "")
+    return F.btrim(x, F.lit(WS_CHARS))
 
 
 def utf16_length(x: Column) -> Column:
@@ -45,9 +49,19 @@ def _unescape(x: pd.Series) -> pd.Series:
     return x.map(lambda t: None if t is None else _html.unescape(t))
 
 
+#: Beyond these ranges a character may compose, decompose or be one of a pair (in them, none does).
+_MAY_COMPOSE = r"[^\x00-\u024F\u0400-\u0482\u2002-\u205E\uFB00-\uFB06]"
+
+
 def nfc(x: Column) -> Column:
-    """Only text beyond ASCII crosses into Python."""
-    return F.coalesce(F.when(x.rlike(r"[^\x00-\x7F]"), _nfc(F.when(x.rlike(r"[^\x00-\x7F]"), x))).otherwise(x), F.lit(""))
+    """Only text with characters that may compose crosses into Python."""
+    may = x.rlike(_MAY_COMPOSE)
+    return F.coalesce(F.when(may, _nfc(F.when(may, x))).otherwise(x), F.lit(""))
+
+
+def is_decomposed(x: Column) -> Column:
+    """Whether a combining mark of U+0300 to U+036F stands in the text."""
+    return F.coalesce(x.rlike(r"[\u0300-\u036F]"), F.lit(False))
 
 
 def combining_marks(x: Column) -> Column:
@@ -61,19 +75,22 @@ def line_breaks(x: Column) -> Column:
 def rejoin_hyphenated(x: Column) -> Column:
     """word-\\nword: known compounds keep the hyphen, as do two valid words too long for one;
     all else is joined. Breaks are marked in one pass, so matches never overlap."""
-    marked = F.regexp_replace(x, r"(\w+)-\r?\n(\w+)", "\ue000$1\ue001$2\ue002")
-    compounds = "|".join(c.replace("-", "\ue001") for c in COMPOUNDS)
-    kept = F.regexp_replace(marked, f"(?i)\ue000({compounds})\ue002", "\ue003$1\ue002")
-    kept = F.regexp_replace(kept, "\ue003(\\w+)\ue001(\\w+)\ue002", "$1-$2")
+    # possessive, and from a word's begin alone, so a run of letters is read once
+    marked = F.regexp_replace(x, r"(?<!\w)(\w++)-\r?\n(\w++)", "\ufdd0$1\ufdd1$2\ufdd2")
+    compounds = "|".join(c.replace("-", "\ufdd1") for c in COMPOUNDS)
+    kept = F.regexp_replace(marked, f"(?i)\ufdd0({compounds})\ufdd2", "\ufdd3$1\ufdd2")
+    kept = F.regexp_replace(kept, "\ufdd3(\\w+)\ufdd1(\\w+)\ufdd2", "$1-$2")
     half = "(?=[A-Za-z]{0,29}[aeiouAEIOU])[A-Za-z]{3,30}"
-    kept = F.regexp_replace(kept, f"\ue000(?=[^\ue002]{{32,}}\ue002)({half})\ue001({half})\ue002", "$1-$2")
-    return F.regexp_replace(F.regexp_replace(kept, "[\ue000\ue002]", ""), "\ue001", "")
+    kept = F.regexp_replace(kept, f"\ufdd0(?=[^\ufdd2]{{32,}}\ufdd2)({half})\ufdd1({half})\ufdd2", "$1-$2")
+    joined = F.regexp_replace(F.regexp_replace(kept, "[\ufdd0\ufdd2]", ""), "\ufdd1", "")
+    return F.when(x.contains("-\n") | x.contains("-\r\n"), joined).otherwise(x)
 
 
 def ligatures(x: Column) -> Column:
+    out = x
     for mark, plain in LIGATURES.items():
-        x = F.replace(x, F.lit(mark), F.lit(plain))
-    return x
+        out = F.replace(out, F.lit(mark), F.lit(plain))
+    return F.when(x.rlike("[\ufb00-\ufb06]"), out).otherwise(x)
 
 
 def ligature_count(x: Column) -> Column:
@@ -83,7 +100,8 @@ def ligature_count(x: Column) -> Column:
 def punctuation(x: Column) -> Column:
     quotes = F.translate(x, "".join(QUOTES), "".join(QUOTES.values()))
     one = [k for k, v in DASHES.items() if v == "-"]
-    return F.regexp_replace(F.translate(quotes, "".join(one), "-" * len(one)), "[\u2014\u2015]", "--")
+    out = F.regexp_replace(F.translate(quotes, "".join(one), "-" * len(one)), "[\u2014\u2015]", "--")
+    return F.when(x.rlike("[" + "".join([*QUOTES, *DASHES]) + "]"), out).otherwise(x)
 
 
 def remove_controls(x: Column) -> Column:
@@ -92,7 +110,7 @@ def remove_controls(x: Column) -> Column:
 
 def whitespace(x: Column) -> Column:
     """Blanks and tabs collapse; line breaks stay."""
-    return js_trim(F.regexp_replace(remove_controls(line_breaks(x)), "[ \t]+", " "))
+    return js_trim(F.regexp_replace(remove_controls(line_breaks(x)), "\t[ \t]*+| [ \t]++", " "))
 
 
 def normalize(x: Column) -> Column:
@@ -113,18 +131,20 @@ def heading_level(x: Column) -> Column:
 def sentences(x: Column) -> Column:
     """Sentences of a text; abbreviations and decimals don't end one. Abbreviations are found in any
     case and inside words, and come back in their canonical case."""
+    marked = x
     for i, abbreviation in enumerate(PROTECTED):
-        x = F.regexp_replace(x, rf"(?i)\Q{abbreviation}\E", f"\ue010{chr(0xE100 + i)}")
-    x = F.regexp_replace(x, r"(\d+)\.(\d+)", "$1\ue011$2")
-    parts = F.split(F.regexp_replace(x, rf"([.!?]){JS_WS}+(?=[A-Z])", "$1\ue012"), "\ue012", -1)
+        marked = F.regexp_replace(marked, rf"(?i)\Q{abbreviation}\E", f"\ufdd4{chr(0xFDD8 + i)}")
+    x = F.when(x.rlike("(?i)" + "|".join(rf"\Q{a}\E" for a in PROTECTED)), marked).otherwise(x)
+    x = F.regexp_replace(x, r"(?<!\d)(\d++)\.(\d++)", "$1\ufdd5$2")
+    parts = F.split(F.regexp_replace(x, rf"([.!?]){JS_WS}+(?=[A-Z])", "$1\ufdd6"), "\ufdd6", -1)
 
     def restore(s: Column) -> Column:
-        s = js_trim(s)
+        out = s
         for i, abbreviation in enumerate(PROTECTED):
-            s = F.replace(s, F.lit(f"\ue010{chr(0xE100 + i)}"), F.lit(abbreviation))
-        return F.replace(s, F.lit("\ue011"), F.lit("."))
+            out = F.replace(out, F.lit(f"\ufdd4{chr(0xFDD8 + i)}"), F.lit(abbreviation))
+        return F.replace(F.when(s.contains("\ufdd4"), out).otherwise(s), F.lit("\ufdd5"), F.lit("."))
 
-    return F.coalesce(F.filter(F.transform(parts, restore), lambda s: s != ""), F.array().cast("array<string>"))
+    return F.coalesce(F.transform(F.filter(F.transform(parts, js_trim), lambda s: s != ""), restore), F.array().cast("array<string>"))
 
 
 def last_sentences(x: Column, n: int = 2) -> Column:
@@ -178,10 +198,32 @@ def parsed_references(x: Column) -> Column:
 
 
 def snippet(x: Column, limit: int = 100) -> Column:
-    """At most limit characters, cut at the last blank within them, and '...'."""
-    head = F.substring(x, 1, limit)
+    """At most limit UTF-16 units, cut at the last blank within them, and '...'."""
+    beyond = x.rlike(r"[\x{10000}-\x{10FFFF}]")
+    # a character beyond the basic plane counts twice
+    fits = F.array_max(F.filter(F.sequence(F.lit(0), F.lit(limit)), lambda n: utf16_length(F.substring(x, F.lit(1), n)) <= limit))
+    head = F.when(beyond, F.substring(x, F.lit(1), fits)).otherwise(F.substring(x, 1, limit))
     cut = F.when(head.contains(" "), F.regexp_replace(head, r"(?s)\A(.*) .*\z", "$1")).otherwise(head)
-    return F.when(F.length(x) <= limit, x).otherwise(F.concat(cut, F.lit("...")))
+    return F.when(utf16_length(x) <= limit, x).otherwise(F.concat(cut, F.lit("...")))
+
+
+def is_abbreviation_line(x: Column) -> Column:
+    """A line with an entry 'A., artery;', or one that ends with an entry."""
+    entry = rf"[A-Z][a-z]*+\.,{JS_WS}*+[a-z]++(?:{JS_WS}++[a-z]++)*+"
+    return x.rlike(f"{entry};") | js_trim(x).rlike(rf"{entry}\.?\z")
+
+
+def abbreviation_block(x: Column) -> Column:
+    """The abbreviation lines at the end of a caption, blank lines left out; null if there are none."""
+    lines = F.filter(F.transform(F.split(x, "\n", -1), js_trim), lambda line: line != "")
+    other = F.array_max(F.filter(F.transform(lines, lambda line, i: F.when(~is_abbreviation_line(line), i + 1)), lambda i: i.isNotNull()))
+    tail = F.slice(lines, F.coalesce(other, F.lit(0)) + 1, F.size(lines))
+    return F.nullif(F.array_join(tail, "\n"), F.lit(""))
+
+
+def caption_abbreviations(x: Column) -> Column:
+    """The map of the caption's abbreviation block; empty without one."""
+    return abbreviations(F.coalesce(abbreviation_block(x), F.lit("")))
 
 
 def abbreviations(x: Column) -> Column:
