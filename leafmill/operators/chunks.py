@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,15 +21,15 @@ CHUNK = ("chunk_id", "document_id", "breadcrumb", "breadcrumb_text", "content",
 def header_index(blocks: DataFrame) -> DataFrame:
     """document_id, id, label of the section headers; the last one of an id wins, empty labels go."""
     heads = blocks.filter("block_type = 'section_header'")
-    return heads.groupBy("document_id", "id").agg(F.max_by("content", F.struct("page", "block")).alias("label")).filter("label <> ''")
+    return heads.groupBy("document_id", "id").agg(F.max_by("content", F.struct("page", "block")).alias("label")).filter("label <> '' AND id IS NOT NULL")
 
 
 def breadcrumbs(blocks: DataFrame) -> DataFrame:
-    """Adds breadcrumb (labels of parent_hierarchy, in order; unresolved ids are skipped) and its text."""
-    key = ["document_id", "page", "block"]
-    parts = blocks.select(*key, F.posexplode("parent_hierarchy").alias("pos", "id"))
-    found = parts.join(header_index(blocks), ["document_id", "id"]).groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "label"))), lambda x: x["label"]).alias("breadcrumb"))
-    out = blocks.join(found, key, "left").withColumn("breadcrumb", F.coalesce("breadcrumb", F.array().cast("array<string>")))
+    """Adds breadcrumb (labels of parent_hierarchy, in order; unresolved ids are skipped) and its text. A document's
+    headers meet its blocks as one map, on the partitioning by document that linking needs anyway."""
+    maps = header_index(blocks).groupBy(F.col("document_id").alias("__doc")).agg(F.map_from_entries(F.collect_list(F.struct("id", "label"))).alias("__labels"))
+    found = F.filter(F.transform("parent_hierarchy", lambda i: F.try_element_at("__labels", i)), lambda label: label.isNotNull())
+    out = blocks.join(maps, F.col("document_id") == F.col("__doc"), "left").withColumn("breadcrumb", F.coalesce(found, F.array().cast("array<string>"))).drop("__doc", "__labels")
     return out.withColumn("breadcrumb_text", F.concat(F.lit("[Context: "), F.when(F.size("breadcrumb") > 0, F.array_join("breadcrumb", " > ")).otherwise("Document Root"), F.lit("]")))
 
 
@@ -109,11 +112,34 @@ def merge_small(chunks: DataFrame, small: int = SMALL, target: int = TARGET) ->
     keep = ["document_id", "page", "block", "part", "section_id", "is_figure_caption", "breadcrumb_text", "content", "content_with_context", "token_count", *(c for c in CARRIED if c in chunks.columns)]
     islands = chunks.select(*keep, F.lit(1).cast("long").alias("n_blocks"), F.sum(edge.cast("int")).over(_order()).alias("island"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["page", "block", "part"]).to_dict("records")
-        return pd.DataFrame(fold(rows, small, target), columns=pdf.columns)
-
-    return islands.groupBy("document_id", "island").applyInPandas(run, islands.schema).drop("island")
+    def fold_islands(pdf: pd.DataFrame, begins: np.ndarray) -> pd.DataFrame:
+        """Only islands of several rows with a small one among them are folded; all others pass as they are."""
+        ends = np.append(begins[1:], len(pdf))
+        few = np.add.reduceat((pdf["token_count"].to_numpy() < small).astype(np.int64), begins)
+        todo = np.flatnonzero((ends - begins > 1) & (few > 0))
+        stay = np.ones(len(pdf), bool)
+        folded: list[dict] = []
+        for i in todo:
+            stay[begins[i] : ends[i]] = False
+            folded += fold(pdf.iloc[begins[i] : ends[i]].to_dict("records"), small, target)
+        return pd.concat([pdf[stay], pd.DataFrame(folded, columns=pdf.columns)]) if folded else pdf
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come in order; the last island of a batch may go on in the next one."""
+        held = None
+        for pdf in frames:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            if len(pdf):
+                key = pdf[["document_id", "island"]]
+                begins = np.flatnonzero((key != key.shift()).any(axis=1).to_numpy())
+                held = pdf.iloc[begins[-1] :].reset_index(drop=True)
+                if len(begins) > 1:
+                    yield fold_islands(pdf.iloc[: begins[-1]].reset_index(drop=True), begins[:-1])
+        if held is not None:
+            yield fold_islands(held, np.zeros(1, np.int64))
+
+    # the windows have put each document into one partition, in order
+    return islands.sortWithinPartitions("document_id", "page", "block", "part").mapInPandas(run, islands.schema).drop("island")
 
 
 def index_by(chunks: DataFrame, key: str, order: str = "sequence_number") -> DataFrame:
@@ -134,9 +160,11 @@ def gates(chunks: DataFrame, source_blocks: DataFrame) -> DataFrame:
     without that column, has its page and block."""
     src = source_blocks.agg(F.count_if(processable()).alias("blocks"), F.count_if(F.col("block_type") == "figure_caption").alias("captions"))
     small = (F.col("token_count") < SMALL) & ~F.col("is_figure_caption") & ~F.col("is_section_final")
+    # without the list, its text shows whether it is empty
+    bare = F.size("breadcrumb") == 0 if "breadcrumb" in chunks.columns else F.col("breadcrumb_text").isin("", "[Context: Document Root]")
     got = section_final(chunks).agg(
         F.count(F.lit(1)).alias("total"), F.coalesce(F.max("token_count"), F.lit(0)).alias("most"), F.max_by("chunk_id", F.struct("token_count", -F.col("sequence_number"))).alias("longest"),
-        F.count_if(small).alias("n_small"), F.count_if(F.col("breadcrumb_text") == "").alias("bare"), F.count_if("is_figure_caption").alias("caption_chunks"),
+        F.count_if(small).alias("n_small"), F.count_if(bare).alias("bare"), F.count_if("is_figure_caption").alias("caption_chunks"),
     )
     named = chunks.select("document_id", F.explode("source_block_ids").alias("id")) if "source_block_ids" in chunks.columns else chunks.select("document_id", "page", "block")
     row = got.join(F.broadcast(src), F.lit(True)).join(F.broadcast(named.distinct().agg(F.count(F.lit(1)).alias("covered"))), F.lit(True))  # one row each
@@ -163,13 +191,8 @@ def gates(chunks: DataFrame, source_blocks: DataFrame) -> DataFrame:
 def violations(chunks: DataFrame) -> DataFrame:
     """Adds violations: the names of the contract rules that a row breaks; rules on columns that chunks
     lacks don't apply."""
-    col = F.col
-    rules = {
-        "chunk_id": col("chunk_id").rlike(r"^[A-Za-z0-9-]+-chunk-\d{4}$"), "content": col("content") != "", "token_count": col("token_count").between(1, HARD), "sequence_number": col("sequence_number") >= 0,
-    }
-    optional = {
-        "breadcrumb": F.size("breadcrumb") > 0, "page_numbers": (F.size("page_numbers") > 0) & F.forall("page_numbers", lambda p: p >= 1), "source_block_ids": F.size("source_block_ids") > 0,
-        "figure_references": F.forall("figure_references", lambda r: (r["image_path"] != "") & r["figure_id"].rlike(r"^Fig\. \d+\.\d+$") & (F.length(r["caption_snippet"]) <= 150)),
-    }
-    rules |= {name: ok for name, ok in optional.items() if name in chunks.columns}
-    return chunks.withColumn("violations", F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]), lambda v: v.isNotNull()))
+    from .contracts import CHUNK as RULES
+    from .contracts import broken
+
+    rules = {name: ok for name, ok in RULES().items() if name in chunks.columns}
+    return chunks.withColumn("violations", broken(rules))

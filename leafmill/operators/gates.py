@@ -12,6 +12,16 @@ GATES = (
     ("ligature_count", "Ligature Count", "eq", 0.0, "0", 0),
     ("figure_coverage", "Figure Coverage", "gt", 90.0, ">90%", 1),
 )
+
+
+def gate(key: str) -> tuple:
+    """The gate of that id; ValueError names the ids that there are."""
+    for g in GATES:
+        if g[0] == key:
+            return g
+    raise ValueError(f"no gate {key}; there are {', '.join(g[0] for g in GATES)}")
+
+
 COMPARATORS = {"gte": lambda a, b: a >= b, "gt": lambda a, b: a > b, "lte": lambda a, b: a <= b, "eq": lambda a, b: a == b}
 
 

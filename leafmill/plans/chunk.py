@@ -1,7 +1,7 @@
 """The chunk program: ingested blocks and their figure map to chunks, an index, gates and a preview.
 
-    python -m leafmill.plans.chunk --in DIR --out DIR [--force] [--lenient]
-    python -m leafmill.plans.chunk --document FILE --figure-map FILE --out DIR [--force] [--lenient]
+    python -m leafmill.plans.chunk --in DIR --out DIR [--force] [--lenient] [--verbose]
+    python -m leafmill.plans.chunk --document FILE --figure-map FILE --out DIR [--force] [--lenient] [--verbose]
 
 --in is a folder written by the ingest program. Each output is a folder below --out: chunks (Parquet),
 chunks_json, chunk_index and validation (JSON), preview (one HTML page).
@@ -16,6 +16,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..log import Logger
 from ..operators import chunks as K
 from ..operators import figures as G
 from ..sources import readers, sinks
@@ -75,8 +76,10 @@ def run(spark: SparkSession, blocks: DataFrame, figures: DataFrame, out: str, fo
     began = time.time()
     if not force and (there := existing(spark, out, OUTPUTS)):
         raise FileExistsError(f"already written: {', '.join(there)}")
-    only = blocks.select("document_id").first()
-    known = figures.withColumn("document_id", F.coalesce("document_id", F.lit(only.document_id if only else None)))
+    ids = [r.document_id for r in blocks.select("document_id").distinct().limit(2).collect()]  # two at most
+    if len(ids) > 1 and figures.filter("document_id IS NULL").take(1):
+        raise ValueError("a figure map without a document, and several documents")
+    known = figures.withColumn("document_id", F.coalesce("document_id", F.lit(ids[0] if ids else None)))
     sinks.write(chunks(blocks, known), f"{out}/chunks", force, "parquet")
     rows = spark.read.parquet(f"{out}/chunks")
     broken = K.violations(rows).filter("size(violations) > 0").select("chunk_id", "violations").limit(5).collect() if strict else []
@@ -99,6 +102,7 @@ def main(args: list[str]) -> int:
     parser.add_argument("--out", required=True)
     parser.add_argument("--force", action="store_true")
     parser.add_argument("--lenient", action="store_true")
+    parser.add_argument("--verbose", action="store_true")
     given = vars(parser.parse_args(args))
     folder = given["in"]
     if not folder and not (given["document"] and given["figure_map"]):
@@ -106,7 +110,10 @@ def main(args: list[str]) -> int:
     spark = SparkSession.builder.appName("leafmill-chunk").getOrCreate()
     blocks = spark.read.parquet(f"{folder}/blocks") if folder else readers.document_blocks(spark, given["document"])
     figures = readers.figure_map(spark, f"{folder}/figure_map" if folder else given["figure_map"])
+    log = Logger("chunk", "debug" if given["verbose"] else None)
+    log.debug("reading", **{k: given[k] for k in ("in", "document", "figure_map")})
     got = run(spark, blocks, figures, given["out"], given["force"], not given["lenient"]).first()
+    log.debug("written", out=given["out"], chunks=got.summary.total_chunks)
     for g in got.gates:
         print(f"{g.status} {g.name}: {g.value} (threshold {g.threshold}) {g.details or ''}".rstrip())
     print(f"{got.overall_status}: {got.summary.total_chunks} chunks")

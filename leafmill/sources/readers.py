@@ -21,18 +21,25 @@ def json_documents(spark: SparkSession, path: str, max_bytes: int = MAX_BYTES) -
 
 def blocks(documents: DataFrame) -> DataFrame:
     """path, page, ord (array), id, source_type, html, bbox, hierarchy: all blocks of Page children, parents
-    before children. page is the index among all children of the document."""
-    documents.createOrReplaceTempView("__leafmill_documents")
+    before children. page is the index among all children of the document. A document without block_type or
+    children, a page without bbox or a block without id, block_type or html raises."""
     spark = documents.sparkSession
+    for name in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit"):
+        if spark.conf.get(name, None) is None:  # the file's size bounds the recursion
+            spark.conf.set(name, "-1")
     return spark.sql("""
         WITH RECURSIVE tree(path, page, ord, node) AS (
-          SELECT path, c.pos, array(c.pos), c.value FROM __leafmill_documents, LATERAL variant_explode(variant_get(doc, '$.children', 'variant')) c
-          WHERE variant_get(c.value, '$.block_type', 'string') = 'Page'
+          SELECT path, c.pos, array(c.pos), c.value FROM
+            (SELECT path, CASE WHEN variant_get(doc, '$.block_type', 'string') IS NULL OR variant_get(doc, '$.children', 'variant') IS NULL
+                          THEN raise_error(concat('no block_type or children in ', path)) ELSE doc END AS doc FROM {documents}) d, LATERAL variant_explode(variant_get(doc, '$.children', 'variant')) c
+          WHERE variant_get(c.value, '$.block_type', 'string') = 'Page' AND CASE WHEN variant_get(c.value, '$.bbox', 'variant') IS NULL THEN raise_error(concat('a page without bbox in ', path)) ELSE true END
           UNION ALL
-          SELECT path, page, concat(ord, array(c.pos)), c.value FROM tree, LATERAL variant_explode(variant_get(node, '$.children', 'variant')) c)
-        SELECT path, page, ord, variant_get(node, '$.id', 'string') AS id, variant_get(node, '$.block_type', 'string') AS source_type,
+          SELECT path, page, concat(ord, array(c.pos)), c.value FROM tree, LATERAL variant_explode(variant_get(node, '$.children', 'variant')) c),
+        nodes AS (SELECT path, page, ord, variant_get(node, '$.id', 'string') AS id, variant_get(node, '$.block_type', 'string') AS source_type,
                variant_get(node, '$.html', 'string') AS html, try_variant_get(node, '$.bbox', 'array<double>') AS bbox, try_variant_get(node, '$.section_hierarchy', 'map<string,string>') AS hierarchy
-        FROM tree WHERE variant_get(node, '$.block_type', 'string') NOT IN ('Page', 'Document')""")
+        FROM tree)
+        SELECT * FROM nodes WHERE coalesce(source_type, '') NOT IN ('Page', 'Document')
+          AND CASE WHEN id IS NULL OR source_type IS NULL OR html IS NULL THEN raise_error(concat('a block without id, block_type or html in ', path)) ELSE true END""", documents=documents)
 
 
 def content_blocks(rows: DataFrame) -> DataFrame:
@@ -54,6 +61,12 @@ def markdown_pages(spark: SparkSession, path: str) -> DataFrame:
     return parts.select("path", F.substring_index("part", "", 1).cast("int").alias("page_number"), T.js_trim(F.substring_index("part", "", -1)).alias("content"))
 
 
+def markdown_lines(spark: SparkSession, path: str) -> int:
+    """How many lines the file has; a line break at its end begins another one."""
+    n = spark.read.text(path, wholetext=True).agg(F.sum(F.regexp_count("value", F.lit("\n")) + 1)).first()[0]  # one number
+    return n or 0
+
+
 def images(spark: SparkSession, folder: str) -> DataFrame:
     """image_file, position (from 1) by the first integer in the name, then by name. The folder is
     listed through its Hadoop file system, as Spark's scans skip names that begin with _ or a dot; names
@@ -97,8 +110,3 @@ def document_blocks(spark: SparkSession, path: str) -> DataFrame:
     rows = pages.select("document_id", F.col("p.page_number").alias("page"), F.posexplode("p.blocks").alias("block", "b"))
     return rows.select("document_id", "page", "block", "b.*").withColumns({"parent_hierarchy": F.coalesce("parent_hierarchy", F.array().cast("array<string>")), "section_id": F.coalesce("section_id", F.lit(""))})
 
-
-def cards(spark: SparkSession, path: str) -> DataFrame:
-    """Flashcards of a CSV with a header; rows of fewer than four fields are skipped."""
-    schema = "question string, answer string, tags string, mnemonic string, difficulty string, hint string"
-    return spark.read.schema(schema).csv(path, header=True, quote='"', escape='"', enforceSchema=True).filter("mnemonic IS NOT NULL OR difficulty IS NOT NULL OR tags IS NOT NULL")

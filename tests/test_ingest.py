@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 
 from leafmill.plans import chunk, ingest
 from leafmill.sources import readers
@@ -28,7 +29,16 @@ def test_ingest(spark, export):
     figure = readers.figure_map(spark, f"{out}/figure_map").collect()
     assert [(r.document_id, r.figure_id, r.image_file, r.status) for r in figure] == [("a-title-one", "Fig. 4.1", "_page_1.jpg", "mapped")]
     text = "\n".join(r.value for r in spark.read.text(f"{out}/content", wholetext=True).collect())
-    assert text.startswith("# A Title: one\n\n# A & B\n\nSee Fig. 4.1, the efficient one.")
+    assert text.startswith("# A Title: one\n\n**Author:** Unknown\n\n---\n\n# A & B\n\nSee Fig. 4.1, the efficient one.")
+    whole = json.loads(spark.read.text(f"{out}/document").first().value)
+    assert (whole["id"], whole["title"], whole["author"], len(whole["pages"])) == ("a-title-one", "A Title: one", "Unknown", 1)
+    assert whole["source_files"] == {"json": str(export / "a.json"), "markdown": "", "image_dir": str(export / "images")}
+    entry = whole["figure_map"]["Fig. 4.1"]
+    assert (entry["image_path"], entry["referencing_blocks"], entry["page_number"], entry["abbreviations"]) == (str(export / "images/_page_1.jpg"), ["/page/0/Text/1"], 0, {})
+    meta = whole["metadata"]
+    assert [meta[k] for k in ("pipeline_version", "source_json_lines", "source_markdown_lines", "total_images", "parse_rate", "ligature_count", "figure_coverage")] == ["1.0.0", 3, 0, 1, 100.0, 0, 100.0]
+    summary = json.loads(spark.read.text(f"{out}/figure_map").first().value)["summary"]
+    assert summary["by_status"] == {"mapped": 1, "no-image-in-caption": 0, "unresolved": 0}
     with pytest.raises(FileExistsError):
         ingest.ingest(spark, str(export / "a.json"), str(export / "images"), out, "A Title: one")
     again = ingest.validate(spark, out)
@@ -36,6 +46,22 @@ def test_ingest(spark, export):
     assert ingest.main(["--out", out, "--validate-only"]) == 0
 
 
+def test_ingest_by_config(spark, export):
+    (export / "a.md").write_text("{0}----\n# A\nx")
+    out = export / "by-config"
+    (export / "c.json").write_text(json.dumps({"sources": {"json": str(export / "a.json"), "markdown": str(export / "a.md"), "imageDir": str(export / "images")}, "output": {"baseDir": str(out), "document": "d", "figureMap": "f", "content": "c"}, "document": {"id": "own-id", "title": "T", "author": "N. N."}}))
+    assert ingest.main(["--config", str(export / "c.json")]) == 0
+    whole = json.loads(spark.read.text(f"{out}/document").first().value)
+    assert (whole["id"], whole["author"], whole["metadata"]["source_markdown_lines"]) == ("own-id", "N. N.", 3)
+
+
+def test_block_that_breaks_its_contract(spark, export):
+    page = {"block_type": "Page", "bbox": [0, 0, 1, 1], "children": [block(0, "Text", "x") | {"id": "odd"}]}
+    (export / "a.json").write_text(json.dumps({"block_type": "Document", "children": [page]}))
+    with pytest.raises(PySparkException, match="a block breaks its contract: id"):
+        ingest.ingest(spark, str(export / "a.json"), str(export / "images"), str(export / "out"), "T")
+
+
 def test_ingest_without_images(spark, export):
     (export / "images/_page_1.jpg").unlink()
     assert ingest.main(["--json", str(export / "a.json"), "--images", str(export / "images"), "--out", str(export / "o"), "--title", "T", "--force"]) == 1
@@ -67,7 +93,7 @@ def test_chunk_program(spark, export):
     assert rows[0].__fields__ == list(chunk.K.CHUNK)
     assert [(r.chunk_id, r.content, r.breadcrumb, r.page_numbers, r.source_block_ids, r.is_figure_caption, r.character_count) for r in rows] == [
         ("a-title-one-chunk-0000", "See Fig. 4.1, the efficient one.", ["A & B"], [1], ["/page/0/Text/1"], False, 32), ("a-title-one-chunk-0001", "FIGURE 4.1. A cut.", ["A & B"], [1], ["/page/0/Caption/2"], True, 18)]
-    assert [[f.asDict() for f in r.figure_references] for r in rows] == [[{"figure_id": "Fig. 4.1", "image_path": "_page_1.jpg", "caption_snippet": "A cut."}]] * 2
+    assert [[f.asDict() for f in r.figure_references] for r in rows] == [[{"figure_id": "Fig. 4.1", "image_path": f"{export}/images/_page_1.jpg", "caption_snippet": "A cut."}]] * 2
     index = json.loads(spark.read.text(f"{out}/c/chunk_index").first().value)
     ids = ["a-title-one-chunk-0000", "a-title-one-chunk-0001"]
     assert index == {"document_id": "a-title-one", "total_chunks": 2, "chunks_by_section": {"/page/0/SectionHeader/0": ids}, "chunks_by_page": {"1": ids}, "figure_to_chunks": {"Fig. 4.1": ids}}
