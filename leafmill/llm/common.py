@@ -60,6 +60,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shielded(df: DataFrame, drop: str | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """df without the column to drop, under names that no working column of an operator has, and those names
+    by the columns' own, in order."""
+    own = {c: f"c{i}_{uuid.uuid4().hex}" for i, c in enumerate(c for c in df.columns if c != drop)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]), own
+
+
 def small(df: DataFrame, limit: int | None = None, weight: Column | None = None) -> DataFrame:
     """df, marked for broadcast only if its counted rows, or the sum of their weights, stay
     within the limit (BROADCAST_ROWS); Spark shuffles for the join beyond. A weight holds what a row

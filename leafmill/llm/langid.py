@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, per_process, pieces, small, tidy, utf8
+from .common import cut, per_process, pieces, shielded, small, tidy, utf8
 
 BUCKETS, DIM, ORDERS = 1 << 15, 16, 3
 PER_LANGUAGE, EPOCHS, RATE, TABLE_RATE, BATCH = 600, 8, 0.5, 20.0, 8
@@ -210,6 +210,8 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def reject(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """docs without the rows that the classifier rejects; of rows that share an id, or have none, those with rejected texts."""
+    docs, names = shielded(docs)
+    id_col, text_col, lang_col = (names[c] for c in (id_col, text_col, lang_col))
     tagged = cut(language_id(docs, id_col, text_col, lang_col).filter("rejected").select(F.col(id_col).alias("__gone"), F.col("text_hash").alias("__hash")).distinct(), "langid-rejected")
     same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__gone")) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("__hash"))
-    return docs.join(small(tagged), same, "left_anti")
+    return docs.join(small(tagged), same, "left_anti").toDF(*names)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import cut, shielded, small
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SLOPES = (3, 1, 2), (0.8, -0.8, 0.0)
@@ -80,10 +80,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return out.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", (F.col("size") * F.size("positions")).alias("taken"), "positions", F.coalesce(F.try_element_at("positions", F.lit(1)), F.col("all_words") + begin).alias("sort_by")).orderBy("sort_by").drop("sort_by")
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """docs, each row as often as the mix takes it, sorted by position. Rows that share an id are documents of
     their own."""
-    own = F.col(f"`{id_col}`")
+    docs, names = shielded(docs)
+    own = F.col(names[id_col])
     twice = cut(docs.select(own.alias("__twice")).groupBy("__twice").count().filter("count > 1").select("__twice"), "mix-ids")
     parts, keys = [docs], [own.cast("string")]
     if twice.take(1):
@@ -94,7 +95,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     keyed = [p.withColumn("__key", k) for p, k in zip(parts, keys, strict=True)]
     every = keyed[0] if len(keyed) == 1 else keyed[0].unionAll(keyed[1].drop("__copy"))
     # counted with their positions: texts are only shuffled for the join if the list is too long to broadcast
-    taken = mix(every, id_col="__key", **options).filter("size(positions) > 0").select(F.col("__key").alias("__of"), "positions")
+    taken = mix(every, "__key", names[text_col], names[source_col], **options).filter("size(positions) > 0").select(F.col("__key").alias("__of"), "positions")
     taken = small(cut(taken.withColumnRenamed("positions", "__positions"), "mix-taken"), weight=F.size("__positions") + 1)
-    met = [p.join(taken, F.col("__key").eqNullSafe(F.col("__of"))).withColumn("__at", F.explode("__positions")).select(*[F.col(f"`{c}`") for c in docs.columns], "__at") for p in keyed]
-    return (met[0] if len(met) == 1 else met[0].unionAll(met[1])).orderBy("__at").drop("__at")
+    met = [p.join(taken, F.col("__key").eqNullSafe(F.col("__of"))).withColumn("__at", F.explode("__positions")).select(*docs.columns, "__at") for p in keyed]
+    return (met[0] if len(met) == 1 else met[0].unionAll(met[1])).orderBy("__at").drop("__at").toDF(*names)

@@ -299,7 +299,8 @@ def pseudonym(x: Column, key: str) -> Column:
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """docs with the text replaced, and __found, __replaced: how many finds, and how many changed."""
+    """docs with the text replaced, and __found, __replaced: how many finds, and how many changed. Columns of docs
+    with these two names are replaced."""
     body = F.col(f"`{text_col}`").cast("string")
     # most texts have no find: they are passed on without being split. Working columns have names of their own
     finds, fresh = (f"__pii_{x}_{uuid.uuid4().hex}" for x in ("finds", "new"))

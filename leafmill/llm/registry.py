@@ -91,6 +91,16 @@ ORACLE_SQL = {
                CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id < largest THEN largest END AS refers_to
         FROM q""",
+    "op7_near_dedup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                                  ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(list_slice(words, i, i + 4), ' '))) END AS shingles FROM w),
+        u AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * shared >= 85 * (len(x.shingles) + len(y.shingles) - shared)),
+        e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+        r AS (SELECT doc_id, doc_id AS other FROM s UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a)
+        SELECT doc_id, any_value(len(shingles)) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept FROM r JOIN s USING (doc_id) GROUP BY doc_id""",
     "op8_topk": """
         WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rn, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
