@@ -118,6 +118,12 @@ def normalize(x: Column) -> Column:
     return whitespace(punctuation(ligatures(rejoin_hyphenated(line_breaks(nfc(x))))))
 
 
+def normalized(x: Column) -> Column:
+    """text, and the ligatures before and after, as a struct."""
+    text = normalize(x)
+    return F.struct(text.alias("text"), ligature_count(x).alias("ligatures_before"), ligature_count(text).alias("ligatures_after"))
+
+
 def strip_html(x: Column) -> Column:
     bare = F.regexp_replace(F.coalesce(x, F.lit("")), "<[^>]+>", "")
     decoded = F.when(bare.contains("&"), _unescape(F.when(bare.contains("&"), bare))).otherwise(bare)

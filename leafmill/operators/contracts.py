@@ -104,6 +104,11 @@ def OUTPUT() -> dict[str, Column]:
     return {"document_id": _some("document_id"), "generated_at": _like("generated_at", TIME), "total_chunks": _least("total_chunks"), "chunks": _text("chunks")}
 
 
+def is_entry(e: Column) -> Column:
+    """Whether a struct is an entry of a figure map: it has an id, a caption block and a known status."""
+    return F.coalesce(e["figure_id"].isNotNull() & e["caption_block_id"].isNotNull() & e["status"].isin(*STATUSES), F.lit(False))
+
+
 def broken(rules: dict[str, Column]) -> Column:
     """The names of the rules that don't hold, in order."""
     return F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]), lambda v: v.isNotNull())

@@ -117,9 +117,9 @@ _JOINED = f"regexp_replace({_LINED}, '([A-Za-z0-9_]+)-' || chr(10) || '([A-Za-z0
 _PLAIN = f"replace(replace({_plain(_JOINED)}, chr(8220), '\"'), chr(8212), '--')"
 
 
-@_query(f"SELECT doc_id, trim(regexp_replace({_PLAIN}, '[ \\t]+', ' ', 'g'), ' ' || chr(10) || chr(9)) AS value, {_N_LIGATURES} AS before FROM documents")
+@_query(f"SELECT doc_id, trim(regexp_replace({_PLAIN}, '[ \\t]+', ' ', 'g'), ' ' || chr(10) || chr(9)) AS value, {_N_LIGATURES} AS before, (length({_PLAIN}) - length(translate({_PLAIN}, {_chr("".join(_LIGATURES))}, '')))::BIGINT AS after FROM documents")
 def normalize_text(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").select("doc_id", T.normalize(_injected()).alias("value"), T.ligature_count(_injected()).alias("before"))
+    return _t(spark, sf_dir, "documents").select("doc_id", T.normalized(_injected()).alias("n")).select("doc_id", F.col("n.text").alias("value"), F.col("n.ligatures_before").alias("before"), F.col("n.ligatures_after").alias("after"))
 
 
 @_query(r"SELECT page_id, trim(replace(replace(replace(replace(replace(regexp_replace(coalesce(html, ''), '<[^>]+>', '', 'g'), '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '\"'), '&amp;', '&'), chr(160), ' '), ' ' || chr(10) || chr(9) || chr(13)) AS value FROM pages".replace('\\"', '"'))

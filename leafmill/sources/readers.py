@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators.contracts import is_entry
 
 MAX_BYTES = 100 * 1024 * 1024
 # They must equal the reference's for right results. Other types are text.
@@ -92,7 +93,7 @@ def figure_map(spark: SparkSession, path: str) -> DataFrame:
     nested = F.from_json("value", f"struct<document_id:string,figures:map<string,{FIGURE}>,summary:struct<total_figures:int>>")
     is_nested = F.get_json_object("value", "$.figures").isNotNull() & F.get_json_object("value", "$.summary").isNotNull()
     entries = F.when(is_nested, nested["figures"]).otherwise(F.from_json("value", f"map<string,{FIGURE}>"))
-    whole = F.forall(F.map_values("entries"), lambda e: e["figure_id"].isNotNull() & e["caption_block_id"].isNotNull() & e["status"].isin("mapped", "no-image-in-caption", "unresolved"))
+    whole = F.forall(F.map_values("entries"), is_entry)
     checked = F.when(F.coalesce(whole, F.lit(False)), F.col("entries")).otherwise(F.raise_error(F.concat(F.lit("not a figure map: "), F.col("path"))))
     rows = files.select("path", F.when(is_nested, nested["document_id"]).alias("document_id"), entries.alias("entries")).select("path", "document_id", F.posexplode(F.map_values(checked)).alias("pos", "entry"))
     last = rows.groupBy("path", "document_id", "entry.caption_block_id").agg(F.max_by("entry", "pos").alias("entry"))
