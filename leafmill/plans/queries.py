@@ -185,33 +185,70 @@ def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.link(K.split_blocks(K.breadcrumbs(line_blocks(spark, sf_dir))))
 
 
-@_query()
+def _fold(name: str, rows: str, joins: str, glued: str, tokens: str) -> str:
+    """SQL for one pass of a fold over the numbered rows of each island; the last state of each group stays. glued: the
+    content of two rows p and r as one; tokens: its count."""
+    key = "document_id, island"
+    either = lambda one, two: f"CASE WHEN {joins} THEN {one} ELSE {two} END"
+    return f"""
+    {name}_steps AS (SELECT {key}, i, 1 AS g, content, tok, n, page, block, crumb FROM {rows} WHERE i = 1
+      UNION ALL SELECT r.document_id, r.island, r.i, {either("p.g", "p.g + 1")}, {either(glued, "r.content")}, {either(tokens, "r.tok")}, {either("p.n + r.n", "r.n")}, {either("p.page", "r.page")}, {either("p.block", "r.block")}, r.crumb
+      FROM {name}_steps p JOIN {rows} r ON p.document_id = r.document_id AND p.island = r.island AND r.i = p.i + 1),
+    {name} AS (SELECT {key}, g AS i, content, tok, n, page, block, crumb FROM {name}_steps QUALIFY row_number() OVER (PARTITION BY {key}, g ORDER BY {name}_steps.i DESC) = 1)"""
+
+
+def _folds(rows: str, glued: str, size: str) -> str:
+    """Both passes; size: the length of p's or r's content."""
+    tokens = f"ceil((p.crumb + 4 + {size.format('p')} + {size.format('r')}) / 4.0)::BIGINT"
+    return _fold("one", rows, "r.tok < 80 AND p.tok + r.tok <= 512", glued, tokens) + "," + _fold("two", "one", "p.tok < 80 AND p.tok + r.tok <= 512", glued, tokens)
+
+
+def _packed(items: str, oversize: str = "") -> str:
+    """SQL for items joined by blanks up to the budget, as a list; oversize: what becomes of an item beyond it."""
+    state = "{{'out': {}, 'held': {}, 'used': {}, 'item': ''}}"
+    n = "ceil(length(x.item) / 4.0)::BIGINT"
+    flushed = f"CASE WHEN a.held <> '' THEN list_append(a.out, trim(a.held, {_WS})) ELSE a.out END"
+    beyond = f"WHEN {n} > budget THEN {state.format(f'list_concat({flushed}, {oversize})', chr(39) * 2, '0::BIGINT')}" if oversize else ""
+    step = f"""CASE {beyond} WHEN a.held = '' THEN {state.format("a.out", "x.item", f"{n} + 1")} WHEN a.used + {n} + 1 > budget THEN {state.format(f"list_append(a.out, trim(a.held, {_WS}))", "x.item", f"{n} + 1")}
+        ELSE {state.format("a.out", "a.held || ' ' || x.item", f"a.used + {n} + 1")} END"""
+    none = "{'out': []::VARCHAR[], 'held': '', 'used': 0::BIGINT, 'item': ''}"
+    each = none.replace("'item': ''", "'item': y")
+    folded = f"list_reduce(list_prepend({none}, list_transform({items}, lambda y: {each})), lambda a, x: {step})"
+    return f"list_transform([{folded}], lambda f: CASE WHEN trim(f.held, {_WS}) <> '' THEN list_append(f.out, trim(f.held, {_WS})) ELSE f.out END)[1]"
+
+
+_WORDS = f"list_filter(regexp_split_to_array(x.item, '{_WS_CLASS}+'), lambda w: w <> '')"
+_SPLIT = f"""{_BLOCKS},
+    budgets AS (SELECT *, 512 - ceil((length(breadcrumb_text) + 2) / 4.0)::BIGINT AS budget FROM crumbs),
+    split AS (SELECT document_id, block, breadcrumb_text, CASE WHEN ceil(length(content) / 4.0) <= budget THEN [content] ELSE {_packed(_sentences("content"), _packed(_WORDS).replace("x.item, '" + _WS_CLASS, "x.item, '" + _WS_CLASS))} END AS chunks FROM budgets),
+    rows AS (SELECT document_id, block, breadcrumb_text, unnest(chunks) AS content, unnest(range(len(chunks))) AS part FROM split)"""
+
+
+@_query(f"""WITH {_SPLIT}
+    SELECT document_id || '-chunk-' || lpad((row_number() OVER (PARTITION BY document_id ORDER BY block, part) - 1)::VARCHAR, 4, '0') AS chunk_id, block::INTEGER AS block, part::INTEGER AS part,
+           ceil((length(breadcrumb_text) + 2 + length(content)) / 4.0)::BIGINT AS token_count, length(content)::BIGINT AS character_count, md5(content) AS digest FROM rows""")
 def split_blocks(spark, sf_dir):
     return document_chunks(spark, sf_dir).select("chunk_id", "block", "part", "token_count", "character_count", F.md5("content").alias("digest"))
 
 
-@_query()
+@_query(f"""WITH RECURSIVE {_SPLIT},
+    o AS (SELECT *, lag(content) OVER (PARTITION BY document_id ORDER BY block, part) AS before FROM rows),
+    t AS (SELECT *, {_LAST} AS tail FROM (SELECT *, {_sentences("before")} AS l FROM o)),
+    u AS (SELECT *, length(breadcrumb_text) AS crumb, trim(tail, {_WS}) <> '' AND ceil((length(breadcrumb_text) + 3 + length(tail) + length(content)) / 4.0) <= 600 AS fits FROM t),
+    parts AS (SELECT document_id, 1 AS island, row_number() OVER (PARTITION BY document_id ORDER BY block, part) AS i, CASE WHEN fits THEN length(tail) + 1 ELSE 0 END + length(content) AS content,
+      ceil((crumb + 2 + CASE WHEN fits THEN length(tail) + 1 ELSE 0 END + length(content)) / 4.0)::BIGINT AS tok, 1::BIGINT AS n, block AS page, part AS block, crumb FROM u),
+    {_folds("parts", "p.content + 2 + r.content", "{}.content")}
+    SELECT document_id, count(*) AS chunks, sum(tok)::BIGINT AS tokens, sum(n)::BIGINT AS blocks FROM two GROUP BY 1""")
 def chunk_documents(spark, sf_dir):
     merged = K.merge_small(K.overlap(document_chunks(spark, sf_dir)))
     return K.link(merged).groupBy("document_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum("token_count").alias("tokens"), F.sum("n_blocks").alias("blocks"))
 
 
-def _fold(name: str, rows: str, joins: str) -> str:
-    """SQL for one pass of a fold over the numbered rows of each island; the last state of each group stays."""
-    key = "document_id, island"
-    return f"""
-    {name}_steps AS (SELECT {key}, i, 1 AS g, content, tok, n, page, block FROM {rows} WHERE i = 1
-      UNION ALL SELECT r.document_id, r.island, r.i, CASE WHEN {joins} THEN p.g ELSE p.g + 1 END, CASE WHEN {joins} THEN p.content || chr(10) || chr(10) || r.content ELSE r.content END,
-        CASE WHEN {joins} THEN ceil((28 + length(p.content) + length(r.content)) / 4.0)::BIGINT ELSE r.tok END, CASE WHEN {joins} THEN p.n + r.n ELSE r.n END, CASE WHEN {joins} THEN p.page ELSE r.page END, CASE WHEN {joins} THEN p.block ELSE r.block END
-      FROM {name}_steps p JOIN {rows} r ON p.document_id = r.document_id AND p.island = r.island AND r.i = p.i + 1),
-    {name} AS (SELECT {key}, g AS i, content, tok, n, page, block FROM {name}_steps QUALIFY row_number() OVER (PARTITION BY {key}, g ORDER BY {name}_steps.i DESC) = 1)"""
-
-
 @_query(f"""WITH RECURSIVE {_CHUNKS},
     edges AS (SELECT *, coalesce(lag(section_id) OVER w <> section_id OR is_figure_caption OR lag(is_figure_caption) OVER w, true)::INTEGER AS edge FROM chunks WINDOW w AS (PARTITION BY document_id ORDER BY page, block)),
     islands AS (SELECT *, sum(edge) OVER (PARTITION BY document_id ORDER BY page, block) AS island FROM edges),
-    parts AS (SELECT document_id, island, row_number() OVER (PARTITION BY document_id, island ORDER BY page, block) AS i, content, token_count AS tok, 1::BIGINT AS n, page, block FROM islands),
-    {_fold("one", "parts", "r.tok < 80 AND p.tok + r.tok <= 512")}, {_fold("two", "one", "p.tok < 80 AND p.tok + r.tok <= 512")}
+    parts AS (SELECT document_id, island, row_number() OVER (PARTITION BY document_id, island ORDER BY page, block) AS i, content, token_count AS tok, 1::BIGINT AS n, page, block, 24 AS crumb FROM islands),
+    {_folds("parts", "p.content || chr(10) || chr(10) || r.content", "length({}.content)")}
     SELECT document_id || '-chunk-' || lpad((row_number() OVER (PARTITION BY document_id ORDER BY page, block) - 1)::VARCHAR, 4, '0') AS chunk_id, tok AS token_count, n AS n_blocks, md5(content) AS digest FROM two""")
 def merge_small(spark, sf_dir):
     return K.link(K.merge_small(conversation_chunks(spark, sf_dir))).select("chunk_id", "token_count", "n_blocks", F.md5("content").alias("digest"))
