@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fmix, slices, small, span_hashes, tidy, utf8, word_spans
-from .passages import ROW, joined, passages
+from .common import cut, fmix, shielded, slices, small, span_hashes, tidy, utf8, word_spans
+from .passages import ROW, again, firsts, joined, passages
 
 MIN_LINES, MIN_WORDS, PASSAGE_WORDS, SINGLE_WORDS = 3, 50, 50, 5
 
@@ -103,7 +103,7 @@ def _lines(min_lines: int, min_words: int):
                 owner = np.searchsorted(first, marks, side="right") - 1
                 of = np.searchsorted(owner, np.arange(b - a + 1))
                 places = (marks - first[owner]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _lists(numbers, first, pa.int32()), _lists(hashes.view(np.int64), first, pa.int64()), _lists(words, first, pa.int32()), _lists(places, of, pa.int32()), _lists(hashes[marks].view(np.int64), of, pa.int64())], names=["id", "numbers", "hashes", "words", "marks", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _lists(numbers, first, pa.int32()), _lists(hashes.view(np.int64), first, pa.int64()), _lists(words, first, pa.int32()), _lists(again(np.repeat(np.arange(b - a), np.diff(first)), hashes, np.arange(len(hashes)), 1), first, pa.bool_()), _lists(places, of, pa.int32()), _lists(hashes[marks].view(np.int64), of, pa.int64())], names=["id", "numbers", "hashes", "words", "again", "marks", "keys"])
 
     return run
 
@@ -144,21 +144,23 @@ def _extend(min_lines: int, min_words: int):
     return run
 
 
-def singles(known: DataFrame, least: int) -> DataFrame:
+def singles(known: DataFrame, least: int, copies: bool) -> DataFrame:
     """(id, gone): the lines of that many words at least that stand in several documents, but for their first places."""
-    rows = known.select("id", F.explode(F.filter(F.arrays_zip("numbers", "hashes", "words"), lambda x: x["words"] >= least)).alias("x")).select("id", F.col("x.numbers").alias("number"), F.col("x.hashes").alias("hash"))
-    # combined before the shuffle: one row for each hash and task
-    firsts = rows.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "number")).alias("f"), F.max("id").alias("last")).filter("last > f.id")
-    firsts = cut(firsts.select("f_hash", F.col("f.id").alias("first_id"), F.col("f.number").alias("first_number")), "single-firsts")
-    later = rows.join(firsts, F.col("hash") == F.col("f_hash")).filter("id > first_id OR (id = first_id AND number > first_number)")
-    return later.groupBy("id").agg(F.collect_list("number").alias("gone"))
+    rows = known.select("id", F.explode(F.filter(F.arrays_zip("numbers", "hashes", "words", "again"), lambda x: x["words"] >= least)).alias("x")).select("id", F.col("x.hashes").alias("hash"), F.col("x.again").alias("again"), F.col("x.numbers").alias("number"))
+    # a line that stands again in one document alone stays
+    spread = [F.min("id.id"), F.max("id.id"), F.min("id.copy"), F.max("id.copy")]
+    shared = rows.groupBy(F.col("hash").alias("s_hash")).agg(*[x.alias(n) for x, n in zip(spread, ("lo", "hi", "first_copy", "last_copy"), strict=True)]).filter("lo < hi OR first_copy < last_copy").select("s_hash")
+    several = rows.join(small(cut(shared, "single-shared")), F.col("hash") == F.col("s_hash")).select(*rows.columns)
+    return firsts(cut(several, "single-lines"), copies).groupBy("id").agg(F.collect_list("number").alias("gone"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, passage_words: int | None = None, single_words: int | None = None) -> DataFrame:
     """docs with the text column shortened, in the same columns, and __removed: the lines deleted, or shortened
     by passages of passage_words words inside lines, if given. With single_words, a line of that many words that
-    stands in several documents stays at its first place alone."""
-    key, body = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    stands in several documents stays at its first place alone. A column of docs named __removed is replaced."""
+    docs, names = shielded(docs, drop="__removed")
+    id_col, text_col = names[id_col], names[text_col]
+    key, body = F.col(id_col).cast("long"), F.col(text_col)
     row: Callable = lambda text, copy: F.struct(key.alias("id"), text.alias("text"), copy.alias("copy"))
     alone = row(F.lit(0).cast("long"), F.lit(0).cast("long"))
     twice = cut(docs.select(key.alias("__twice")).filter("__twice IS NOT NULL").groupBy("__twice").count().filter("count > 1").select("__twice"), "line-ids")
@@ -166,33 +168,33 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if twice.take(1):
         # rows that share an id are told apart in a written copy, in which each has a number
         few_ids = small(twice)
-        again = docs.join(few_ids, key == F.col("__twice"), "left_semi").withColumn("__copy", F.monotonically_increasing_id() + 1)
-        parts = [docs.join(few_ids, key == F.col("__twice"), "left_anti"), cut(again, "line-again")]
+        copies = docs.join(few_ids, key == F.col("__twice"), "left_semi").withColumn("__copy", F.monotonically_increasing_id() + 1)
+        parts = [docs.join(few_ids, key == F.col("__twice"), "left_anti"), cut(copies, "line-again")]
     rows = [alone, row(F.xxhash64(body.cast("string")), F.col("__copy") if len(parts) > 1 else F.lit(0))]
     texts = functools.reduce(DataFrame.unionAll, (d.filter(key.isNotNull()).select(r.alias("id"), body.cast("string").alias("body")) for d, r in zip(parts, rows)))
-    known = cut(texts.mapInArrow(tidy(_lines(min_lines, min_words)), f"id {ROW}, numbers array<int>, hashes array<long>, words array<int>, marks array<int>, keys array<long>"), "lines")
+    known = cut(texts.mapInArrow(tidy(_lines(min_lines, min_words)), f"id {ROW}, numbers array<int>, hashes array<long>, words array<int>, again array<boolean>, marks array<int>, keys array<long>"), "lines")
     marks = known.select("id", F.explode(F.arrays_zip("marks", "keys")).alias("m")).select("id", F.col("m.marks").alias("at"), F.col("m.keys").alias("hash"))
     # combined before the shuffle: one row for each hash and task
     shared = cut(marks.groupBy(F.col("hash").alias("s_hash")).count().filter("count > 1").select("s_hash"), "line-shared")
     spots = cut(marks.join(small(shared), F.col("hash") == F.col("s_hash")).groupBy(F.col("id").alias("s_id")).agg(F.collect_list("at").alias("spots")), "line-spots")
     around = known.join(small(spots, weight=F.size("spots") + 3), F.col("id") == F.col("s_id")).select("id", "hashes", "words", "spots")
     found = cut(around.mapInArrow(tidy(_windows(min_lines, min_words)), f"id {ROW}, at int, hash long"), "line-windows")
-    firsts = found.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    firsts = cut(firsts.select("f_hash", F.col("f.id").alias("first_id"), F.col("f.at").alias("first_at")), "line-firsts")
-    met = found.join(firsts, F.col("hash") == F.col("f_hash")).filter("id > first_id OR (id = first_id AND at > first_at)")
+    place = found.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    place = cut(place.select("f_hash", F.col("f.id").alias("first_id"), F.col("f.at").alias("first_at")), "line-firsts")
+    met = found.join(place, F.col("hash") == F.col("f_hash")).filter("id > first_id OR (id = first_id AND at > first_at)")
     pairs = cut(met.groupBy("id", "first_id", (F.col("at") - F.col("first_at")).alias("shift")).agg(F.collect_set("at").alias("seeds")), "line-pairs")
     first = known.select(F.col("id").alias("f_id"), F.col("hashes").alias("first_hashes"))
     own = known.select(F.col("id").alias("o_id"), "numbers", "hashes", "words")
     both = pairs.join(first, F.col("first_id") == F.col("f_id")).join(own, F.col("id") == F.col("o_id")).select("id", "shift", "seeds", "numbers", "hashes", "words", "first_hashes")
     gone = both.mapInArrow(tidy(_extend(min_lines, min_words)), f"id {ROW}, gone array<int>")
     if single_words:
-        gone = gone.unionAll(singles(known, single_words))
+        gone = gone.unionAll(singles(known, single_words, len(parts) > 1))
     gone = gone.groupBy(F.col("id").alias("__of")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone"))
     gone = cut(gone, "line-gone")
     # counted with their lines: texts are only shuffled if the list is too long to broadcast
     few = small(gone, weight=F.size("__gone") + 3)
     if passage_words:
-        spans = passages(texts.filter("body IS NOT NULL").join(few, F.col("id") == F.col("__of"), "left").select("id", "body", F.col("__gone").alias("gone")), passage_words)
+        spans = passages(texts.filter("body IS NOT NULL").join(few, F.col("id") == F.col("__of"), "left").select("id", "body", F.col("__gone").alias("gone")), passage_words, len(parts) > 1)
         spans = small(spans, weight=F.size("__starts") * 2 + 4)
 
     def shortened(part: DataFrame, of: Column) -> DataFrame:
@@ -204,6 +206,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if passage_words:
             out = out.join(spans, of == F.col("__in"), "left")
             text, removed = F.when(F.col("__in").isNull(), text).otherwise(joined(body)), F.coalesce("__changed", removed)
-        return out.withColumns({text_col: text, "__removed": removed}).select(*[F.col(f"`{c}`") for c in docs.columns], "__removed")
+        return out.withColumns({text_col: text, "__removed": removed}).select(*docs.columns, "__removed")
 
-    return functools.reduce(DataFrame.unionAll, (shortened(d, r) for d, r in zip(parts, rows)))
+    return functools.reduce(DataFrame.unionAll, (shortened(d, r) for d, r in zip(parts, rows))).toDF(*names, "__removed")

@@ -83,6 +83,30 @@ def _entries(ids: pa.Array, owner: np.ndarray, at: np.ndarray, hashes: np.ndarra
     return pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64))], names=["id", "at", "hash"])
 
 
+def again(owner: np.ndarray, hashes: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
+    """Whether the hash stands in the same text at least that far before. at: the places, rising within a text."""
+    order = np.lexsort((at, hashes, owner))
+    o, h, a = owner[order], hashes[order], at[order]
+    head = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (h[1:] != h[:-1]))) if len(o) else np.zeros(0, np.int64)
+    out = np.zeros(len(at), bool)
+    out[order] = a - np.repeat(a[head], np.diff(np.append(head, len(a)))) >= least
+    return out
+
+
+def firsts(places: DataFrame, copies: bool) -> DataFrame:
+    """places (id, hash, again, more columns) that aren't the first of their hash: those of a later document, or again
+    in the same one. Only ids are compared, so the aggregate keeps numbers, in one row for each hash and task;
+    rows that share an id, if there are copies, are put in order among themselves."""
+    first = places.groupBy(F.col("hash").alias("f_hash")).agg(F.min("id.id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("f_hash", "first")
+    met = places.join(first, F.col("hash") == F.col("f_hash"))
+    later = (F.col("id.id") > F.col("first")) | F.col("again")
+    if copies:
+        of_copies = places.filter("id.copy > 0").groupBy(F.col("hash").alias("c_hash"), F.col("id.id").alias("c_id")).agg(F.min("id").alias("c_first"))
+        met = met.join(of_copies, (F.col("hash") == F.col("c_hash")) & (F.col("id.id") == F.col("c_id")), "left")
+        later = later | F.coalesce(F.col("id") > F.col("c_first"), F.lit(False))
+    return met.filter(later).select(*places.columns)
+
+
 def _marks(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +138,9 @@ def _windows(size: int):
                     np.add.at(near, np.array(his[i], np.int64) + first[i - a], -1)
                 at = np.flatnonzero((np.cumsum(near[:-1]) > 0) & places(left, first, size))
                 owner = np.searchsorted(first, at, side="right") - 1
-                yield _entries(ids, owner + a, at - first[owner], _window(hashes, size, _pair)[at])
+                keys = _window(hashes, size, _pair)[at]
+                entries = _entries(ids, owner + a, at - first[owner], keys)
+                yield entries.append_column("again", pa.array(again(owner, keys, at, size)))
 
     return run
 
@@ -184,7 +210,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], t) for k, t in enumerate((pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32())))], names=["id", "starts", "lengths", "changed"])
 
 
-def passages(texts: DataFrame, size: int) -> DataFrame:
+def passages(texts: DataFrame, size: int, copies: bool = False) -> DataFrame:
     """Of each row of texts (id, body, gone: its lines that the line rule takes) that loses a passage:
     __in, its id; __starts and __lengths, the spans left; __changed, the lines that go or are shortened."""
     entries = f"id {ROW}, at int, hash long"
@@ -192,12 +218,8 @@ def passages(texts: DataFrame, size: int) -> DataFrame:
     twice = cut(marks.groupBy(F.col("hash").alias("t_hash")).count().filter("count > 1").select("t_hash"), "passage-twice")
     spots = _ranged(marks.join(small(twice), F.col("hash") == F.col("t_hash")), size - size // 2, 1, "passage-spots")
     met = lambda ranges: texts.join(small(ranges, weight=F.size("los") * 2 + 1), F.col("id") == F.col("r_id")).select("id", "body", "gone", "los", "his")
-    windows = cut(met(spots).mapInArrow(tidy(_windows(size)), entries), "passage-windows")
-    # combined before the shuffle: one row for each hash and task
-    firsts = windows.groupBy(F.col("hash").alias("f_hash")).agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    firsts = cut(firsts.select("f_hash", F.col("f.id").alias("first_id"), F.col("f.at").alias("first_at")), "passage-firsts")
-    later = windows.join(firsts, F.col("hash") == F.col("f_hash")).filter((F.col("id") > F.col("first_id")) | ((F.col("id") == F.col("first_id")) & (F.col("at") >= F.col("first_at") + size)))
-    later = _ranged(later, 0, size, "passage-later")
+    windows = cut(met(spots).mapInArrow(tidy(_windows(size)), f"{entries}, again boolean"), "passage-windows")
+    later = _ranged(firsts(windows, copies), 0, size, "passage-later")
     return cut(met(later).mapInArrow(tidy(_spans), f"id {ROW}, starts array<int>, lengths array<int>, changed int").toDF("__in", "__starts", "__lengths", "__changed"), "passage-spans")
 
 
