@@ -29,7 +29,8 @@ def cards(spark: SparkSession, path: str, least: int = 4) -> DataFrame:
     aren't blank, but for the first of a file and those of fewer than `least` fields."""
     rows = lines(spark, path).filter(T.js_trim(F.col("value")) != "")
     heads = rows.groupBy(F.col("line.file").alias("file")).agg(F.min("line").alias("head"))
-    body = rows.join(F.broadcast(heads), F.col("line.file") == F.col("file")).filter("line > head")  # one row a file
+    # one row a file: whether it is broadcast is Spark's choice, by its size
+    body = rows.join(heads, F.col("line.file") == F.col("file")).filter("line > head")
     parsed = body.select("line", fields(F.col("value")).alias("f")).filter(F.size("f") >= least)
     names = ("question", "answer", "tags", "mnemonic", "difficulty", "hint")
     return parsed.select("line", *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
