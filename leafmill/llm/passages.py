@@ -98,7 +98,8 @@ def firsts(places: DataFrame, copies: bool) -> DataFrame:
     in the same one. Only ids are compared, so the aggregate keeps numbers, in one row for each hash and task;
     rows that share an id, if there are copies, are put in order among themselves."""
     first = places.groupBy(F.col("hash").alias("f_hash")).agg(F.min("id.id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("f_hash", "first")
-    met = places.join(first, F.col("hash") == F.col("f_hash"))
+    # written, so both sides of the join are plain exchanges, whose hot partitions Spark splits
+    met = places.join(cut(first, "first-places"), F.col("hash") == F.col("f_hash"))
     later = (F.col("id.id") > F.col("first")) | F.col("again")
     if copies:
         of_copies = places.filter("id.copy > 0").groupBy(F.col("hash").alias("c_hash"), F.col("id.id").alias("c_id")).agg(F.min("id").alias("c_first"))
