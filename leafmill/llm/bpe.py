@@ -197,11 +197,11 @@ class _Words:
 
 
 def _explode(folder: str, buckets: int):
-    def block_rows(ids: list, off: np.ndarray, data: np.ndarray) -> Iterator[dict]:
+    def block_rows(ids: list, off: np.ndarray, whole: bytes) -> Iterator[dict]:
         """One block: its sequence is saved, its words are dealt out by hash."""
         sizes = np.zeros(len(ids), np.int64)  # pre-tokens of each document
         words = _Words()
-        whole = data.tobytes()
+        data = np.frombuffer(whole, np.uint8)
         for a, b, lo, hi in pieces(off, whole):
             raw = whole[lo:hi]
             if not raw:
@@ -239,11 +239,13 @@ def _explode(folder: str, buckets: int):
                 yield {"kind": "words", "block": block, "doc_ids": None, "bucket": k, "payload": pack([*_gaps(number[own]), _short(n), chars])}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, parts, size = [], [], 0
+        ids, lengths, parts, size = [], [], [], 0
 
         def flush():
-            off = np.cumsum([0, *[x for p in parts for x in np.diff(p[0]).tolist()]]).astype(np.int64)
-            for row in block_rows(ids, off, np.concatenate([p[1] for p in parts])):
+            off = np.cumsum([0, *lengths]).astype(np.int64)
+            whole = b"".join(parts)
+            parts.clear()
+            for row in block_rows(ids, off, whole):
                 yield pa.RecordBatch.from_pylist([row], schema=_DOCS_SCHEMA)
 
         for batch in batches:
@@ -251,9 +253,10 @@ def _explode(folder: str, buckets: int):
             for a, b in slices(off, BLOCK_BYTES):
                 if parts and size + int(off[b] - off[a]) > BLOCK_BYTES:
                     yield from flush()
-                    ids, parts, size = [], [], 0
+                    ids, lengths, size = [], [], 0
                 ids += keys[a:b]
-                parts.append((off[a : b + 1] - off[a], data[off[a] : off[b]]))
+                lengths += np.diff(off[a : b + 1]).tolist()
+                parts.append(data[off[a] : off[b]].tobytes())
                 size += int(off[b] - off[a])
         if ids:
             yield from flush()
