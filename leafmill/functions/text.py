@@ -4,7 +4,9 @@ HTML, figure references. Each takes and returns Columns; null counts as empty un
 from __future__ import annotations
 
 import html as _html
+import re
 import unicodedata
+from html.entities import html5 as _NAMED
 
 import pandas as pd
 from pyspark.sql import Column
@@ -49,6 +51,16 @@ def _unescape(x: pd.Series) -> pd.Series:
     return x.map(lambda t: None if t is None else _html.unescape(t))
 
 
+#: A character reference up to its semicolon.
+_CLOSED = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+)|[0-9A-Za-z]+);")
+
+
+@F.pandas_udf(StringType())
+def _unescape_closed(x: pd.Series) -> pd.Series:
+    one = lambda m: _html.unescape(m[0]) if m[0][1] == "#" else _NAMED.get(m[0][1:], m[0])
+    return x.map(lambda t: None if t is None else _CLOSED.sub(one, t))
+
+
 #: Beyond these ranges a character may compose, decompose or be one of a pair (in them, none does).
 _MAY_COMPOSE = r"[^\x00-\u024F\u0400-\u0482\u2002-\u205E\uFB00-\uFB06]"
 
@@ -124,9 +136,11 @@ def normalized(x: Column) -> Column:
     return F.struct(text.alias("text"), ligature_count(x).alias("ligatures_before"), ligature_count(text).alias("ligatures_after"))
 
 
-def strip_html(x: Column) -> Column:
+def strip_html(x: Column, strict: bool = False) -> Column:
+    """Text without tags, entities decoded, also those without a semicolon; strict: only those that end in one."""
     bare = F.regexp_replace(F.coalesce(x, F.lit("")), "<[^>]+>", "")
-    decoded = F.when(bare.contains("&"), _unescape(F.when(bare.contains("&"), bare))).otherwise(bare)
+    unescape = _unescape_closed if strict else _unescape
+    decoded = F.when(bare.contains("&"), unescape(F.when(bare.contains("&"), bare))).otherwise(bare)
     return js_trim(F.replace(decoded, F.lit("\u00a0"), F.lit(" ")))
 
 

@@ -124,7 +124,7 @@ def normalize_text(spark, sf_dir):
 
 @_query(r"SELECT page_id, trim(replace(replace(replace(replace(replace(regexp_replace(coalesce(html, ''), '<[^>]+>', '', 'g'), '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '\"'), '&amp;', '&'), chr(160), ' '), ' ' || chr(10) || chr(9) || chr(13)) AS value FROM pages".replace('\\"', '"'))
 def strip_html(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", T.strip_html(F.col("html")).alias("value"))
+    return _t(spark, sf_dir, "pages").select("page_id", T.strip_html(F.col("html"), strict=True).alias("value"))
 
 
 @_query("SELECT page_id, coalesce(try_cast(regexp_extract(html, '(?i)<h([1-6])[^>]*>', 1) AS INTEGER), 0) AS level FROM pages")
