@@ -24,6 +24,8 @@ BROADCAST_ROWS = 2_000_000
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Bytes of text that one numpy pass takes at once; a longer text is a pass of its own.
 SLICE_BYTES = 1 << 19
+#: Bytes that are hashed at once: their 64-bit arrays stay in a core's cache.
+HASH_BYTES = 1 << 16
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -156,6 +158,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off - off[0], data
 
 
+def lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values) of an Arrow list column; null counts as empty."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
+    return np.append(0, np.cumsum(sizes, dtype=np.int64)), column.flatten().to_numpy(zero_copy_only=False)
+
+
 def slices(off: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts hold at most limit bytes together, or one row."""
     a, n = 0, len(off) - 1
@@ -209,12 +217,12 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each codes[start:end] (in order, apart, none of them empty); equal spans hash alike
-    wherever they stand. Arrays of about SLICE_BYTES codes are held at once, whatever the spans' lengths."""
+    wherever they stand. Arrays of about HASH_BYTES codes are held at once, or SLICE_BYTES of one longer span."""
     power, inverse = _powers()
     out, a = np.empty(len(starts), np.uint64), 0
     while a < len(starts):
         lo = int(starts[a])
-        b = max(a + 1, int(np.searchsorted(ends, lo + SLICE_BYTES, side="right")))
+        b = max(a + 1, int(np.searchsorted(ends, lo + HASH_BYTES, side="right")))
         if ends[b - 1] - lo > SLICE_BYTES:  # one long span, in pieces
             shift = np.ones(1, np.uint64)
             total = np.zeros(1, np.uint64)

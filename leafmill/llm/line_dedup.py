@@ -37,10 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fmix, shielded, slices, small, span_hashes, tidy, utf8, word_spans
+from .common import cut, fmix, lists, shielded, slices, small, span_hashes, tidy, utf8, word_spans
 from .passages import ROW, again, firsts, joined, passages
 
 MIN_LINES, MIN_WORDS, PASSAGE_WORDS, SINGLE_WORDS = 3, 50, 50, 5
+#: Windows of lines that one numpy pass takes at once.
+WINDOWS = 1 << 16
 
 
 def lines_of(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -48,12 +50,12 @@ def lines_of(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     text's begin and the last one's end."""
     starts, stops = word_spans(off, data)
     breaks = np.flatnonzero(data == 10)
-    text = np.searchsorted(off, starts, side="right") - 1
-    line = np.searchsorted(breaks, starts) + text  # another number for each line of all texts
-    head = np.flatnonzero(np.diff(line, prepend=-1))
-    last = np.append(head[1:], len(line))
-    number = np.searchsorted(breaks, starts[head]) - np.searchsorted(breaks, off[text[head]])
-    return number.astype(np.int32), span_hashes(data, starts[head], stops[last - 1]), (last - head).astype(np.int32), np.searchsorted(text[head], np.arange(len(off)))
+    head = np.unique(np.searchsorted(starts, np.concatenate([breaks, off[:-1]])))  # the first words after a break or in a text
+    head = head[head < len(starts)]
+    last = np.append(head, len(starts))[1:]
+    text = np.searchsorted(off, starts[head], side="right") - 1
+    number = np.searchsorted(breaks, starts[head]) - np.searchsorted(breaks, off[text])
+    return number.astype(np.int32), span_hashes(data, starts[head], stops[last - 1]), (last - head).astype(np.int32), np.searchsorted(text, np.arange(len(off)))
 
 
 def windows(words: np.ndarray, first: np.ndarray, min_lines: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,15 +120,16 @@ def _windows(min_lines: int, min_words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, at, keys = [], [], []
-            for i, (hashes, words, spots) in enumerate(zip(*(_values(batch.column(c)) for c in (1, 2, 3)), strict=True)):
-                place, key = fingerprints(hashes.view(np.uint64), *windows(words, np.array([0, len(words)]), min_lines, min_words))
-                some = np.isin(place, spots)
-                owner.append(np.full(int(some.sum()), i))
-                at.append(place[some])
-                keys.append(key[some])
-            if owner:
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(keys).view(np.int64))], names=["id", "at", "hash"])
+            (first, hashes), (_, words), (spots_of, spots) = (lists(batch.column(c)) for c in (1, 2, 3))
+            begins, ends = windows(words, first, min_lines, min_words)
+            wanted = np.zeros(len(words), bool)
+            wanted[spots + np.repeat(first[:-1], np.diff(spots_of))] = True
+            # WINDOWS at once, as a batch may hold many lines
+            for a in range(0, len(begins), WINDOWS):
+                at, keys = fingerprints(hashes.view(np.uint64), begins[a : a + WINDOWS], ends[a : a + WINDOWS])
+                at, keys = at[wanted[at]], keys[wanted[at]]
+                owner = np.searchsorted(first, at, side="right") - 1
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array((at - first[owner]).astype(np.int32)), pa.array(keys.view(np.int64))], names=["id", "at", "hash"])
 
     return run
 
@@ -146,7 +149,7 @@ def _extend(min_lines: int, min_words: int):
 
 def singles(known: DataFrame, least: int, copies: bool) -> DataFrame:
     """(id, gone): the lines of that many words at least that stand in several documents, but for their first places."""
-    rows = known.select("id", F.explode(F.filter(F.arrays_zip("numbers", "hashes", "words", "again"), lambda x: x["words"] >= least)).alias("x")).select("id", F.col("x.hashes").alias("hash"), F.col("x.again").alias("again"), F.col("x.numbers").alias("number"))
+    rows = known.select("id", "hashes", "again", "numbers", F.posexplode("words").alias("k", "n")).filter(F.col("n") >= least).select("id", *(F.col(c)[F.col("k")].alias(n) for c, n in (("hashes", "hash"), ("again", "again"), ("numbers", "number"))))
     # a line that stands again in one document alone stays
     spread = [F.min("id.id"), F.max("id.id"), F.min("id.copy"), F.max("id.copy")]
     shared = rows.groupBy(F.col("hash").alias("s_hash")).agg(*[x.alias(n) for x, n in zip(spread, ("lo", "hi", "first_copy", "last_copy"), strict=True)]).filter("lo < hi OR first_copy < last_copy").select("s_hash")
@@ -173,7 +176,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = [alone, row(F.xxhash64(body.cast("string")), F.col("__copy") if len(parts) > 1 else F.lit(0))]
     texts = functools.reduce(DataFrame.unionAll, (d.filter(key.isNotNull()).select(r.alias("id"), body.cast("string").alias("body")) for d, r in zip(parts, rows)))
     known = cut(texts.mapInArrow(tidy(_lines(min_lines, min_words)), f"id {ROW}, numbers array<int>, hashes array<long>, words array<int>, again array<boolean>, marks array<int>, keys array<long>"), "lines")
-    marks = known.select("id", F.explode(F.arrays_zip("marks", "keys")).alias("m")).select("id", F.col("m.marks").alias("at"), F.col("m.keys").alias("hash"))
+    marks = known.select("id", "marks", F.posexplode("keys").alias("k", "hash")).select("id", F.col("marks")[F.col("k")].alias("at"), "hash")
     # combined before the shuffle: one row for each hash and task
     shared = cut(marks.groupBy(F.col("hash").alias("s_hash")).count().filter("count > 1").select("s_hash"), "line-shared")
     spots = cut(marks.join(small(shared), F.col("hash") == F.col("s_hash")).groupBy(F.col("id").alias("s_id")).agg(F.collect_list("at").alias("spots")), "line-spots")

@@ -4,9 +4,9 @@ A place is a window of `size` words, wherever lines break, of which the line rul
 A word goes exactly if it lies in a window that stands at an earlier place too (by document id, then word);
 within a document the two must not overlap, so of a loop of words its first window stays.
 
-1. Winnowing: of the hashes of each half-window of words, those that are least in some window are marks.
-   Equal windows have a mark at the same word, so a window without a mark that stands twice can't repeat.
-2. All windows around marks that stand twice meet by the hash of the whole window, as a mark alone may have its
+1. Winnowing: a window's mark is the least hash of its half-windows of words. Windows in a row that share it are
+   one entry. Equal windows have equal marks, so a window whose mark is of one entry alone can't repeat.
+2. All windows whose mark is of several entries meet by the hash of the whole window, as a mark alone may have its
    first place among other words. Each hash meets its first place alone, so a passage in a third of
    all documents costs one row for each occurrence of a window.
 3. What is left of a text is given as spans of its characters: a line keeps its other words and white space,
@@ -15,7 +15,6 @@ within a document the two must not overlap, so of a loop of words its first wind
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fmix, slices, small, span_hashes, tidy, utf8, word_spans
-
-_WORD = re.compile(rb"[^\x09-\x0d ]+")
+from .common import cut, fmix, lists, slices, small, span_hashes, tidy, utf8, word_spans
 
 
 def _window(values: np.ndarray, size: int, join) -> np.ndarray:
@@ -41,16 +38,23 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return fmix(a * np.uint64(0x9E3779B97F4A7C15) + fmix(b))
 
 
-def words_of(off: np.ndarray, data: np.ndarray, gone: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def left_words(off: np.ndarray, data: np.ndarray, starts: np.ndarray, gone_of: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where all texts' lines begin, which is each text's first, where the lines' words begin (of all words, which begin
+    at starts), and whether a word's line is left. gone: numbers of lines; gone_of: where each text's begin."""
+    breaks = np.flatnonzero(data == 10)
+    before = np.searchsorted(breaks, off[:-1])  # breaks before a text
+    begins = np.insert(breaks + 1, before, off[:-1])
+    own = before + np.arange(len(before))
+    first = np.searchsorted(starts, begins)
+    stay = np.ones(len(begins), bool)
+    stay[gone + np.repeat(own, np.diff(gone_of))] = False
+    return begins, own, first, np.repeat(stay, np.diff(first, append=len(starts)))
+
+
+def words_of(off: np.ndarray, data: np.ndarray, gone_of: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words, whether their line is left, and where each text's words begin."""
     starts, stops = word_spans(off, data)
-    first = np.searchsorted(starts, off)
-    left = np.ones(len(starts), bool)
-    for i, lines in enumerate(gone):
-        if lines is not None and len(lines):
-            breaks = np.flatnonzero(data[off[i] : off[i + 1]] == 10) + off[i]
-            left[first[i] : first[i + 1]] = ~np.isin(np.searchsorted(breaks, starts[first[i] : first[i + 1]]), lines)
-    return span_hashes(data, starts, stops), left, first
+    return span_hashes(data, starts, stops), left_words(off, data, starts, gone_of, gone)[3], np.searchsorted(starts, off)
 
 
 def places(left: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
@@ -62,25 +66,42 @@ def places(left: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
     return (at + size <= ends) & (sums[np.minimum(at + size, n)] > sums[at])
 
 
-def winnow(hashes: np.ndarray, ok: np.ndarray, size: int) -> np.ndarray:
-    """The words where half-windows begin that are least in a window that is a place."""
+def winnow(hashes: np.ndarray, ok: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, number, mark) of the windows in a row that are places and share their mark, the least hash
+    of a half-window. No entry has more windows than one half-window lies in, so windows that repeat
+    without overlap are in two entries, also in a loop of words."""
     half = size // 2
     if len(hashes) < size:
-        return np.zeros(0, np.int64)
-    parts = _window(hashes, half, _pair)
-    least = np.where(ok[: len(hashes) - size + 1], _window(parts, size - half + 1, np.minimum), np.uint64(0))
-    # a part is marked if it is as small as the greatest of the least of all windows around it
-    rim = np.zeros(size - half, np.uint64)
-    most = _window(np.concatenate([rim, least, rim]), size - half + 1, np.maximum)
-    return np.flatnonzero((most == parts) & (parts > 0))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    most = size - half + 1
+    least = np.where(ok[: len(hashes) - size + 1], _window(_window(hashes, half, _pair), most, np.minimum), np.uint64(0))
+    at = np.flatnonzero(np.diff(least, prepend=np.uint64(0)))
+    n = np.diff(at, append=len(least))
+    at, n = at[least[at] > 0], n[least[at] > 0]
+    parts = (n + most - 1) // most
+    begin = np.repeat(at, parts) + most * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+    return begin, np.minimum(np.repeat(at + n, parts) - begin, most), least[begin]
 
 
 #: A row: its document's id; rows that share one differ by their texts' hash and a number.
 ROW = "struct<id: long, text: long, copy: long>"
 
 
-def _entries(ids: pa.Array, owner: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64))], names=["id", "at", "hash"])
+#: Places of several ranges [at, at + n) of words or windows are held as at * SPAN + n.
+SPAN = 1 << 32
+
+
+def _entries(ids: pa.Array, owner: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each id that has entries, with their columns as lists. owner: the ids' places, rising."""
+    head = np.flatnonzero(np.diff(owner, prepend=-1))
+    off = pa.array(np.append(head, len(owner)).astype(np.int32))
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(owner[head])), *(pa.ListArray.from_arrays(off, pa.array(c)) for c in columns.values())], names=["id", *columns])
+
+
+def _flat(entries: DataFrame, by: str, **names: str) -> DataFrame:
+    """(id, hash, more columns): the entries, a row for each; more columns' lists by their names. Lists beside the
+    exploded one are only reached into, never copied."""
+    return entries.select("id", *names.values(), F.posexplode(by).alias("k", "hash")).select("id", "hash", *(F.col(c)[F.col("k")].alias(n) for n, c in names.items()))
 
 
 def again(owner: np.ndarray, hashes: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
@@ -98,14 +119,21 @@ def firsts(places: DataFrame, copies: bool) -> DataFrame:
     in the same one. Only ids are compared, so the aggregate keeps numbers, in one row for each hash and task;
     rows that share an id, if there are copies, are put in order among themselves."""
     first = places.groupBy(F.col("hash").alias("f_hash")).agg(F.min("id.id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("f_hash", "first")
+    number = F.col("id.id")
+    met = places
+    if not copies:  # the id's number is all of it
+        met, number = places.withColumn("id", number), F.col("id")
     # written, so both sides of the join are plain exchanges, whose hot partitions Spark splits
-    met = places.join(cut(first, "first-places"), F.col("hash") == F.col("f_hash"))
-    later = (F.col("id.id") > F.col("first")) | F.col("again")
+    met = met.join(cut(first, "first-places"), F.col("hash") == F.col("f_hash"))
+    later = (number > F.col("first")) | F.col("again")
     if copies:
         of_copies = places.filter("id.copy > 0").groupBy(F.col("hash").alias("c_hash"), F.col("id.id").alias("c_id")).agg(F.min("id").alias("c_first"))
         met = met.join(of_copies, (F.col("hash") == F.col("c_hash")) & (F.col("id.id") == F.col("c_id")), "left")
         later = later | F.coalesce(F.col("id") > F.col("c_first"), F.lit(False))
-    return met.filter(later).select(*places.columns)
+    met = met.filter(later)
+    if not copies:
+        met = met.withColumn("id", F.struct(number.alias("id"), *(F.lit(0).cast("long").alias(c) for c in ("text", "copy"))))
+    return met.select(*places.columns)
 
 
 def _marks(size: int):
@@ -113,13 +141,12 @@ def _marks(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             off, data = utf8(batch.column(1))
-            ids, gone = batch.column(0), batch.column(2).to_pylist()
+            ids, (gone_of, gone) = batch.column(0), lists(batch.column(2))
             for a, b in slices(off):
-                hashes, left, first = words_of(off[a : b + 1] - off[a], data[off[a] : off[b]], gone[a:b])
-                at = winnow(hashes, places(left, first, size), size)
+                hashes, left, first = words_of(off[a : b + 1] - off[a], data[off[a] : off[b]], gone_of[a : b + 1], gone[gone_of[a] : gone_of[b]])
+                at, n, keys = winnow(hashes, places(left, first, size), size)
                 owner = np.searchsorted(first, at, side="right") - 1
-                keys = _window(hashes, size // 2, _pair)[at] if len(at) else np.zeros(0, np.uint64)
-                yield _entries(ids, owner + a, at - first[owner], keys)
+                yield _entries(ids, owner + a, spans=(at - first[owner]) * SPAN + n, hashes=keys.view(np.int64))
 
     return run
 
@@ -128,99 +155,116 @@ def _windows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             off, data = utf8(batch.column(1))
-            ids, (gone, los, his) = batch.column(0), (batch.column(k).to_pylist() for k in (2, 3, 4))
+            ids, (gone_of, gone), (of, los), (_, his) = batch.column(0), *(lists(batch.column(k)) for k in (2, 3, 4))
             for a, b in slices(off):
-                hashes, left, first = words_of(off[a : b + 1] - off[a], data[off[a] : off[b]], gone[a:b])
+                hashes, left, first = words_of(off[a : b + 1] - off[a], data[off[a] : off[b]], gone_of[a : b + 1], gone[gone_of[a] : gone_of[b]])
                 if len(hashes) < size:
                     continue
-                near = np.zeros(len(hashes) + 1, np.int64)
-                for i in range(a, b):
-                    np.add.at(near, np.array(los[i], np.int64) + first[i - a], 1)
-                    np.add.at(near, np.array(his[i], np.int64) + first[i - a], -1)
-                at = np.flatnonzero((np.cumsum(near[:-1]) > 0) & places(left, first, size))
+                near = within(len(hashes), first, of[a : b + 1], los[of[a] : of[b]], his[of[a] : of[b]])
+                at = np.flatnonzero(near & places(left, first, size))
                 owner = np.searchsorted(first, at, side="right") - 1
                 keys = _window(hashes, size, _pair)[at]
-                entries = _entries(ids, owner + a, at - first[owner], keys)
-                yield entries.append_column("again", pa.array(again(owner, keys, at, size)))
+                yield _entries(ids, owner + a, ats=(at - first[owner]).astype(np.int32), hashes=keys.view(np.int64), agains=again(owner, keys, at, size))
 
     return run
 
 
-def merged(at: list[int], back: int, ahead: int) -> tuple[list[int], list[int]]:
-    """The union of the ranges [x - back, x + ahead), as their begins, 0 at least, and ends."""
-    x = np.sort(np.array(at, np.int64))
-    new = np.flatnonzero(np.diff(x) > back + ahead) + 1
-    return np.maximum(x[np.concatenate([[0], new])] - back, 0).tolist(), (x[np.concatenate([new - 1, [len(x) - 1]])] + ahead).tolist()
+def within(n: int, first: np.ndarray, of: np.ndarray, los: np.ndarray, his: np.ndarray) -> np.ndarray:
+    """Whether a word lies in a range of its text. first: where the texts' words begin; of: where their ranges do."""
+    begin = np.repeat(first[:-1], np.diff(of))
+    steps = np.zeros(n + 1, np.int64)
+    np.add.at(steps, los + begin, 1)
+    np.add.at(steps, his + begin, -1)
+    return np.cumsum(steps[:-1]) > 0
 
 
-def _ranges(back: int, ahead: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [merged(at, back, ahead) for at in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], pa.list_(pa.int32())) for k in (0, 1))], names=["id", "los", "his"])
+def merged(of: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The union of each row's spans, at * SPAN + n, as begins and ends of ranges, and where each row's begin."""
+    owner = np.repeat(np.arange(len(of) - 1), np.diff(of))
+    order = np.lexsort((spans, owner))
+    base = owner[order] * (2 * SPAN)  # rows apart
+    at, n = np.divmod(spans[order], SPAN)
+    lo, hi = at + base, np.maximum.accumulate(at + n + base)
+    new = np.flatnonzero(np.append(True, lo[1:] > hi[:-1])[: len(lo)])
+    base = base[new]
+    return lo[new] - base, hi[np.append(new[1:], len(hi))[: len(new)] - 1] - base, np.searchsorted(owner[order][new], np.arange(len(of)))
 
-    return run
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        los, his, of = merged(*lists(batch.column(1)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), pa.array(x.astype(np.int32))) for x in (los, his))], names=["id", "los", "his"])
 
 
-def _ranged(entries: DataFrame, back: int, ahead: int, name: str) -> DataFrame:
-    """(r_id, los, his): the ranges of each id's entries. A repeated passage is one range, however long."""
-    lists = entries.groupBy("id").agg(F.collect_list("at").alias("ats"))
-    return cut(lists.mapInArrow(tidy(_ranges(back, ahead)), f"id {ROW}, los array<int>, his array<int>").withColumnRenamed("id", "r_id"), name)
-
-
-def left_of(text: bytes, lines: set[int], los: list[int], his: list[int]) -> tuple[list[int], list[int], int]:
-    """(starts from 1, lengths) in bytes of what is left without those lines and ranges
-    of words, and how many lines went or were shortened."""
-    spans, changed, some = [], 0, False
-    n = k = until = begin = 0
-    for number, line in enumerate(text.split(b"\n")):
-        words, keep = [m.span() for m in _WORD.finditer(line)], []
-        for _ in words:
-            while k < len(los) and los[k] <= n:
-                until, k = his[k], k + 1
-            keep.append(number not in lines and n >= until)
-            n += 1
-        changed += not all(keep)
-        if any(keep) or not words:
-            a, i = begin - some, 0  # with the line break before it
-            while i < len(words):
-                j = i
-                while j < len(words) and not keep[j]:
-                    j += 1
-                if j > i:
-                    lo, hi = (words[i][0], words[j][0]) if j < len(words) else (words[i - 1][1], words[-1][1])
-                    spans.append((a, begin + lo))
-                    a = begin + hi
-                i = j + 1
-            spans.append((a, begin + len(line)))
-            some = True
-        begin += len(line) + 1
-    out: list[list[int]] = []
-    for a, b in spans:
-        if out and out[-1][1] == a:
-            out[-1][1] = b
-        elif b > a:
-            out.append([a, b])
-    return [a + 1 for a, _ in out], [b - a for a, b in out], changed
+def _ranged(spans: DataFrame, name: str) -> DataFrame:
+    """(r_id, los, his): the ranges of each id's spans. A repeated passage is one range, however long."""
+    rows = spans.groupBy("id").agg(F.collect_list("span").alias("spans"))
+    return cut(rows.mapInArrow(tidy(_ranges), f"id {ROW}, los array<int>, his array<int>").withColumnRenamed("id", "r_id"), name)
+
+
+def left_of(off: np.ndarray, data: np.ndarray, gone_of: np.ndarray, gone: np.ndarray, of: np.ndarray, los: np.ndarray, his: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts from 1, lengths) in bytes of what is left of the texts without those lines and ranges of words,
+    where each text's begin, and how many lines of it went or were shortened."""
+    starts, stops = word_spans(off, data)
+    begins, own, first, keep = left_words(off, data, starts, gone_of, gone)
+    keep &= ~within(len(starts), np.searchsorted(starts, off), of, los, his)
+    text = np.repeat(np.arange(len(own)), np.diff(own, append=len(begins)))
+    size = np.diff(first, append=len(starts))
+    sums = np.append(0, np.cumsum(keep))
+    kept = sums[first + size] - sums[first]
+    stay = (kept > 0) | (size == 0)
+    ends = np.append(begins[1:] - 1, len(data))
+    ends[own[1:] - 1] = off[1:-1]  # no line break ends a text
+    drop = np.zeros(len(data) + 1, np.int8)
+
+    def without(a: np.ndarray, b: np.ndarray) -> None:
+        np.add.at(drop, a, 1)
+        np.add.at(drop, b, -1)
+
+    without(begins[~stay], ends[~stay])
+    # a line break belongs to the line after it, and goes if no line before it stays
+    total = np.cumsum(stay)
+    alone = ~stay | (total - (total[own] - stay[own])[text] == 1)
+    alone[own] = False
+    without(begins[alone] - 1, begins[alone])
+    # runs of words that go, of lines that stay: up to the next word, or from the last one before to the line's last
+    line = np.repeat(np.arange(len(begins)), size)
+    out = ~keep & stay[line]
+    head = np.flatnonzero(out & ~((np.append(False, out[:-1])) & (np.diff(line, prepend=-1) == 0)))
+    tail = np.flatnonzero(out & ~((np.append(out[1:], False)) & (np.diff(line, append=-1) == 0)))
+    last = tail == (first + size)[line[tail]] - 1
+    without(np.where(last, stops[head - 1], starts[head]), np.where(last, stops[tail], starts[np.minimum(tail + 1, len(starts) - 1)]))
+    left = np.cumsum(drop[:-1], dtype=np.int8) == 0
+    edge = np.zeros(len(data) + 1, bool)
+    edge[off] = True
+    a = np.flatnonzero(left & (~np.append(False, left[:-1]) | edge[:-1]))
+    b = np.flatnonzero(left & (~np.append(left[1:], False) | edge[1:])) + 1
+    owner = np.searchsorted(off, a, side="right") - 1
+    changed = np.bincount(text[kept < size], minlength=len(off) - 1)
+    return a - off[owner] + 1, b - a, np.searchsorted(owner, np.arange(len(off))), changed
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         off, data = utf8(batch.column(1))
-        got = [left_of(data[off[i] : off[i + 1]].tobytes(), set(gone or ()), los, his) for i, (gone, los, his) in enumerate(zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[k] for g in got], t) for k, t in enumerate((pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32())))], names=["id", "starts", "lengths", "changed"])
+        (gone_of, gone), (of, los), (_, his) = (lists(batch.column(k)) for k in (2, 3, 4))
+        for a, b in slices(off):
+            starts, lengths, first, changed = left_of(off[a : b + 1] - off[a], data[off[a] : off[b]], gone_of[a : b + 1], gone[gone_of[a] : gone_of[b]], of[a : b + 1], los[of[a] : of[b]], his[of[a] : of[b]])
+            first = pa.array(first.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.ListArray.from_arrays(first, pa.array(x.astype(np.int32))) for x in (starts, lengths)), pa.array(changed.astype(np.int32))], names=["id", "starts", "lengths", "changed"])
 
 
 def passages(texts: DataFrame, size: int, copies: bool = False) -> DataFrame:
     """Of each row of texts (id, body, gone: its lines that the line rule takes) that loses a passage:
     __in, its id; __starts and __lengths, the spans left; __changed, the lines that go or are shortened."""
-    entries = f"id {ROW}, at int, hash long"
-    marks = cut(texts.mapInArrow(tidy(_marks(size)), entries), "passage-marks")
+    marks = cut(texts.mapInArrow(tidy(_marks(size)), f"id {ROW}, spans array<long>, hashes array<long>"), "passage-marks")
+    marks = _flat(marks, "hashes", span="spans")
     twice = cut(marks.groupBy(F.col("hash").alias("t_hash")).count().filter("count > 1").select("t_hash"), "passage-twice")
-    spots = _ranged(marks.join(small(twice), F.col("hash") == F.col("t_hash")), size - size // 2, 1, "passage-spots")
+    spots = _ranged(marks.join(small(twice), F.col("hash") == F.col("t_hash")), "passage-spots")
     met = lambda ranges: texts.join(small(ranges, weight=F.size("los") * 2 + 1), F.col("id") == F.col("r_id")).select("id", "body", "gone", "los", "his")
-    windows = cut(met(spots).mapInArrow(tidy(_windows(size)), f"{entries}, again boolean"), "passage-windows")
-    later = _ranged(firsts(windows, copies), 0, size, "passage-later")
+    windows = cut(met(spots).mapInArrow(tidy(_windows(size)), f"id {ROW}, ats array<int>, hashes array<long>, agains array<boolean>"), "passage-windows")
+    later = firsts(_flat(windows, "hashes", at="ats", again="agains"), copies)
+    later = _ranged(later.select("id", (F.col("at").cast("long") * SPAN + size).alias("span")), "passage-later")
     return cut(met(later).mapInArrow(tidy(_spans), f"id {ROW}, starts array<int>, lengths array<int>, changed int").toDF("__in", "__starts", "__lengths", "__changed"), "passage-spans")
 
 

@@ -13,7 +13,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.llm import bpe, common, exact_dedup, langid, line_dedup, mixing, near_dedup, pii, token_files, topk, warc
+from leafmill.llm import bpe, common, exact_dedup, langid, line_dedup, mixing, near_dedup, passages, pii, token_files, topk, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, body string, n long, sha string, key string, root long"
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -490,6 +490,39 @@ def test_passages(spark):
     assert [(re.findall(r"[^\x09-\x0d ]+", got[i][0] or ""), got[i][1]) for i in range(len(texts))] == want and sum(n > 0 for _, n in want) > 50
 
 
+def test_lines_of_blank_texts():
+    """Texts without a word, alone in a task, have no lines."""
+    numbers, hashes, words, first = line_dedup.lines_of(np.array([0, 0, 2, 3]), np.frombuffer(b"\n  ", np.uint8))
+    assert len(numbers) == len(hashes) == len(words) == 0 and first.tolist() == [0, 0, 0, 0]
+
+
+def test_passage_marks():
+    """Windows in a row are one entry for their mark, so half a window that stands twice brings only windows that it is
+    least in; a loop of words has several entries."""
+    rng = np.random.default_rng(4)
+    size, hashes = 12, rng.integers(1, 1 << 60, 500).astype(np.uint64)
+    hashes[300:330] = 7
+    parts = passages._window(hashes, 6, passages._pair)
+    ok = np.arange(500) % 97 > 10
+    at, n, marks = passages.winnow(hashes, ok, size)
+    covered = np.concatenate([np.arange(a, a + k) for a, k in zip(at, n, strict=True)])
+    assert covered.tolist() == np.flatnonzero(ok[: 500 - size + 1]).tolist() and n.max() <= 7
+    assert all(parts[w : w + 7].min() == m for a, k, m in zip(at, n, marks, strict=True) for w in range(a, a + k))
+    assert (marks == parts[310]).sum() > 1
+
+
+def test_passages_of_a_batch():
+    """What is left of several texts at once; adjacent and equal ranges are one."""
+    texts = [b"a b\n\nc d e\n", b"", b"x\ny z\n", b"p q r"]
+    off, data = np.append(0, np.cumsum([len(t) for t in texts])), np.frombuffer(b"".join(texts), np.uint8)
+    ranges = passages.merged(np.array([0, 3, 3, 3, 4]), np.array([3 * passages.SPAN + 1, 2 * passages.SPAN + 1, 3 * passages.SPAN + 1, 2 * passages.SPAN + 1]))
+    los, his, of = ranges
+    assert (los[:1].tolist(), his[:1].tolist(), of[:2].tolist()) == ([2], [4], [0, 1])
+    starts, lengths, first, changed = passages.left_of(off, data, np.array([0, 0, 0, 1, 1]), np.array([0]), of, los, his)
+    left = [b"".join(t[a - 1 : a - 1 + k] for a, k in zip(starts[i:j], lengths[i:j], strict=True)) for t, i, j in zip(texts, first[:-1], first[1:], strict=True)]
+    assert left == [b"a b\n\ne\n", b"", b"y z\n", b"p q"] and changed.tolist() == [1, 0, 1, 1]
+
+
 def luhn(d):
     return sum(x if k % 2 == 0 else x * 2 - 9 * (x > 4) for k, x in enumerate(map(int, reversed(d)))) % 10 == 0
 
